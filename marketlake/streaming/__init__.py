@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The source warehouse is batch only — full-refresh loads, no stream source,
+watermark, event-time window or state. Nothing here is needed for parity.
+"""
