@@ -590,7 +590,7 @@ JOIN g_dim_date d ON f.purchase_date_sk = d.date_sk
 GROUP BY p.product_category_name, {period}"""
 
 
-@register("win_lag", compose(f"""
+WIN_LAG_SQL = f"""
 SELECT product_category_name, month, CAST(sales AS DOUBLE) AS sales,
        CAST(sales_lag1 AS DOUBLE) AS sales_lag1, CAST(sales_lag2 AS DOUBLE) AS sales_lag2,
        CAST(sales_lag3 AS DOUBLE) AS sales_lag3
@@ -598,7 +598,10 @@ FROM (SELECT *, LAG(sales, 1) OVER w AS sales_lag1, LAG(sales, 2) OVER w AS sale
              LAG(sales, 3) OVER w AS sales_lag3
       FROM ({_SALES_BASE.format(period="CAST(date_trunc('month', d.full_date) AS DATE)", pname="month")}) s
       WINDOW w AS (PARTITION BY product_category_name ORDER BY month)) t
-WHERE sales_lag1 IS NOT NULL AND sales_lag2 IS NOT NULL AND sales_lag3 IS NOT NULL"""))
+WHERE sales_lag1 IS NOT NULL AND sales_lag2 IS NOT NULL AND sales_lag3 IS NOT NULL"""
+
+
+@register("win_lag", compose(WIN_LAG_SQL))
 def win_lag(w):
     """WN-6 / AN-10: monthly category sales with row lags 1..3, rows with a
     missing lag dropped (per category, not one chosen category)."""

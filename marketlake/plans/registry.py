@@ -32,4 +32,5 @@ def register(name: str, sql: str | None = None):
 
 
 # import for side effects: each module registers its queries
-from marketlake.plans import queries_adhoc, queries_core, queries_ops  # noqa: E402,F401,I001
+from marketlake.plans import queries_core, queries_ops, queries_adhoc  # noqa: E402,F401,I001
+from marketlake.plans import queries_ml  # noqa: E402,F401
