@@ -37,7 +37,7 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
 
     from marketlake.plans.pipeline import run_layers
-    from marketlake.plans.registry import QUERIES
+    from marketlake.plans.catalog import QUERIES
 
     out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     t0 = time.perf_counter()

@@ -29,8 +29,3 @@ def register(name: str, sql: str | None = None):
             ORACLE[name] = sql
         return fn
     return deco
-
-
-# import for side effects: each module registers its queries
-from marketlake.plans import queries_core, queries_ops, queries_adhoc  # noqa: E402,F401,I001
-from marketlake.plans import queries_ml  # noqa: E402,F401

@@ -43,9 +43,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     return normalize_columns(df)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Tab-separated export with header (SRC-2); CRLF line ends are accepted."""
-    return read_csv(spark, path, schema, sep="\t", multiline=False)
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
+             multiline: bool = False) -> DataFrame:
+    """Tab-separated export with header (SRC-2); CRLF line ends are accepted.
+    Single-line by default (splittable); set ``multiline`` for quoted line breaks."""
+    return read_csv(spark, path, schema, sep="\t", multiline=multiline)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
