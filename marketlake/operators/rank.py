@@ -16,6 +16,13 @@ task. Instead:
 
 Struct comparison is lexicographic, so a first-column value holding a third
 of all rows is still split across ranges by the later columns.
+
+Input of at most ``rows_per_bucket`` rows is a single range; Spark then plans
+the window as one ``SinglePartition`` task — bounded by ``rows_per_bucket``.
+Beyond ``max_buckets`` ranges each range simply grows (an external sort per
+task), so the expression tree stays small enough for code generation.
+Persisted inputs are tracked and freed with :func:`release` once the ranked
+frame has been written.
 """
 
 from __future__ import annotations
@@ -28,6 +35,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist every input cached by :func:`global_row_number` so far."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 @dataclass(frozen=True)
 class RankPlan:
     total: int
@@ -61,6 +77,7 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(df)
     keyed = df.withColumn("_rk", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
     fields = [(f.name, f.dataType) for f in keyed.schema["_rk"].dataType.fields]
 

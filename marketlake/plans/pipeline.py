@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlake.operators import rank
 from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
@@ -38,6 +39,7 @@ class _Writer:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        rank.release()  # the written table replaces the cached rank input
         self.timings[name] = round(time.perf_counter() - t0, 3)
         return self.spark.read.parquet(path)
 
