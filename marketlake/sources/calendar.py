@@ -34,10 +34,18 @@ def calendar_days(start: str, end: str) -> int:
     return max(0, (e - s).days + 1)
 
 
-def dim_date(spark: SparkSession, start: str = REFERENCE_START,
-             end: str = REFERENCE_END) -> DataFrame:
+def calendar_covering(df: DataFrame, col: str) -> DataFrame:
+    """``full_date`` for every day between the first and last date of ``df[col]``,
+    derived lazily: one aggregate row is exploded (no driver round trip)."""
+    bounds = df.agg(F.min(F.to_date(col)).alias("_lo"), F.max(F.to_date(col)).alias("_hi"))
+    return bounds.filter(F.col("_lo").isNotNull()).select(
+        F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias("full_date"))
+
+
+def date_columns(days: DataFrame) -> DataFrame:
+    """Date-dimension attributes of a ``full_date`` column (GLD-2)."""
     d = F.col("full_date")
-    return calendar(spark, start, end).select(
+    return days.select(
         D.date_key(d).alias("date_sk"),
         d,
         F.year(d).alias("year_num"),
@@ -49,3 +57,8 @@ def dim_date(spark: SparkSession, start: str = REFERENCE_START,
         D.us_week(d).alias("week_num"),
         D.is_weekend(d).alias("is_weekend"),
     )
+
+
+def dim_date(spark: SparkSession, start: str = REFERENCE_START,
+             end: str = REFERENCE_END) -> DataFrame:
+    return date_columns(calendar(spark, start, end))
