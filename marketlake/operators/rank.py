@@ -17,8 +17,9 @@ task. Instead:
 Struct comparison is lexicographic, so a first-column value holding a third
 of all rows is still split across ranges by the later columns.
 
-Input of at most ``rows_per_bucket`` rows is a single range; Spark then plans
-the window as one ``SinglePartition`` task — bounded by ``rows_per_bucket``.
+Inputs under ``min_rows_to_split`` rows are one range (Spark plans that window
+as a single ``SinglePartition`` task — bounded by that row count); larger
+inputs get at least twice the default parallelism in ranges.
 Beyond ``max_buckets`` ranges each range simply grows (an external sort per
 task), so the expression tree stays small enough for code generation.
 Persisted inputs are tracked and freed with :func:`release` once the ranked
@@ -69,6 +70,7 @@ def _bucket_expr(key: Column, bounds: list, fields: list[tuple[str, object]]) ->
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
                       descending: bool = False, rows_per_bucket: int = 2_000_000,
                       max_buckets: int = 4096, sample_per_bucket: int = 64,
+                      min_rows_to_split: int = 10_000,
                       seed: int = 42, persist: bool = True) -> tuple[DataFrame, RankPlan]:
     """Add ``name`` = 1..N in the order of ``order_cols`` (non-NULL, unique as a tuple).
 
@@ -82,7 +84,12 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
     fields = [(f.name, f.dataType) for f in keyed.schema["_rk"].dataType.fields]
 
     total = keyed.count()
-    n_buckets = int(min(max_buckets, max(1, math.ceil(total / rows_per_bucket))))
+    # enough ranges to bound each task (rows_per_bucket) and, once the input is
+    # worth splitting (min_rows_to_split), to use the cluster's parallelism
+    by_size = math.ceil(total / rows_per_bucket)
+    by_cores = min(2 * df.sparkSession.sparkContext.defaultParallelism,
+                   total // min_rows_to_split)
+    n_buckets = int(min(max_buckets, max(1, by_size, by_cores)))
     bounds: list = []
     if n_buckets > 1:
         want = n_buckets * sample_per_bucket

@@ -554,12 +554,11 @@ SELECT order_id, order_item_id, product_id, seller_id, price,
                           shipping_limit_date, price, freight_value) AS rn
 FROM s_order_items"""))
 def win_surrogate_key(w):
-    """WN-3: global row number by the item tuple, through several ranges
-    (``rows_per_bucket`` is lowered so the multi-range path runs at test size)."""
+    """WN-3: global row number by the item tuple, computed over several ranges."""
     out, _ = global_row_number(w.silver["order_items"],
                                ["order_id", "order_item_id", "product_id", "seller_id",
                                 "shipping_limit_date", "price", "freight_value"],
-                               name="rn", rows_per_bucket=5000)
+                               name="rn")
     return out.select("order_id", "order_item_id", "product_id", "seller_id", "price", "rn")
 
 
@@ -570,8 +569,7 @@ FROM g_fact_orders"""))
 def win_ntile(w):
     """WN-4: global NTILE(10) of order value (tie-break: order key), several ranges."""
     f = w.fact_orders.select("order_sk", "total_payment_amount")
-    return global_ntile(f, 10, ["total_payment_amount", "order_sk"], "decile",
-                        rows_per_bucket=2000)
+    return global_ntile(f, 10, ["total_payment_amount", "order_sk"], "decile")
 
 
 def _monthly_category_sales(w):

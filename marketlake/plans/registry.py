@@ -16,6 +16,8 @@ from marketlake.plans.warehouse import Warehouse, to_output, warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+# the same queries as functions of a Warehouse (e.g. one read from written layers)
+BY_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {}
 
 
 def register(name: str, sql: str | None = None):
@@ -25,6 +27,7 @@ def register(name: str, sql: str | None = None):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        BY_WAREHOUSE[name] = lambda w: to_output(fn(w))
         if sql is not None:
             ORACLE[name] = sql
         return fn

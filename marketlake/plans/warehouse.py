@@ -121,6 +121,41 @@ class Warehouse:
                               self.fact_order_items, self.dim_product)
 
 
+class LayerWarehouse(Warehouse):
+    """A warehouse whose silver, gold and mart tables are read from the files
+    :func:`marketlake.plans.pipeline.run_layers` wrote (bronze stays bound to
+    ``sf_dir``). Queries then start from the materialised layers."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, **kw):
+        super().__init__(spark, sf_dir, **kw)
+        self.root = root.rstrip("/")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return {n: self._read(f"silver/{n}") for n in S.SILVER_JOBS}
+
+    dim_date = cached_property(lambda self: self._read("gold/dim_date"))
+    dim_customer = cached_property(lambda self: self._read("gold/dim_customer"))
+    fact_orders = cached_property(lambda self: self._read("gold/fact_orders"))
+    dim_product = cached_property(lambda self: self._read("gold/dim_product"))
+    dim_seller = cached_property(lambda self: self._read("gold/dim_seller"))
+    fact_order_items = cached_property(lambda self: self._read("gold/fact_order_items"))
+    customer_rfm = cached_property(lambda self: self._read("marts/customer_rfm"))
+    cohort_retention = cached_property(lambda self: self._read("marts/cohort_retention"))
+    seller_performance = cached_property(lambda self: self._read("marts/seller_performance_mart"))
+    product_sales = cached_property(lambda self: self._read("marts/product_sales_mart"))
+    delivery_performance = cached_property(
+        lambda self: self._read("marts/delivery_performance_mart"))
+    executive_kpi = cached_property(lambda self: self._read("marts/executive_kpi_mart"))
+    monthly_business_summary = cached_property(
+        lambda self: self._read("marts/monthly_business_summary"))
+    category_dashboard = cached_property(lambda self: self._read("marts/category_dashboard_mart"))
+    customer_360 = cached_property(lambda self: self._read("marts/customer_360_mart"))
+
+
 _CACHE: dict[tuple, Warehouse] = {}
 
 
