@@ -130,19 +130,39 @@ def _item_base(fact_order_items: DataFrame, fact_orders: DataFrame, cols: list[s
     return fact_order_items.join(fo, "order_sk")
 
 
+ITEM_BASE_ORDER_COLS = ["order_id", "customer_sk", "order_status", "avg_review_score",
+                        "delivery_days", "is_delayed", "estimated_delivery_days"]
+
+
+def item_order_base(fact_order_items: DataFrame, fact_orders: DataFrame,
+                    dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Item fact widened with its order's columns, the buyer's repeat flag and
+    the product category: the common input of the seller, product and delivery
+    marts and the favourite category. Built (and, in the pipeline, written)
+    once, so the largest fact is shuffled for this join once instead of per mart.
+    Every join is row-preserving: each item has exactly one order, customer and
+    product in the dimensions it was keyed from."""
+    return (_item_base(fact_order_items, fact_orders, ITEM_BASE_ORDER_COLS)
+            .join(dim_customer.select("customer_sk", "is_repeat_customer"), "customer_sk")
+            .join(dim_product.select("product_sk", "product_category_name"), "product_sk"))
+
+
 def _mean_money(sum_col: str, n_col: str) -> Column:
     return half_up_ratio(unscaled(F.col(sum_col)), F.col(n_col), 2, num_scale=2)
 
 
 # ---------------------------------------------------------------- MRT-3
 def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
-                       dim_customer: DataFrame, p: MartParams = MartParams()) -> DataFrame:
+                       dim_customer: DataFrame, p: MartParams = MartParams(),
+                       base: DataFrame | None = None) -> DataFrame:
     """Seller metrics at item grain (means are weighted by items, as in the warehouse;
-    ``avg_order_value`` is the mean *item* value)."""
-    base = (_item_base(fact_order_items, fact_orders,
-                       ["order_id", "customer_sk", "avg_review_score", "delivery_days",
-                        "is_delayed"])
-            .join(dim_customer.select("customer_sk", "is_repeat_customer"), "customer_sk"))
+    ``avg_order_value`` is the mean *item* value). ``base``: a prebuilt
+    :func:`item_order_base`."""
+    if base is None:
+        base = (_item_base(fact_order_items, fact_orders,
+                           ["order_id", "customer_sk", "avg_review_score", "delivery_days",
+                            "is_delayed"])
+                .join(dim_customer.select("customer_sk", "is_repeat_customer"), "customer_sk"))
     m = base.groupBy("seller_sk").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.count("order_item_sk").alias("total_items_sold"),
@@ -180,14 +200,16 @@ def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
 
 # ---------------------------------------------------------------- MRT-4
 def product_sales(fact_order_items: DataFrame, fact_orders: DataFrame,
-                  dim_product: DataFrame, p: MartParams = MartParams()) -> DataFrame:
+                  dim_product: DataFrame, p: MartParams = MartParams(),
+                  base: DataFrame | None = None) -> DataFrame:
     """Product metrics; the segment CASE reads the *unrounded* values.
 
     ``total_quantity_sold`` counts item rows (the warehouse stored the
     constant 1; ``legacy_quantity=True`` restores that)."""
-    base = (_item_base(fact_order_items, fact_orders,
-                       ["order_id", "avg_review_score", "delivery_days", "is_delayed"])
-            .join(dim_product.select("product_sk", "product_category_name"), "product_sk"))
+    if base is None:
+        base = (_item_base(fact_order_items, fact_orders,
+                           ["order_id", "avg_review_score", "delivery_days", "is_delayed"])
+                .join(dim_product.select("product_sk", "product_category_name"), "product_sk"))
     m = base.groupBy("product_sk").agg(
         F.max("product_category_name").alias("product_category_name"),
         F.countDistinct("order_id").alias("total_orders"),
@@ -227,12 +249,14 @@ def product_sales(fact_order_items: DataFrame, fact_orders: DataFrame,
 
 # ---------------------------------------------------------------- MRT-5
 def delivery_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
-                         p: MartParams = MartParams()) -> DataFrame:
+                         p: MartParams = MartParams(),
+                         base: DataFrame | None = None) -> DataFrame:
     """Seller delivery metrics. ``delivered_orders`` / ``delayed_orders`` count
     item rows (the warehouse's semantics); the gap is delivery minus estimated days."""
-    base = _item_base(fact_order_items, fact_orders,
-                      ["order_id", "order_status", "delivery_days", "is_delayed",
-                       "avg_review_score", "estimated_delivery_days"])
+    if base is None:
+        base = _item_base(fact_order_items, fact_orders,
+                          ["order_id", "order_status", "delivery_days", "is_delayed",
+                           "avg_review_score", "estimated_delivery_days"])
     gap = F.col("delivery_days") - F.col("estimated_delivery_days")
     m = base.groupBy("seller_sk").agg(
         F.countDistinct("order_id").alias("total_orders"),
@@ -349,11 +373,13 @@ def category_dashboard(product_mart: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- MRT-9
 def favorite_category(fact_order_items: DataFrame, fact_orders: DataFrame,
-                      dim_product: DataFrame) -> DataFrame:
+                      dim_product: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Most-bought category per customer (ties: smallest name) — WN-5 as an aggregate."""
-    per = (fact_order_items.select("order_sk", "product_sk")
-           .join(fact_orders.select("order_sk", "customer_sk"), "order_sk")
-           .join(dim_product.select("product_sk", "product_category_name"), "product_sk")
+    if base is None:
+        base = (fact_order_items.select("order_sk", "product_sk")
+                .join(fact_orders.select("order_sk", "customer_sk"), "order_sk")
+                .join(dim_product.select("product_sk", "product_category_name"), "product_sk"))
+    per = (base.select("customer_sk", "product_category_name")
            .groupBy("customer_sk", "product_category_name").agg(F.count(F.lit(1)).alias("cnt")))
     best = per.groupBy("customer_sk").agg(
         F.min(F.struct((-F.col("cnt")).alias("n"), F.col("product_category_name").alias("c")))
@@ -363,14 +389,15 @@ def favorite_category(fact_order_items: DataFrame, fact_orders: DataFrame,
 
 
 def customer_360(dim_customer: DataFrame, fact_orders: DataFrame, rfm: DataFrame,
-                 fact_order_items: DataFrame, dim_product: DataFrame) -> DataFrame:
+                 fact_order_items: DataFrame, dim_product: DataFrame,
+                 base: DataFrame | None = None) -> DataFrame:
     """One row per customer: lifetime values, review / delivery means, favourite
     category, RFM and customer segments. Orders are aggregated per customer
     first; every join is then 1:1 on ``customer_sk``."""
     fo = fact_orders.groupBy("customer_sk").agg(
         F.sum("avg_review_score").alias("_rv"), F.count("avg_review_score").alias("_n_rv"),
         F.sum("delivery_days").alias("_dd"), F.count("delivery_days").alias("_n_dd"))
-    fav = favorite_category(fact_order_items, fact_orders, dim_product)
+    fav = favorite_category(fact_order_items, fact_orders, dim_product, base)
     j = (dim_customer.select("customer_sk", "lifetime_orders", "lifetime_value",
                              "customer_segment")
          .join(fo, "customer_sk", "left")

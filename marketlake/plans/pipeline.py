@@ -70,13 +70,15 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                                              silver["orders"], gp))
     foi = put("gold/fact_order_items", lambda: G.fact_order_items(silver["order_items"], fo, dp, ds, dd, gp))
 
+    base = put("gold/item_order_base", lambda: M.item_order_base(foi, fo, dc, dp))
+
     rfm = put("marts/customer_rfm", lambda: M.customer_rfm(fo, dd, p=mp))
     put("marts/cohort_retention", lambda: M.cohort_retention(fo, dd))
-    put("marts/seller_performance_mart", lambda: M.seller_performance(foi, fo, dc, mp))
-    psm = put("marts/product_sales_mart", lambda: M.product_sales(foi, fo, dp, mp))
-    put("marts/delivery_performance_mart", lambda: M.delivery_performance(foi, fo, mp))
+    put("marts/seller_performance_mart", lambda: M.seller_performance(foi, fo, dc, mp, base=base))
+    psm = put("marts/product_sales_mart", lambda: M.product_sales(foi, fo, dp, mp, base=base))
+    put("marts/delivery_performance_mart", lambda: M.delivery_performance(foi, fo, mp, base=base))
     put("marts/executive_kpi_mart", lambda: M.executive_kpi(fo, dd, dc))
     put("marts/monthly_business_summary", lambda: M.monthly_business_summary(fo, dd, dc))
     put("marts/category_dashboard_mart", lambda: M.category_dashboard(psm))
-    put("marts/customer_360_mart", lambda: M.customer_360(dc, fo, rfm, foi, dp))
+    put("marts/customer_360_mart", lambda: M.customer_360(dc, fo, rfm, foi, dp, base=base))
     return {"root": root, "timings": put.timings}

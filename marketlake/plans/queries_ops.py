@@ -653,7 +653,7 @@ FROM (SELECT fo.customer_sk, dp.product_category_name, COUNT(*) AS purchase_cnt,
 WHERE rn = 1"""))
 def win_mode(w):
     """WN-5: favourite category per customer (ties: smallest name)."""
-    return favorite_category(w.fact_order_items, w.fact_orders, w.dim_product)
+    return favorite_category(w.fact_order_items, w.fact_orders, w.dim_product, base=w.item_base)
 
 
 @register("win_first_purchase", compose("""

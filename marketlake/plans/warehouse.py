@@ -81,6 +81,11 @@ class Warehouse:
         return G.fact_order_items(self.silver["order_items"], self.fact_orders, self.dim_product,
                                   self.dim_seller, self.dim_date, self.gp)
 
+    @cached_property
+    def item_base(self) -> DataFrame:
+        return M.item_order_base(self.fact_order_items, self.fact_orders, self.dim_customer,
+                                 self.dim_product)
+
     # marts ----------------------------------------------------------------
     @cached_property
     def customer_rfm(self) -> DataFrame:
@@ -93,15 +98,17 @@ class Warehouse:
     @cached_property
     def seller_performance(self) -> DataFrame:
         return M.seller_performance(self.fact_order_items, self.fact_orders, self.dim_customer,
-                                    self.mp)
+                                    self.mp, base=self.item_base)
 
     @cached_property
     def product_sales(self) -> DataFrame:
-        return M.product_sales(self.fact_order_items, self.fact_orders, self.dim_product, self.mp)
+        return M.product_sales(self.fact_order_items, self.fact_orders, self.dim_product, self.mp,
+                               base=self.item_base)
 
     @cached_property
     def delivery_performance(self) -> DataFrame:
-        return M.delivery_performance(self.fact_order_items, self.fact_orders, self.mp)
+        return M.delivery_performance(self.fact_order_items, self.fact_orders, self.mp,
+                                      base=self.item_base)
 
     @cached_property
     def executive_kpi(self) -> DataFrame:
@@ -118,7 +125,7 @@ class Warehouse:
     @cached_property
     def customer_360(self) -> DataFrame:
         return M.customer_360(self.dim_customer, self.fact_orders, self.customer_rfm,
-                              self.fact_order_items, self.dim_product)
+                              self.fact_order_items, self.dim_product, base=self.item_base)
 
 
 class LayerWarehouse(Warehouse):
@@ -143,6 +150,7 @@ class LayerWarehouse(Warehouse):
     dim_product = cached_property(lambda self: self._read("gold/dim_product"))
     dim_seller = cached_property(lambda self: self._read("gold/dim_seller"))
     fact_order_items = cached_property(lambda self: self._read("gold/fact_order_items"))
+    item_base = cached_property(lambda self: self._read("gold/item_order_base"))
     customer_rfm = cached_property(lambda self: self._read("marts/customer_rfm"))
     cohort_retention = cached_property(lambda self: self._read("marts/cohort_retention"))
     seller_performance = cached_property(lambda self: self._read("marts/seller_performance_mart"))
