@@ -27,3 +27,9 @@ def ranked_top_k(df: DataFrame, k: int, order: list[Column], label: str,
 def _w(order: list[Column]):
     from pyspark.sql import Window
     return Window.orderBy(*order)
+
+
+def tail(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """Last ``n`` rows by the ascending ``order`` columns (pandas ``tail``): a top-n
+    on the reversed order, so only n rows per task move."""
+    return df.orderBy(*[F.col(c).desc_nulls_first() for c in order]).limit(n)

@@ -13,6 +13,7 @@ DECIMALS = {
     "g_dim_seller": ["total_sales_amount", "avg_item_price"],
     "g_fact_order_items": ["item_price", "freight_value", "total_item_value"],
     "m_customer_rfm": ["monetary_value"],
+    "g_item_order_base": ["item_price", "freight_value", "total_item_value"],
 }
 
 
@@ -66,6 +67,13 @@ def gld_fact_order_items(w):
     return w.fact_order_items
 
 
+@register("gld_item_order_base", _all("g_item_order_base"))
+def gld_item_order_base(w):
+    """Shared item-grain base of the item-level marts (items + order columns +
+    repeat flag + category)."""
+    return w.item_base
+
+
 # ---------------------------------------------------------------- marts (MRT-1..9)
 @register("mrt_customer_rfm", _all("m_customer_rfm"))
 def mrt_customer_rfm(w):
