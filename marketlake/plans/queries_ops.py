@@ -15,9 +15,9 @@ from marketlake.operators.dedupe import dedupe_by_key, dedupe_rows, majority_row
 from marketlake.operators.rank import global_ntile, global_row_number
 from marketlake.operators.series import add_lags, add_rolling_means
 from marketlake.plans import silver as S
-from marketlake.plans.marts import favorite_category, round_double
+from marketlake.plans.marts import favorite_category
 from marketlake.plans.registry import register
-from sqlcheck.fragments import cents, compose, fold, ratio, round2
+from sqlcheck.fragments import cents, compose, fold, ratio
 
 ORDER_TS = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
             "order_delivered_customer_date", "order_estimated_delivery_date"]
@@ -671,5 +671,3 @@ def win_first_purchase(w):
     firsts = f.groupBy("customer_sk").agg(F.min("full_date").alias("first_purchase_date"))
     return f.select("order_id", "customer_sk").join(firsts, "customer_sk")
 
-
-_ = round_double, round2  # shared rounding helpers (used by other modules)

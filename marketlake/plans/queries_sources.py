@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.text import fold_accents  # noqa: F401
 from marketlake.operators import quality as Q
 from marketlake.plans import silver as S
 from marketlake.plans.registry import register

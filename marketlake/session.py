@@ -35,6 +35,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("MARKETLAKE_DRIVER_MEMORY", "16g")
+    # local sessions only: keep catalog files out of the working directory
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="marketlake-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
