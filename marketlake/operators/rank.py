@@ -29,6 +29,7 @@ frame has been written.
 from __future__ import annotations
 
 import math
+import threading
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -36,13 +37,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-_PERSISTED: list[DataFrame] = []
+_LOCAL = threading.local()
+
+
+def _persisted() -> list[DataFrame]:
+    if not hasattr(_LOCAL, "frames"):
+        _LOCAL.frames = []
+    return _LOCAL.frames
 
 
 def release() -> None:
-    """Unpersist every input cached by :func:`global_row_number` so far."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Unpersist every input this thread cached in :func:`global_row_number` so far
+    (per thread, so concurrently built tables do not free each other's inputs)."""
+    frames = _persisted()
+    while frames:
+        frames.pop().unpersist()
 
 
 @dataclass(frozen=True)
@@ -79,7 +88,7 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(df)
+        _persisted().append(df)
     keyed = df.withColumn("_rk", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
     fields = [(f.name, f.dataType) for f in keyed.schema["_rk"].dataType.fields]
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +58,15 @@ class _Writer:
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                gp: G.GoldParams | None = None, mp: M.MartParams = M.MartParams(),
                bronze: dict[str, DataFrame] | None = None,
-               fact_buckets: int | None = -1) -> dict:
+               fact_buckets: int | None = -1, parallel_tables: int = 4) -> dict:
     """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...}}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
     frames from :func:`marketlake.sources.files.read_csv` for raw CSV inputs.
     ``fact_buckets``: bucket count for the two facts (bucketed on ``order_sk``);
     -1 = the session's ``spark.sql.shuffle.partitions``, ``None`` = plain files.
+    ``parallel_tables``: how many independent tables of one layer are built at
+    once (1 = one after another).
     """
     gp = gp or G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
     root = out_dir or default_output(spark)
@@ -72,31 +75,52 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     put = _Writer(spark, root, fact_buckets)
     br = bronze or B.bronze(spark, sf_dir)
 
-    silver = {n: put(f"silver/{n}", lambda: job(br[n])) for n, job in S.SILVER_JOBS.items()}
+    def wave(jobs: dict) -> dict:
+        """Build a set of mutually independent tables concurrently: each is its
+        own Spark job, submitted from its own thread, sharing the executors."""
+        if parallel_tables <= 1:
+            return {name: put(name, *job) for name, job in jobs.items()}
+        with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+            futures = {name: pool.submit(put, name, *job) for name, job in jobs.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    def job(fn, *args, **kw):
+        return (lambda: fn(*args, **kw),)
+
+    first = wave({f"silver/{n}": job(f, br[n]) for n, f in S.SILVER_JOBS.items()}
+                 | {"gold/dim_date": job(G.dim_date, spark, gp)})
+    silver = {n: first[f"silver/{n}"] for n in S.SILVER_JOBS}
+    dd = first["gold/dim_date"]
+
+    dims = wave({
+        "gold/dim_customer": job(G.dim_customer, silver["customers"], silver["orders"],
+                                 silver["order_payments"], gp),
+        "gold/dim_product": job(G.dim_product, silver["products"], silver["category_translation"]),
+        "gold/dim_seller": job(G.dim_seller, silver["sellers"], silver["order_items"],
+                               silver["orders"], gp)})
+    dc, dp, ds = dims["gold/dim_customer"], dims["gold/dim_product"], dims["gold/dim_seller"]
 
-    dd = put("gold/dim_date", lambda: G.dim_date(spark, gp))
-    dc = put("gold/dim_customer", lambda: G.dim_customer(silver["customers"], silver["orders"],
-                                                 silver["order_payments"], gp))
     fo = put("gold/fact_orders", lambda: G.fact_orders(silver["orders"], silver["customers"],
-                                               silver["order_items"], silver["order_payments"],
-                                               silver["order_reviews"], dc, dd),
+                                                       silver["order_items"],
+                                                       silver["order_payments"],
+                                                       silver["order_reviews"], dc, dd),
              bucket_by="order_sk")
-    dp = put("gold/dim_product", lambda: G.dim_product(silver["products"], silver["category_translation"]))
-    ds = put("gold/dim_seller", lambda: G.dim_seller(silver["sellers"], silver["order_items"],
-                                             silver["orders"], gp))
     foi = put("gold/fact_order_items",
               lambda: G.fact_order_items(silver["order_items"], fo, dp, ds, dd, gp),
               bucket_by="order_sk")
-
     base = put("gold/item_order_base", lambda: M.item_order_base(foi, fo, dc, dp))
 
-    rfm = put("marts/customer_rfm", lambda: M.customer_rfm(fo, dd, p=mp))
-    put("marts/cohort_retention", lambda: M.cohort_retention(fo, dd))
-    put("marts/seller_performance_mart", lambda: M.seller_performance(foi, fo, dc, mp, base=base))
-    psm = put("marts/product_sales_mart", lambda: M.product_sales(foi, fo, dp, mp, base=base))
-    put("marts/delivery_performance_mart", lambda: M.delivery_performance(foi, fo, mp, base=base))
-    put("marts/executive_kpi_mart", lambda: M.executive_kpi(fo, dd, dc))
-    put("marts/monthly_business_summary", lambda: M.monthly_business_summary(fo, dd, dc))
-    put("marts/category_dashboard_mart", lambda: M.category_dashboard(psm))
-    put("marts/customer_360_mart", lambda: M.customer_360(dc, fo, rfm, foi, dp, base=base))
+    marts = wave({
+        "marts/customer_rfm": job(M.customer_rfm, fo, dd, p=mp),
+        "marts/cohort_retention": job(M.cohort_retention, fo, dd),
+        "marts/seller_performance_mart": job(M.seller_performance, foi, fo, dc, mp, base=base),
+        "marts/product_sales_mart": job(M.product_sales, foi, fo, dp, mp, base=base),
+        "marts/delivery_performance_mart": job(M.delivery_performance, foi, fo, mp, base=base),
+        "marts/executive_kpi_mart": job(M.executive_kpi, fo, dd, dc),
+        "marts/monthly_business_summary": job(M.monthly_business_summary, fo, dd, dc)})
+    wave({
+        "marts/category_dashboard_mart": job(M.category_dashboard,
+                                             marts["marts/product_sales_mart"]),
+        "marts/customer_360_mart": job(M.customer_360, dc, fo, marts["marts/customer_rfm"], foi, dp,
+                                       base=base)})
     return {"root": root, "timings": put.timings}
