@@ -20,6 +20,7 @@ from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
 from marketlake.session import ensure_checkpoint_dir
+from marketlake.sources.files import with_audit
 from marketlake.sources import bindings as B
 
 
@@ -27,6 +28,12 @@ def default_output(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/layers-{uuid.uuid4().hex[:8]}"
 
 
+# Load-time audit column per table (SRC-9): the warehouse's default name, a
+# different name on the customer-360 mart, none on the order fact.
+AUDIT_COLUMN = {"gold/fact_orders": None, "marts/customer_360_mart": "created_at"}
+AUDIT_COLUMNS = ("dwh_create_date", "created_at")
+
+
 class _Writer:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None):
         self.spark, self.root, self.timings = spark, root.rstrip("/"), {}
@@ -41,6 +48,9 @@ class _Writer:
         path = f"{self.root}/{name}"
         t0 = time.perf_counter()
         df = build()
+        audit = AUDIT_COLUMN.get(name, "dwh_create_date")
+        if audit:
+            df = with_audit(df, audit)
         w = df.write.mode("overwrite")
         if bucket_by and self.buckets:
             table = f"lake_{self.tag}_{name.replace('/', '_')}"
@@ -52,7 +62,7 @@ class _Writer:
             out = self.spark.read.parquet(path)
         rank.release()  # the written table replaces the cached rank input
         self.timings[name] = round(time.perf_counter() - t0, 3)
-        return out
+        return out.drop(audit) if audit else out
 
 
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,

@@ -138,7 +138,8 @@ class LayerWarehouse(Warehouse):
         self.root = root.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        df = self.spark.read.parquet(f"{self.root}/{name}")
+        return df.drop("dwh_create_date", "created_at")  # load audit, never compared
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
