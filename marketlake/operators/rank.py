@@ -7,8 +7,8 @@ task. Instead:
    (which must end in a unique tie-break) and cut it into ``B`` ranges on
    the driver — ``B`` grows with the data (``rows_per_bucket``), the sample
    is ``B * sample_per_bucket`` rows;
-2. tag each row with its range through a balanced tree of struct
-   comparisons (``log2 B`` comparisons per row, a deterministic column
+2. tag each row with its range by a binary search over the sorted bounds
+   (``log2 B`` struct comparisons per row, a deterministic column
    expression — unlike ``spark_partition_id``, which can change when a
    lost partition is recomputed);
 3. count rows per range (``B`` numbers to the driver) and prefix-sum them;
@@ -21,7 +21,7 @@ Inputs under ``min_rows_to_split`` rows are one range (Spark plans that window
 as a single ``SinglePartition`` task — bounded by that row count); larger
 inputs get at least twice the default parallelism in ranges.
 Beyond ``max_buckets`` ranges each range simply grows (an external sort per
-task), so the expression tree stays small enough for code generation.
+task).
 Persisted inputs are tracked and freed with :func:`release` once the ranked
 frame has been written.
 """
@@ -61,19 +61,28 @@ class RankPlan:
 
 
 def _bucket_expr(key: Column, bounds: list, fields: list[tuple[str, object]]) -> Column:
-    """Balanced comparison tree: index of the range ``key`` falls in."""
+    """Index of the range ``key`` falls in: a binary search over the sorted bounds
+    (one literal array), written as an ``aggregate`` over ``ceil(log2(B))`` steps.
+    The expression stays the same size whatever the number of ranges (a nested
+    CASE tree with thousands of leaves outgrows code generation)."""
 
     def lit_struct(row) -> Column:
         return F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)])
 
-    def build(lo: int, hi: int) -> Column:
-        # bounds[lo:hi] split buckets lo..hi
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lit_struct(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+    arr = F.array(*[lit_struct(b) for b in bounds])
+    m = len(bounds)
+    steps = max(1, math.ceil(math.log2(m + 1)))
 
-    return build(0, len(bounds))
+    def step(state, _):
+        lo, hi = state["lo"], state["hi"]
+        mid = F.call_function("div", lo + hi, F.lit(2).cast("long"))
+        nxt = F.when(key < F.element_at(arr, (mid + 1).cast("int")),
+                     F.struct(lo.alias("lo"), mid.alias("hi"))) \
+            .otherwise(F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+        return F.when(lo < hi, nxt).otherwise(state)
+
+    start = F.struct(F.lit(0).cast("long").alias("lo"), F.lit(m).cast("long").alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"].cast("int")
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
