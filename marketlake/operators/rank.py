@@ -88,7 +88,7 @@ def _bucket_expr(key: Column, bounds: list, fields: list[tuple[str, object]]) ->
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
                       descending: bool = False, rows_per_bucket: int = 2_000_000,
                       max_buckets: int = 4096, sample_per_bucket: int = 64,
-                      min_rows_to_split: int = 10_000,
+                      min_rows_to_split: int = 10_000, max_sample: int = 200_000,
                       seed: int = 42, persist: bool = True) -> tuple[DataFrame, RankPlan]:
     """Add ``name`` = 1..N in the order of ``order_cols`` (non-NULL, unique as a tuple).
 
@@ -110,7 +110,7 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
     n_buckets = int(min(max_buckets, max(1, by_size, by_cores)))
     bounds: list = []
     if n_buckets > 1:
-        want = n_buckets * sample_per_bucket
+        want = min(n_buckets * sample_per_bucket, max_sample)  # rows sent to the driver
         frac = min(1.0, 2.0 * want / total)
         sample = sorted(tuple(r["_rk"]) for r in
                         keyed.select("_rk").sample(False, frac, seed).collect())
