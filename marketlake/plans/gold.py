@@ -25,7 +25,11 @@ from pyspark.sql import functions as F
 from marketlake.functions import dates as D
 from marketlake.functions.numeric import half_up_ratio, money, unscaled
 from marketlake.operators.rank import surrogate_key
-from marketlake.sources.calendar import REFERENCE_END, REFERENCE_START, dim_date as _dim_date
+from marketlake.sources.calendar import REFERENCE_END, REFERENCE_START, calendar_days
+from marketlake.sources.calendar import dim_date as _dim_date
+
+# Upper bound of the broadcast date dimension: 200 years of days (~73k rows).
+MAX_CALENDAR_DAYS = 200 * 366
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,12 @@ class GoldParams:
     top_seller_sales: float = 100000.0
     high_value_price: float = 500.0
 
+    def __post_init__(self):
+        # the date dimension is broadcast; its size is the calendar length
+        days = calendar_days(self.cal_start, self.cal_end)
+        if not 0 < days <= MAX_CALENDAR_DAYS:
+            raise ValueError(f"calendar of {days} days outside 1..{MAX_CALENDAR_DAYS}")
+
 
 def dim_date(spark: SparkSession, p: GoldParams = GoldParams()) -> DataFrame:
     """GLD-2."""
