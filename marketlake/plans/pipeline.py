@@ -68,7 +68,7 @@ class _Writer:
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                gp: G.GoldParams | None = None, mp: M.MartParams = M.MartParams(),
                bronze: dict[str, DataFrame] | None = None,
-               fact_buckets: int | None = -1, parallel_tables: int = 4) -> dict:
+               fact_buckets: int | None = -1, parallel_tables: int = 6) -> dict:
     """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...}}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
