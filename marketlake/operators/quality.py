@@ -70,9 +70,19 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def key_cardinality(df: DataFrame, cols: list[str]) -> DataFrame:
-    """DQ-10: total rows and distinct values of each column, in one pass."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[F.countDistinct(c).alias(f"n_distinct_{c}") for c in cols])
+    """DQ-10: total rows and distinct (non-NULL) values of each column.
+
+    Several ``countDistinct`` in one aggregate plan as an ``Expand`` that copies
+    every row once per column before the shuffle. Instead each column is its own
+    ``distinct`` (combined map-side, so a hot value costs one row per task) that
+    reads only that Parquet column; the one-row results are folded together."""
+    parts = [df.agg(F.lit("n_rows").alias("_m"), F.count(F.lit(1)).alias("_v"))]
+    for c in cols:
+        parts.append(df.filter(F.col(c).isNotNull()).select(c).distinct()
+                     .agg(F.lit(f"n_distinct_{c}").alias("_m"), F.count(F.lit(1)).alias("_v")))
+    names = ["n_rows"] + [f"n_distinct_{c}" for c in cols]
+    return reduce(DataFrame.unionByName, parts) \
+        .agg(*[F.max(F.when(F.col("_m") == m, F.col("_v"))).alias(m) for m in names])
 
 
 def fd_violations(df: DataFrame, determinant: str, dependent: Column, name: str = "n_values") -> DataFrame:

@@ -77,6 +77,15 @@ def test_checks_one_pass(spark):
     assert got == {"null:a": (3, 1), "null:b": (3, 1), "untrimmed:b": (3, 1)}
 
 
+def test_key_cardinality_nulls_hot_value_no_expand(spark):
+    rows = [("hot", "p1")] * 300 + [(f"c{i}", f"p{i % 7}") for i in range(40)] + [(None, None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    out = Q.key_cardinality(df, ["a", "b"])
+    assert out.columns == ["n_rows", "n_distinct_a", "n_distinct_b"]
+    assert tuple(out.first()) == (341, 41, 7)  # NULL is not a distinct value
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_profile_and_fd(spark):
     df = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", None)], "z string, c string")
     prof = {r["column_name"]: (r["non_null"], r["n_null"]) for r in Q.profile(df).collect()}
