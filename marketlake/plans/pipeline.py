@@ -14,6 +14,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.operators import rank
 from marketlake.plans import gold as G
@@ -64,11 +65,35 @@ class _Writer:
         self.timings[name] = round(time.perf_counter() - t0, 3)
         return out.drop(audit) if audit else out
 
+    def plain(self, name: str) -> DataFrame:
+        """A written table read as plain Parquet files (no bucket spec)."""
+        audit = AUDIT_COLUMN.get(name, "dwh_create_date")
+        out = self.spark.read.parquet(f"{self.root}/{name}")
+        return out.drop(audit) if audit else out
+
+
+def bucket_sizes(df: DataFrame, key: str, buckets: int) -> list[int]:
+    """Rows per bucket of ``df`` hashed on ``key`` into ``buckets``, smallest first.
+
+    ``pmod(hash(key), buckets)`` is the bucket id Spark's bucketed writer uses.
+    One aggregate over the key column; ``buckets`` numbers reach the driver."""
+    ids = F.pmod(F.hash(F.col(key)), F.lit(buckets))
+    counts = dict(df.groupBy(ids.alias("_b")).count().collect())
+    return sorted(counts.get(b, 0) for b in range(buckets))
+
+
+def bucket_skewed(sizes: list[int], factor: float, min_rows: int) -> bool:
+    """The largest bucket is over ``factor`` times the median and over ``min_rows``
+    (the rule AQE applies to shuffle partitions, counted in rows)."""
+    top, median = sizes[-1], sizes[len(sizes) // 2]
+    return top > min_rows and top > factor * max(median, 1)
+
 
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                gp: G.GoldParams | None = None, mp: M.MartParams = M.MartParams(),
                bronze: dict[str, DataFrame] | None = None,
-               fact_buckets: int | None = -1, parallel_tables: int = 6) -> dict:
+               fact_buckets: int | None = -1, parallel_tables: int = 6,
+               skew_min_rows: int = 2_000_000) -> dict:
     """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...}}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
@@ -77,6 +102,13 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     -1 = the session's ``spark.sql.shuffle.partitions``, ``None`` = plain files.
     ``parallel_tables``: how many independent tables of one layer are built at
     once (1 = one after another).
+
+    A bucketed join cannot be split by AQE: a hot ``order_sk`` (one order with a
+    large share of all items) would be one task. So the item fact's bucket sizes
+    are checked first; if the largest bucket is over AQE's skew factor times the
+    median and over ``skew_min_rows`` rows, the facts are read as plain files
+    and the fact-to-fact join shuffles, where AQE splits the hot partition.
+    ``result["fact_join"]`` says which plan was used.
     """
     gp = gp or G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
     root = out_dir or default_output(spark)
@@ -118,6 +150,14 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     foi = put("gold/fact_order_items",
               lambda: G.fact_order_items(silver["order_items"], fo, dp, ds, dd, gp),
               bucket_by="order_sk")
+    fact_join = "bucketed" if fact_buckets else "shuffled"
+    if fact_buckets:
+        t0 = time.perf_counter()
+        factor = float(spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5"))
+        if bucket_skewed(bucket_sizes(foi, "order_sk", fact_buckets), factor, skew_min_rows):
+            fo, foi, fact_join = put.plain("gold/fact_orders"), put.plain("gold/fact_order_items"), \
+                "shuffled (skewed buckets)"
+        put.timings["gold/bucket_check"] = round(time.perf_counter() - t0, 3)
     base = put("gold/item_order_base", lambda: M.item_order_base(foi, fo, dc, dp))
 
     marts = wave({
@@ -133,4 +173,4 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                                              marts["marts/product_sales_mart"]),
         "marts/customer_360_mart": job(M.customer_360, dc, fo, marts["marts/customer_rfm"], foi, dp,
                                        base=base)})
-    return {"root": root, "timings": put.timings}
+    return {"root": root, "timings": put.timings, "fact_join": fact_join}

@@ -12,7 +12,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from marketlake.plans import gold as G
-from marketlake.plans.pipeline import run_layers
+from marketlake.plans.pipeline import bucket_sizes, bucket_skewed, run_layers
 from marketlake.sources import schemas as SC
 
 
@@ -53,6 +53,7 @@ def test_pipeline_with_hot_keys(spark):
     res = run_layers(spark, "", out_dir=out, bronze=bronze,
                      gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
     read = lambda n: spark.read.parquet(f"{res['root']}/{n}")
+    assert res["fact_join"] == "bucketed"  # no order is hot here
 
     # exact copies collapse to one row
     assert read("silver/order_items").count() == len(set(items))
@@ -88,3 +89,34 @@ def test_pipeline_with_hot_keys(spark):
     # geolocation: majority city wins for the hot zip
     geo = read("silver/geolocation").first()
     assert geo["geolocation_city"] == "sao paulo"
+
+
+def test_hot_order_bucket_falls_back_to_shuffled_join(spark):
+    bronze, items = _bronze(spark)
+    p = dt.datetime(2017, 1, 1) + dt.timedelta(days=2)
+    hot = [("o000", 10 + j, f"p{j % 10}", f"s{j % 5}", p, 5.0, 1.0) for j in range(1200)]
+    bronze["order_items"] = bronze["order_items"].unionByName(
+        spark.createDataFrame(hot, SC.BRONZE["order_items"]))
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    res = run_layers(spark, "", out_dir=out, bronze=bronze, fact_buckets=8, skew_min_rows=100,
+                     gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
+    assert res["fact_join"] == "shuffled (skewed buckets)"
+    base = spark.read.parquet(f"{res['root']}/gold/item_order_base")
+    n = len(set(items)) + len(hot)
+    assert base.count() == n
+    assert base.filter("order_id = 'o000'").count() == 3 + len(hot)
+    foi = spark.read.parquet(f"{res['root']}/gold/fact_order_items")
+    sizes = bucket_sizes(foi, "order_sk", 8)
+    assert sum(sizes) == n and bucket_skewed(sizes, 5.0, 100)
+
+
+def test_bucket_sizes_match_the_bucketed_writer(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 37).cast("int").alias("k"))
+    table = f"bucket_probe_{abs(hash(tempfile.mkdtemp())) % 10**8}"
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    df.write.bucketBy(4, "k").option("path", f"{out}/t").saveAsTable(table)
+    # rows per bucket as written: bucket ids from the file names
+    files = (spark.table(table).select(F.input_file_name().alias("f"))
+             .groupBy(F.regexp_extract("f", r"_(\d{5})", 1).cast("int").alias("b")).count())
+    written = sorted(r["count"] for r in files.collect())
+    assert bucket_sizes(df, "k", 4) == sorted(written + [0] * (4 - len(written)))
