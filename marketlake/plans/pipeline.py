@@ -20,7 +20,7 @@ from marketlake.operators import rank
 from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
-from marketlake.session import ensure_checkpoint_dir
+from marketlake.session import ensure_checkpoint_dir, input_bytes, size_shuffle_partitions
 from marketlake.sources.files import with_audit
 from marketlake.sources import bindings as B
 
@@ -39,6 +39,7 @@ class _Writer:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None):
         self.spark, self.root, self.timings = spark, root.rstrip("/"), {}
         self.buckets, self.tag = buckets, uuid.uuid4().hex[:8]
+        self.tables: dict[str, str] = {}  # layer name -> bucketed catalog table
 
     def __call__(self, name: str, build, bucket_by: str | None = None) -> DataFrame:
         """Build (a thunk, so rank actions are timed too), write, and read back.
@@ -52,25 +53,23 @@ class _Writer:
         audit = AUDIT_COLUMN.get(name, "dwh_create_date")
         if audit:
             df = with_audit(df, audit)
-        w = df.write.mode("overwrite")
         if bucket_by and self.buckets:
+            # hash-partitioning on the key into the bucket count gives partition id ==
+            # bucket id, so each bucket is written by one task as one file (otherwise
+            # every write task would emit a file per bucket)
             table = f"lake_{self.tag}_{name.replace('/', '_')}"
-            (w.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
+            (df.repartition(self.buckets, bucket_by).write.mode("overwrite")
+             .bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
              .option("path", path).saveAsTable(table))
             out = self.spark.table(table)
+            self.tables[name] = table
         else:
-            w.parquet(path)
+            df.write.mode("overwrite").parquet(path)
             out = self.spark.read.parquet(path)
         rank.release()  # the written table replaces the cached rank input
         self.timings[name] = round(time.perf_counter() - t0, 3)
         return out.drop(audit) if audit else out
 
-    def plain(self, name: str) -> DataFrame:
-        """A written table read as plain Parquet files (no bucket spec)."""
-        audit = AUDIT_COLUMN.get(name, "dwh_create_date")
-        out = self.spark.read.parquet(f"{self.root}/{name}")
-        return out.drop(audit) if audit else out
-
 
 def bucket_sizes(df: DataFrame, key: str, buckets: int) -> list[int]:
     """Rows per bucket of ``df`` hashed on ``key`` into ``buckets``, smallest first.
@@ -93,7 +92,7 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                gp: G.GoldParams | None = None, mp: M.MartParams = M.MartParams(),
                bronze: dict[str, DataFrame] | None = None,
                fact_buckets: int | None = -1, parallel_tables: int = 6,
-               skew_min_rows: int = 2_000_000) -> dict:
+               skew_min_rows: int = 2_000_000, size_partitions: bool = True) -> dict:
     """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...}}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
@@ -103,15 +102,22 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     ``parallel_tables``: how many independent tables of one layer are built at
     once (1 = one after another).
 
-    A bucketed join cannot be split by AQE: a hot ``order_sk`` (one order with a
-    large share of all items) would be one task. So the item fact's bucket sizes
-    are checked first; if the largest bucket is over AQE's skew factor times the
-    median and over ``skew_min_rows`` rows, the facts are read as plain files
+    A bucketed join cannot be split by AQE: a hot order (one order with a large
+    share of all items) would be one bucket, written and joined by one task. So
+    before the facts are written, the silver items are counted per bucket of
+    their order key; if the largest bucket is over AQE's skew factor times the
+    median and over ``skew_min_rows`` rows, the facts are written as plain files
     and the fact-to-fact join shuffles, where AQE splits the hot partition.
     ``result["fact_join"]`` says which plan was used.
+
+    ``size_partitions``: with the driver-table bindings, first raise
+    ``spark.sql.shuffle.partitions`` (and so the bucket count) from the bound
+    tables' size on storage (:func:`marketlake.session.size_shuffle_partitions`).
     """
     gp = gp or G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
     root = out_dir or default_output(spark)
+    if size_partitions and bronze is None and sf_dir:
+        size_shuffle_partitions(spark, input_bytes(spark, B.bound_paths(sf_dir)))
     if fact_buckets == -1:
         fact_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     put = _Writer(spark, root, fact_buckets)
@@ -142,6 +148,15 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                                silver["orders"], gp)})
     dc, dp, ds = dims["gold/dim_customer"], dims["gold/dim_product"], dims["gold/dim_seller"]
 
+    fact_join = "bucketed" if fact_buckets else "shuffled"
+    if fact_buckets:
+        t0 = time.perf_counter()
+        factor = float(spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5"))
+        if bucket_skewed(bucket_sizes(silver["order_items"], "order_id", fact_buckets), factor,
+                         skew_min_rows):
+            put.buckets, fact_join = None, "shuffled (skewed buckets)"
+        put.timings["gold/bucket_check"] = round(time.perf_counter() - t0, 3)
+
     fo = put("gold/fact_orders", lambda: G.fact_orders(silver["orders"], silver["customers"],
                                                        silver["order_items"],
                                                        silver["order_payments"],
@@ -150,14 +165,6 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     foi = put("gold/fact_order_items",
               lambda: G.fact_order_items(silver["order_items"], fo, dp, ds, dd, gp),
               bucket_by="order_sk")
-    fact_join = "bucketed" if fact_buckets else "shuffled"
-    if fact_buckets:
-        t0 = time.perf_counter()
-        factor = float(spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5"))
-        if bucket_skewed(bucket_sizes(foi, "order_sk", fact_buckets), factor, skew_min_rows):
-            fo, foi, fact_join = put.plain("gold/fact_orders"), put.plain("gold/fact_order_items"), \
-                "shuffled (skewed buckets)"
-        put.timings["gold/bucket_check"] = round(time.perf_counter() - t0, 3)
     base = put("gold/item_order_base", lambda: M.item_order_base(foi, fo, dc, dp))
 
     marts = wave({
@@ -173,4 +180,5 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                                              marts["marts/product_sales_mart"]),
         "marts/customer_360_mart": job(M.customer_360, dc, fo, marts["marts/customer_rfm"], foi, dp,
                                        base=base)})
-    return {"root": root, "timings": put.timings, "fact_join": fact_join}
+    return {"root": root, "timings": put.timings, "fact_join": fact_join,
+            "bucketed_tables": put.tables}

@@ -9,6 +9,7 @@ cluster when it names one.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -67,3 +68,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="marketlake-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+# Input bytes (compressed, on storage) per shuffle partition when sizing from the
+# input. Shuffles carry less than the input (column pruning, filters, map-side
+# partial aggregation), and AQE coalesces small partitions toward
+# spark.sql.adaptive.advisoryPartitionSizeInBytes at runtime, so this is an upper
+# bound on the starting partition size, not the size tasks end up with.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 1 << 30
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes under the given files or folders, from file-system metadata (one
+    recursive summary per path; no data is read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, total_bytes: int,
+                            per_partition: int = INPUT_BYTES_PER_SHUFFLE_PARTITION) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so that no shuffle starts with more
+    than about ``per_partition`` input bytes per partition; a larger setting is
+    kept (never lowered). Returns the setting in effect."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = math.ceil(total_bytes / per_partition)
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+    return max(want, current)

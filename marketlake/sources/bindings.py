@@ -27,7 +27,19 @@ BINDING_CAL_END = "2001-12-31"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+# The driver tables the bronze bindings read.
+BOUND_TABLES = ("customer", "orders", "lineitem", "part", "supplier")
+
+
+def bound_paths(sf_dir: str) -> list[str]:
+    return [table_path(sf_dir, t) for t in BOUND_TABLES]
 
 
 def _s(c) -> F.Column:

@@ -173,3 +173,19 @@ def test_entry_and_registry(spark):
     assert len(q) >= 98
     # only learner-dependent ML outputs lack an oracle
     assert all(k.startswith("ml_") for k in set(q) - set(o))
+
+
+def test_size_shuffle_partitions_raises_never_lowers(spark):
+    from marketlake.session import input_bytes, size_shuffle_partitions
+    from marketlake.sources.bindings import bound_paths
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_shuffle_partitions(spark, 3 * (1 << 30)) == 8  # small input: kept
+        assert size_shuffle_partitions(spark, 100 * (1 << 40)) == 102_400  # 100 TiB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "102400"
+        assert size_shuffle_partitions(spark, 1 << 30) == 102_400  # never lowered
+        n = input_bytes(spark, bound_paths(SF001))
+        assert 0 < n < (1 << 30)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -6,6 +6,7 @@ checked against brute-force Python counts."""
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import tempfile
 from collections import Counter, defaultdict
 
@@ -54,6 +55,22 @@ def test_pipeline_with_hot_keys(spark):
                      gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
     read = lambda n: spark.read.parquet(f"{res['root']}/{n}")
     assert res["fact_join"] == "bucketed"  # no order is hot here
+    # hash-partitioned before the bucketed write: one file per bucket at most
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for fact in ("fact_orders", "fact_order_items"):
+        files = glob.glob(f"{res['root']}/gold/{fact}/*.parquet")
+        assert 0 < len(files) <= buckets
+    # the fact-to-fact join reads both bucketed tables with no exchange
+    t = res["bucketed_tables"]
+    fo, foi = spark.table(t["gold/fact_orders"]), spark.table(t["gold/fact_order_items"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = foi.join(fo.select("order_sk", "order_status"), "order_sk") \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
 
     # exact copies collapse to one row
     assert read("silver/order_items").count() == len(set(items))
