@@ -8,8 +8,8 @@ task. Instead:
    the driver — ``B`` grows with the data (``rows_per_bucket``), the sample
    is ``B * sample_per_bucket`` rows;
 2. tag each row with its range by a binary search over the sorted bounds
-   (``log2 B`` struct comparisons per row, a deterministic column
-   expression — unlike ``spark_partition_id``, which can change when a
+   (``log2 B`` struct comparisons per row, deterministic column
+   expressions — unlike ``spark_partition_id``, which can change when a
    lost partition is recomputed);
 3. count rows per range (``B`` numbers to the driver) and prefix-sum them;
 4. ``rn = offset[range] + row_number() OVER (PARTITION BY range ORDER BY k)``.
@@ -60,29 +60,29 @@ class RankPlan:
     buckets: int
 
 
-def _bucket_expr(key: Column, bounds: list, fields: list[tuple[str, object]]) -> Column:
-    """Index of the range ``key`` falls in: a binary search over the sorted bounds
-    (one literal array), written as an ``aggregate`` over ``ceil(log2(B))`` steps.
-    The expression stays the same size whatever the number of ranges (a nested
-    CASE tree with thousands of leaves outgrows code generation)."""
+def _with_range_tag(df: DataFrame, key: str, bounds: list, fields: list[tuple[str, object]],
+                    name: str) -> DataFrame:
+    """Add ``name`` = the index of the range ``key`` falls in = the number of sorted
+    bounds ``<=`` key, by a binary search unrolled into ``ceil(log2(B + 1))``
+    projections (``pos += k`` when the bound at ``pos + k`` is still ``<=`` key,
+    for k = the powers of two, largest first). Each step reads the previous
+    position once per row and compiles with whole-stage codegen; the plan stays
+    the same size whatever the number of ranges (one literal array of bounds)."""
 
     def lit_struct(row) -> Column:
         return F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)])
 
     arr = F.array(*[lit_struct(b) for b in bounds])
     m = len(bounds)
-    steps = max(1, math.ceil(math.log2(m + 1)))
-
-    def step(state, _):
-        lo, hi = state["lo"], state["hi"]
-        mid = F.call_function("div", lo + hi, F.lit(2).cast("long"))
-        nxt = F.when(key < F.element_at(arr, (mid + 1).cast("int")),
-                     F.struct(lo.alias("lo"), mid.alias("hi"))) \
-            .otherwise(F.struct((mid + 1).alias("lo"), hi.alias("hi")))
-        return F.when(lo < hi, nxt).otherwise(state)
-
-    start = F.struct(F.lit(0).cast("long").alias("lo"), F.lit(m).cast("long").alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"].cast("int")
+    k = 1 << max(0, m.bit_length() - 1)  # largest power of two <= m
+    out = df.withColumn(name, F.lit(0))
+    while k >= 1:
+        pos, nxt = F.col(name), F.col(name) + k
+        # element_at is 1-based: the bound at 0-based index pos + k - 1
+        ok = (nxt <= m) & (F.element_at(arr, F.least(nxt, F.lit(m))) <= F.col(key))
+        out = out.withColumn(name, F.when(ok, nxt).otherwise(pos))
+        k //= 2
+    return out
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
@@ -119,8 +119,8 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
             b = sample[min(len(sample) - 1, int(i * step))]
             if not bounds or b > bounds[-1]:
                 bounds.append(b)
-    bucket = _bucket_expr(F.col("_rk"), bounds, fields) if bounds else F.lit(0)
-    tagged = keyed.withColumn("_rb", bucket)
+    tagged = (_with_range_tag(keyed, "_rk", bounds, fields, "_rb") if bounds
+              else keyed.withColumn("_rb", F.lit(0)))
 
     counts = dict(tagged.groupBy("_rb").count().collect()) if bounds else {0: total}
     offsets, run = {}, 0
