@@ -80,8 +80,12 @@ INPUT_BYTES_PER_SHUFFLE_PARTITION = 1 << 30
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Bytes under the given files or folders, from file-system metadata (one
-    recursive summary per path; no data is read)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    recursive summary per path; no data is read). 0 when the session has no JVM
+    gateway to ask (sizing is then left to the session's own settings)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except AttributeError:
+        return 0
     total = 0
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
