@@ -93,7 +93,9 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                bronze: dict[str, DataFrame] | None = None,
                fact_buckets: int | None = -1, parallel_tables: int = 6,
                skew_min_rows: int = 2_000_000, size_partitions: bool = True) -> dict:
-    """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...}}``.
+    """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...},
+    "fact_join": "bucketed" | "shuffled" | "shuffled (skewed buckets)",
+    "bucketed_tables": {layer name: catalog table}}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
     frames from :func:`marketlake.sources.files.read_csv` for raw CSV inputs.

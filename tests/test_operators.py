@@ -70,6 +70,20 @@ def test_global_rank_empty(spark):
     assert plan.total == 0 and out.count() == 0
 
 
+def test_range_tag_matches_bisect_for_every_bound_count(spark):
+    import bisect
+
+    from marketlake.operators.rank import _with_range_tag
+    keys = spark.createDataFrame([(k,) for k in range(-1, 40)], "k long") \
+        .select(F.struct(F.col("k").alias("k0")).alias("_rk"))
+    fields = [("k0", keys.schema["_rk"].dataType.fields[0].dataType)]
+    for m in range(1, 10):
+        bounds = [3 * i + 2 for i in range(m)]
+        got = {r["_rk"]["k0"]: r["_rb"]
+               for r in _with_range_tag(keys, "_rk", [(b,) for b in bounds], fields, "_rb").collect()}
+        assert got == {k: bisect.bisect_right(bounds, k) for k in range(-1, 40)}, m
+
+
 def test_checks_one_pass(spark):
     df = spark.createDataFrame([(1, None), (None, "x"), (3, " y")], "a int, b string")
     rules = Q.null_rules(["a", "b"]) + Q.untrimmed_rules(["b"])
