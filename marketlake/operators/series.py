@@ -7,9 +7,13 @@ Lags are row-based (the k-th previous *row*), as with a pandas ``shift``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators.rank import global_row_number
+
 
 def add_lags(df: DataFrame, key: str, order: str, col: str, lags: list[int],
              prefix: str | None = None) -> DataFrame:
@@ -39,8 +43,15 @@ def add_rolling_means(df: DataFrame, key: str, order: str, col: str, sizes: list
 
 def chronological_split(df: DataFrame, key: str | None, order: str, train_frac: float = 0.8,
                         name: str = "is_train") -> DataFrame:
-    """ML-10: the first ``floor(train_frac * n)`` rows of each series (by ``order``) train."""
-    w = Window.partitionBy(key) if key else Window.partitionBy(F.lit(0))
+    """ML-10: the first ``floor(train_frac * n)`` rows of each series (by ``order``) train.
+
+    Without a ``key`` the whole frame is one series; it is then ranked with the
+    distributed global rank (``order`` must be unique), not a one-task window."""
+    if not key:
+        ranked, plan = global_row_number(df, [order], name="_rn")
+        cut = math.floor(plan.total * train_frac)
+        return ranked.withColumn(name, (F.col("_rn") <= cut).cast("int")).drop("_rn")
+    w = Window.partitionBy(key)
     wo = w.orderBy(order)
     return (df.withColumn("_rn", F.row_number().over(wo))
             .withColumn("_n", F.count(F.lit(1)).over(w))

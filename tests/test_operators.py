@@ -128,3 +128,13 @@ def test_rolling_and_lags(spark):
     assert [r["v_lag1"] for r in out.collect()] == [None, 1.0, 2.0, 3.0]
     split = chronological_split(df, "k", "t")
     assert [r["is_train"] for r in split.orderBy("t").collect()] == [1, 1, 1, 0]
+
+
+def test_chronological_split_without_key_uses_global_rank(spark):
+    rows = [(t,) for t in random.Random(7).sample(range(100_000), 20_000)]
+    df = spark.createDataFrame(rows, "t long")
+    got = {r["t"]: r["is_train"] for r in chronological_split(df, None, "t").collect()}
+    cut = sorted(t for (t,) in rows)[int(0.8 * len(rows)) - 1]
+    assert got == {t: int(t <= cut) for (t,) in rows}
+    plan = chronological_split(df, None, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
