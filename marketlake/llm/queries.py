@@ -6,10 +6,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe_stream, fertility, language, rule_ensemble, token_counts
+from marketlake.llm import bpe_stream, fertility, language, pii, rule_ensemble, token_counts, warc
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+#: The key of the surrogates; an owner of real data passes a secret one to ``pii.replace_entities``.
+PII_KEY = "corpus-surrogates"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(_table(spark, sf_dir, "pages"))
+
+
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates in place of personal data and secrets."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY, count_col="n_entities")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -38,5 +50,5 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op7_language, op8_bpe_stream, op9_quality, op10_fertility)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility)}
+ORACLE: dict[str, str] = {"op5_warc": warc.ORACLE}
