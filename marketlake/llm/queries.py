@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe_stream, decontaminate, fertility, language, pii, rule_ensemble, token_counts, warc
+from marketlake.llm import bpe_stream, decontaminate, fertility, language, minhash, pii, rule_ensemble, token_counts, warc
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds."""
     return decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -55,5 +59,5 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_token_counts, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_decontamination, op3_token_counts, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility)}
 ORACLE: dict[str, str] = {"op5_warc": warc.ORACLE}
