@@ -46,7 +46,6 @@ def main() -> None:
                           extra={"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
 
-    from marketlake.operators import rank
     from marketlake.plans.catalog import QUERIES  # noqa: F401  (registers every query)
     from marketlake.plans.pipeline import run_layers
     from marketlake.plans.registry import BY_WAREHOUSE
@@ -63,7 +62,6 @@ def main() -> None:
         for name in HEADLINE_QUERIES:
             t1 = time.perf_counter()
             BY_WAREHOUSE[name](built).write.format("noop").mode("overwrite").save()
-            rank.release()  # free inputs a global rank persisted
             timings[name] = round(time.perf_counter() - t1, 3)
         timings["_total"] = round(time.perf_counter() - t0, 3)
         return timings, res

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+WHOLE = "decimal(38,0)"
 
 
 def _c(c) -> Column:
@@ -25,8 +26,9 @@ def money(c) -> Column:
 
 
 def unscaled(c, scale: int = 2) -> Column:
-    """Decimal with ``scale`` places as its integer count of 10^-scale units."""
-    return (_c(c) * (10 ** scale)).cast("long")
+    """Decimal with ``scale`` places as its integer count of 10^-scale units (``decimal(38,0)``,
+    so that sums past 9e16 units hold)."""
+    return (_c(c) * (10 ** scale)).cast(WHOLE)
 
 
 def _idiv(a: Column, b: Column) -> Column:
@@ -40,16 +42,16 @@ def half_up_ratio(num, den, scale: int = 2, mult: int = 1, num_scale: int = 0) -
     :func:`unscaled` for money sums); ``den`` a positive integral count.
     NULL when ``den`` is 0 or NULL.
     """
-    num, den = _c(num).cast("long"), _c(den).cast("long")
+    num, den = _c(num).cast(WHOLE), _c(den).cast(WHOLE)
     # value = num * mult / (den * 10^num_scale); keep `scale` digits
     up = 10 ** scale
-    if scale >= num_scale:
-        scaled_num = F.abs(num) * (mult * 10 ** (scale - num_scale))
-        scaled_den = den
-    else:
-        scaled_num = F.abs(num) * mult
-        scaled_den = den * (10 ** (num_scale - scale))
-    q = _idiv(scaled_num * 2 + scaled_den, scaled_den * 2)
+
+    def times(c: Column, k: int) -> Column:
+        return (c * F.lit(k)).cast(WHOLE) if k != 1 else c
+
+    scaled_num = times(F.abs(num), 2 * mult * 10 ** max(0, scale - num_scale))
+    scaled_den = times(den, 10 ** max(0, num_scale - scale))
+    q = _idiv((scaled_num + scaled_den).cast(WHOLE), times(scaled_den, 2))
     signed = F.when(num < 0, -q).otherwise(q)
     return F.when(den > 0, signed.cast("double") / up)
 

@@ -3,33 +3,29 @@
 ``row_number() OVER (ORDER BY k)`` with no partition puts every row in one
 task. Instead:
 
-1. count the rows, draw a small seeded sample of the *whole* order tuple
-   (which must end in a unique tie-break) and cut it into ``B`` ranges on
-   the driver — ``B`` grows with the data (``rows_per_bucket``), the sample
-   is ``B * sample_per_bucket`` rows;
-2. tag each row with its range by a binary search over the sorted bounds
-   (``log2 B`` struct comparisons per row, deterministic column
-   expressions — unlike ``spark_partition_id``, which can change when a
-   lost partition is recomputed);
-3. count rows per range (``B`` numbers to the driver) and prefix-sum them;
-4. ``rn = offset[range] + row_number() OVER (PARTITION BY range ORDER BY k)``.
+1. the order tuple alone (it must end in a unique tie-break) is cached while
+   the rows are counted, a small seeded sample is drawn and cut into ``B``
+   ranges on the driver. ``B`` follows from the row count (see
+   :func:`range_count`); the sample holds about ``sample_per_range`` tuples per
+   range, which is the only data that reaches the driver;
+2. each row is tagged with its range by a binary search over the sorted bounds
+   (``log2 B`` struct comparisons per row, deterministic column expressions -
+   unlike ``spark_partition_id``, which can change when a lost partition is
+   recomputed);
+3. the rows of each range are counted (``B`` numbers to the driver) and
+   prefix-summed; the cached tuples are freed;
+4. ``rn = offset[range] + row_number() OVER (PARTITION BY range ORDER BY k)``,
+   the offset looked up by array index, all in BIGINT.
 
 Struct comparison is lexicographic, so a first-column value holding a third
-of all rows is still split across ranges by the later columns.
-
-Inputs under ``min_rows_to_split`` rows are one range (Spark plans that window
-as a single ``SinglePartition`` task — bounded by that row count); larger
-inputs get at least twice the default parallelism in ranges.
-Beyond ``max_buckets`` ranges each range simply grows (an external sort per
-task).
-Persisted inputs are tracked and freed with :func:`release` once the ranked
-frame has been written.
+of all rows is still split across ranges by the later columns. NULLs in the
+order tuple raise an error before anything is ranked; a tuple that occurs twice
+raises one when the ranks are computed, since its ranks would be arbitrary.
 """
 
 from __future__ import annotations
 
 import math
-import threading
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -37,29 +33,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-_LOCAL = threading.local()
-
-
-def _persisted() -> list[DataFrame]:
-    if not hasattr(_LOCAL, "frames"):
-        _LOCAL.frames = []
-    return _LOCAL.frames
-
-
-def release() -> None:
-    """Unpersist every input this thread cached in :func:`global_row_number` so far
-    (per thread, so concurrently built tables do not free each other's inputs)."""
-    frames = _persisted()
-    while frames:
-        frames.pop().unpersist()
-
-
 @dataclass(frozen=True)
 class RankPlan:
     total: int
     buckets: int
 
 
+def range_count(total: int, rows_per_range: int = 2_000_000, fine_rows: int = 20_000, fine_ranges: int = 64) -> int:
+    """Ranges for ``total`` rows: one per ``rows_per_range`` rows, and for smaller inputs
+    one per ``fine_rows`` rows up to ``fine_ranges``, so that they too run in parallel; two at least."""
+    return max(2, math.ceil(total / rows_per_range), min(fine_ranges, math.ceil(total / fine_rows)))
+
+
 def _with_range_tag(df: DataFrame, key: str, bounds: list, fields: list[tuple[str, object]],
                     name: str) -> DataFrame:
     """Add ``name`` = the index of the range ``key`` falls in = the number of sorted
@@ -86,54 +71,56 @@ def _with_range_tag(df: DataFrame, key: str, bounds: list, fields: list[tuple[st
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
-                      descending: bool = False, rows_per_bucket: int = 2_000_000,
-                      max_buckets: int = 4096, sample_per_bucket: int = 64,
-                      min_rows_to_split: int = 10_000, max_sample: int = 200_000,
-                      seed: int = 42, persist: bool = True) -> tuple[DataFrame, RankPlan]:
+                      descending: bool = False, rows_per_range: int = 2_000_000,
+                      fine_rows: int = 20_000, sample_per_range: int = 16,
+                      seed: int = 42) -> tuple[DataFrame, RankPlan]:
     """Add ``name`` = 1..N in the order of ``order_cols`` (non-NULL, unique as a tuple).
 
     Returns the frame and the plan (row total, number of ranges).
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _persisted().append(df)
     keyed = df.withColumn("_rk", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
     fields = [(f.name, f.dataType) for f in keyed.schema["_rk"].dataType.fields]
-
-    total = keyed.count()
-    # enough ranges to bound each task (rows_per_bucket) and, once the input is
-    # worth splitting (min_rows_to_split), to use the cluster's parallelism
-    by_size = math.ceil(total / rows_per_bucket)
-    by_cores = min(2 * df.sparkSession.sparkContext.defaultParallelism,
-                   total // min_rows_to_split)
-    n_buckets = int(min(max_buckets, max(1, by_size, by_cores)))
-    bounds: list = []
-    if n_buckets > 1:
-        want = min(n_buckets * sample_per_bucket, max_sample)  # rows sent to the driver
-        frac = min(1.0, 2.0 * want / total)
+    missing = F.lit(False)
+    for n, _ in fields:
+        missing = missing | F.col(f"_rk.{n}").isNull()
+
+    keys = keyed.select("_rk").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        seen = keys.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(missing, 1)).alias("nulls")).first()
+        total = seen["rows"]
+        if seen["nulls"]:
+            raise ValueError(f"{seen['nulls']} rows have NULL in the order columns of {name!r}")
+        ranges = range_count(total, rows_per_range, fine_rows)
+        want = ranges * sample_per_range
         sample = sorted(tuple(r["_rk"]) for r in
-                        keyed.select("_rk").sample(False, frac, seed).collect())
-        step = len(sample) / n_buckets
-        for i in range(1, n_buckets):
-            b = sample[min(len(sample) - 1, int(i * step))]
-            if not bounds or b > bounds[-1]:
-                bounds.append(b)
-    tagged = (_with_range_tag(keyed, "_rk", bounds, fields, "_rb") if bounds
-              else keyed.withColumn("_rb", F.lit(0)))
-
-    counts = dict(tagged.groupBy("_rb").count().collect()) if bounds else {0: total}
-    offsets, run = {}, 0
+                        keys.sample(False, min(1.0, 1.5 * want / total), seed).collect()) if total else []
+        bounds: list = []
+        for i in range(1, ranges):
+            if sample:
+                b = sample[min(len(sample) - 1, i * len(sample) // ranges)]
+                if not bounds or b > bounds[-1]:
+                    bounds.append(b)
+        if not bounds:  # no or hardly any rows: any tuple is a bound, one range stays empty
+            bounds = [sample[-1]] if sample else [tuple(r["_rk"]) for r in keys.limit(1).collect()]
+        counts = dict(_with_range_tag(keys, "_rk", bounds, fields, "_rb").groupBy("_rb").count().collect()) \
+            if bounds else {}
+    finally:
+        keys.unpersist()
+    offsets, run = [], 0
     for b in range(len(bounds) + 1):
-        offsets[b] = run
+        offsets.append(run)
         run += counts.get(b, 0)
-    offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))])
+    starts = F.array(*[F.lit(o).cast("long") for o in offsets])
 
+    tagged = _with_range_tag(keyed, "_rk", bounds, fields, "_rb") if bounds else keyed.withColumn("_rb", F.lit(0))
     w = Window.partitionBy("_rb").orderBy(*[F.col(f"_rk.{n}") for n, _ in fields])
-    rn = (F.element_at(offset_map, F.col("_rb")) + F.row_number().over(w)).cast("long")
+    rank = F.element_at(starts, F.col("_rb") + 1) + F.row_number().over(w).cast("long")
+    twice = F.lag("_rk").over(w) == F.col("_rk")
+    rn = F.when(twice, F.raise_error(F.lit(f"order columns of {name} repeat a value"))).otherwise(rank)
     if descending:
         rn = F.lit(total + 1).cast("long") - rn
-    out = tagged.withColumn(name, rn).drop("_rk", "_rb")
+    out = tagged.withColumn(name, rn.cast("long")).drop("_rk", "_rb")
     return out, RankPlan(total=total, buckets=len(bounds) + 1)
 
 

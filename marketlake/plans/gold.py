@@ -89,7 +89,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, payments: DataFrame,
     orders_n, value = F.col("lifetime_orders"), F.col("lifetime_value")
     out = m.select(
         "customer_unique_id", "customer_city", "customer_state", "first_order_date",
-        "last_order_date", orders_n.cast("int").alias("lifetime_orders"),
+        "last_order_date", orders_n.alias("lifetime_orders"),
         value.cast("decimal(18,2)").alias("lifetime_value"),
         F.coalesce(half_up_ratio(unscaled(value), orders_n, 2, num_scale=2), F.lit(0.0))
         .cast("decimal(18,2)").alias("avg_order_value"),
@@ -99,7 +99,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, payments: DataFrame,
         .when(orders_n >= p.regular_orders, "REGULAR")
         .otherwise("NEW").alias("customer_segment"))
     return surrogate_key(out, ["customer_unique_id"], "customer_sk").select(
-        F.col("customer_sk").cast("int").alias("customer_sk"), *out.columns)
+        F.col("customer_sk"), *out.columns)
 
 
 def customer_keys(customers: DataFrame, dim_cust: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def fact_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
     out = base.select(
         "order_id", F.col("customer_sk"), F.col("date_sk").alias("purchase_date_sk"),
         "order_status",
-        F.coalesce(F.col("total_items"), F.lit(0)).cast("int").alias("total_items"),
+        F.coalesce(F.col("total_items"), F.lit(0)).cast("long").alias("total_items"),
         F.coalesce(F.col("total_item_amount"), zero).cast("decimal(18,2)").alias("total_item_amount"),
         F.coalesce(F.col("total_freight_amount"), zero).cast("decimal(18,2)")
         .alias("total_freight_amount"),
@@ -152,7 +152,7 @@ def fact_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
         F.col("approval_time").alias("approval_minutes"),
         D.day_diff("order_purchase_timestamp", "order_approved_at").alias("approval_days"))
     keyed = surrogate_key(out, ["order_id"], "order_sk")
-    return keyed.select(F.col("order_sk").cast("int").alias("order_sk"), *out.columns)
+    return keyed.select(F.col("order_sk"), *out.columns)
 
 
 def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         F.col("product_volume").cast("int").alias("product_volume_cm3"),
         "product_density", "product_size_category")
     keyed = surrogate_key(out, ["product_id"], "product_sk")
-    return keyed.select(F.col("product_sk").cast("int").alias("product_sk"), *out.columns)
+    return keyed.select(F.col("product_sk"), *out.columns)
 
 
 def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame,
@@ -200,14 +200,14 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame,
         "seller_city", "seller_state",
         F.to_date("_first").alias("first_sale_date"),
         F.to_date("_last").alias("last_sale_date"),
-        F.coalesce(F.col("_orders"), F.lit(0)).cast("int").alias("total_orders"),
-        F.coalesce(F.col("_items"), F.lit(1)).cast("int").alias("total_items_sold"),
+        F.coalesce(F.col("_orders"), F.lit(0)).cast("long").alias("total_orders"),
+        F.coalesce(F.col("_items"), F.lit(1)).cast("long").alias("total_items_sold"),
         F.coalesce(sales, F.lit(0)).cast("decimal(18,2)").alias("total_sales_amount"),
         F.coalesce(half_up_ratio(unscaled(sales), F.col("_priced"), 2, num_scale=2), F.lit(0.0))
         .cast("decimal(18,2)").alias("avg_item_price"),
         F.coalesce((sales >= p.top_seller_sales).cast("int"), F.lit(0)).alias("is_top_seller"))
     keyed = surrogate_key(out, ["seller_id"], "seller_sk")
-    return keyed.select(F.col("seller_sk").cast("int").alias("seller_sk"), *out.columns)
+    return keyed.select(F.col("seller_sk"), *out.columns)
 
 
 def fact_order_items(items: DataFrame, f_orders: DataFrame, d_product: DataFrame,
@@ -244,7 +244,7 @@ def fact_order_items(items: DataFrame, f_orders: DataFrame, d_product: DataFrame
                                 "shipping_limit_date", "_p", "_f"], "order_item_sk")
     cols = [c for c in out.columns if c not in ("product_id", "seller_id",
                                                 "shipping_limit_date", "_p", "_f")]
-    return keyed.select(F.col("order_item_sk").cast("int").alias("order_item_sk"), *cols)
+    return keyed.select(F.col("order_item_sk"), *cols)
 
 
 @dataclass

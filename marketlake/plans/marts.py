@@ -65,17 +65,16 @@ def customer_rfm(fact_orders: DataFrame, dim_date: DataFrame, as_of=None,
     """
     metrics = fact_orders.groupBy("customer_sk").agg(
         F.max("purchase_date_sk").alias("last_purchase_date_sk"),
-        F.countDistinct("order_id").alias("frequency_orders"),
+        F.count(F.lit(1)).alias("frequency_orders"),
         F.sum("total_payment_amount").alias("monetary_value"))
     dates = F.broadcast(dim_date.select("date_sk", "full_date"))
-    if as_of is None:
-        as_of = fact_orders.agg(F.max("purchase_date_sk")).first()[0]
-        as_of = str(as_of)
-        as_of = f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}"
-    base = (metrics.join(dates, F.col("last_purchase_date_sk") == F.col("date_sk"))
+    dated = metrics.join(dates, F.col("last_purchase_date_sk") == F.col("date_sk"))
+    # default: the latest of the customers' last purchases, a scalar subquery of the plan
+    latest = dated.agg(F.max("full_date")).scalar() if as_of is None else F.to_date(F.lit(as_of))
+    base = (dated
             .select("customer_sk",
-                    F.datediff(F.to_date(F.lit(as_of)), F.col("full_date")).alias("recency_days"),
-                    F.col("frequency_orders").cast("int").alias("frequency_orders"),
+                    F.datediff(latest, F.col("full_date")).alias("recency_days"),
+                    F.col("frequency_orders").cast("long").alias("frequency_orders"),
                     F.col("monetary_value").cast("decimal(18,2)").alias("monetary_value")))
     desc_r = p.recency_order == "desc"
     scored = global_ntile(base, 5, ["recency_days", "customer_sk"], "r_score",
@@ -118,8 +117,8 @@ def cohort_retention(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         .select("cohort_month", F.col("retained_customers").alias("cohort_size"))
     return counts.join(sizes, "cohort_month").select(
         "cohort_month", F.col("retention_month").cast("int").alias("retention_month"),
-        F.col("retained_customers").cast("int").alias("retained_customers"),
-        F.col("cohort_size").cast("int").alias("cohort_size"),
+        F.col("retained_customers").cast("long").alias("retained_customers"),
+        F.col("cohort_size").cast("long").alias("cohort_size"),
         half_up_ratio("retained_customers", "cohort_size", 2, mult=100).alias("retention_rate"))
 
 
@@ -178,8 +177,8 @@ def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
         F.sum("is_repeat_customer").alias("_repeat"),
         F.count("is_repeat_customer").alias("_n_repeat"))
     out = m.select(
-        "seller_sk", F.col("total_orders").cast("int").alias("total_orders"),
-        F.col("total_items_sold").cast("int").alias("total_items_sold"),
+        "seller_sk", F.col("total_orders").cast("long").alias("total_orders"),
+        F.col("total_items_sold").cast("long").alias("total_items_sold"),
         F.col("_rev").cast("decimal(18,2)").cast("double").alias("total_revenue"),
         _mean_money("_rev", "_n_rev").alias("avg_order_value"),
         _mean_money("_price", "_n_price").alias("avg_item_price"),
@@ -230,8 +229,8 @@ def product_sales(fact_order_items: DataFrame, fact_orders: DataFrame,
     delayed_pct_ge = lambda t: F.col("_delayed") * 100 >= F.col("_n_delayed") * t
     return m.select(
         "product_sk", "product_category_name",
-        F.col("total_orders").cast("int").alias("total_orders"),
-        qty.cast("int").alias("total_quantity_sold"),
+        F.col("total_orders").cast("long").alias("total_orders"),
+        qty.cast("long").alias("total_quantity_sold"),
         rev.cast("double").alias("total_revenue"),
         _mean_money("_price", "_n_price").alias("avg_selling_price"),
         _mean_money("_freight", "_n_freight").alias("avg_freight_value"),
@@ -270,9 +269,9 @@ def delivery_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
     pct_le = lambda t: F.col("_delayed") * 100 <= F.col("_n_delayed") * t
     pct_ge = lambda t: F.col("_delayed") * 100 >= F.col("_n_delayed") * t
     return m.select(
-        "seller_sk", F.col("total_orders").cast("int").alias("total_orders"),
-        F.col("delivered_orders").cast("int").alias("delivered_orders"),
-        F.col("delayed_orders").cast("int").alias("delayed_orders"),
+        "seller_sk", F.col("total_orders").cast("long").alias("total_orders"),
+        F.col("delivered_orders").cast("long").alias("delivered_orders"),
+        F.col("delayed_orders").cast("long").alias("delayed_orders"),
         half_up_ratio("_dd", "_n_dd", 2).alias("avg_delivery_days"),
         half_up_ratio("_gap", "_n_gap", 2).alias("avg_estimated_gap_days"),
         half_up_ratio("_delayed", "_n_delayed", 2, mult=100).alias("delay_rate"),
@@ -324,9 +323,9 @@ def executive_kpi(fact_orders: DataFrame, dim_date: DataFrame,
     n = F.col("total_orders")
     return g.select(
         F.col("date_sk").cast("int").alias("date_sk"), "full_date",
-        n.cast("int").alias("total_orders"),
-        F.col("total_customers").cast("int").alias("total_customers"),
-        F.col("repeat_customers").cast("int").alias("repeat_customers"),
+        n.cast("long").alias("total_orders"),
+        F.col("total_customers").cast("long").alias("total_customers"),
+        F.col("repeat_customers").cast("long").alias("repeat_customers"),
         F.col("total_gmv").cast("double").alias("total_gmv"),
         half_up_ratio(unscaled(F.col("total_gmv")), n, 2, num_scale=2).alias("avg_order_value"),
         _div(F.col("_review_sum"), n).alias("avg_review_score"),
@@ -341,9 +340,9 @@ def monthly_business_summary(fact_orders: DataFrame, dim_date: DataFrame,
                              D.year_month("full_date"), "year_month")
     n = F.col("total_orders")
     return g.select(
-        "year_month", n.cast("int").alias("total_orders"),
-        F.col("total_customers").cast("int").alias("total_customers"),
-        F.col("repeat_customers").cast("int").alias("repeat_customers"),
+        "year_month", n.cast("long").alias("total_orders"),
+        F.col("total_customers").cast("long").alias("total_customers"),
+        F.col("repeat_customers").cast("long").alias("repeat_customers"),
         F.col("total_gmv").cast("double").alias("total_gmv"),
         half_up_ratio(unscaled(F.col("total_gmv")), n, 2, num_scale=2).alias("avg_order_value"),
         round_double(_div(F.col("_review_sum"), n)).alias("avg_review_score"),
@@ -363,8 +362,8 @@ def category_dashboard(product_mart: DataFrame) -> DataFrame:
         F.sum(cents("delay_rate")).alias("_dl"), F.count("delay_rate").alias("_n_dl"),
         F.sum(cents("freight_ratio")).alias("_fr"), F.count("freight_ratio").alias("_n_fr"))
     return g.select(
-        "product_category_name", F.col("total_products").cast("int").alias("total_products"),
-        F.col("total_orders").cast("int").alias("total_orders"),
+        "product_category_name", F.col("total_products").cast("long").alias("total_products"),
+        F.col("total_orders").cast("long").alias("total_orders"),
         F.col("total_revenue").cast("double").alias("total_revenue"),
         half_up_ratio("_rv", "_n_rv", 2, num_scale=2).alias("avg_review_score"),
         half_up_ratio("_dl", "_n_dl", 2, num_scale=2).alias("avg_delay_rate"),

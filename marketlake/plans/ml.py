@@ -168,15 +168,12 @@ def churn_model(w) -> dict:
     return {"model": model, "pred": pred, "names": names}
 
 
-# The notebook grows these forests without a depth limit. Spark grows trees level by
-# level (one distributed pass per level), so depth is the cost driver; 16 levels allow
-# 65 536 leaves, more than the training rows per tree at test scale, i.e. effectively
-# unlimited there. Raise it (Spark's maximum is 30) for larger data if wanted.
-UNLIMITED_DEPTH = 16
+# The notebook grows these forests without a depth limit; 30 is the most Spark's trees allow.
+UNLIMITED_DEPTH = 30
 
 
 def delay_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
-    """ML-5: order delay classifier — RF 100 trees, depth effectively unlimited."""
+    """ML-5: order delay classifier — RF 100 trees, the deepest trees Spark grows."""
     model, pred, names = _classify(w.fact_orders, DELAY_FEATURES, "is_delayed", "order_sk", 100,
                                    max_depth)
     return {"model": model, "pred": pred, "names": names}
@@ -225,7 +222,7 @@ def monthly_model(w) -> dict:
     feats = ["sales_lag1", "sales_lag2", "sales_lag3"]
     data = chronological_split(_monthly_frame(w), "product_category_name", "month")
     asm = VectorAssembler(inputCols=feats, outputCol="features")
-    rf = RandomForestRegressor(numTrees=100, seed=SEED, featureSubsetStrategy="all",
+    rf = RandomForestRegressor(numTrees=100, maxDepth=UNLIMITED_DEPTH, seed=SEED, featureSubsetStrategy="all",
                                labelCol="sales")
     model = Pipeline(stages=[asm, rf]).fit(data.filter("is_train = 1"))
     pred = model.transform(data.filter("is_train = 0"))

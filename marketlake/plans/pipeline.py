@@ -16,7 +16,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators import rank
 from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
@@ -66,7 +65,6 @@ class _Writer:
         else:
             df.write.mode("overwrite").parquet(path)
             out = self.spark.read.parquet(path)
-        rank.release()  # the written table replaces the cached rank input
         self.timings[name] = round(time.perf_counter() - t0, 3)
         return out.drop(audit) if audit else out
 

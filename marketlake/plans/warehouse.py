@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
-from marketlake.session import input_bytes, size_shuffle_partitions
 from marketlake.sources import bindings as B
 
 BINDING_GOLD = G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
@@ -170,10 +169,9 @@ _CACHE: dict[tuple, Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The shared lazy warehouse over ``sf_dir``; on first use the session's shuffle
-    partitions are raised to the bound tables' size (never lowered)."""
+    """The shared lazy warehouse over ``sf_dir``. The session's settings are left alone; a job
+    that wants its shuffle partitions sized calls :func:`marketlake.session.size_shuffle_partitions`."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
-        size_shuffle_partitions(spark, input_bytes(spark, B.bound_paths(sf_dir)))
         _CACHE[key] = Warehouse(spark, sf_dir)
     return _CACHE[key]

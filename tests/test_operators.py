@@ -45,7 +45,7 @@ def test_global_rank_matches_plain_window_with_heavy_ties(spark):
     # first column: one value holds a third of the rows; unique tie-break second
     rows = [(0 if i % 3 == 0 else rnd.randint(1, 50), f"id{i:05d}") for i in range(3000)]
     df = spark.createDataFrame(rows, "a int, b string")
-    ours, plan = global_row_number(df, ["a", "b"], name="rn", rows_per_bucket=200)
+    ours, plan = global_row_number(df, ["a", "b"], name="rn", rows_per_range=200)
     assert plan.buckets > 5
     ref = df.withColumn("rn_ref", F.row_number().over(Window.orderBy("a", "b")))
     j = ours.join(ref, ["a", "b"])
@@ -56,10 +56,10 @@ def test_global_rank_matches_plain_window_with_heavy_ties(spark):
 def test_global_rank_descending_and_ntile(spark):
     rows = [(i % 17, i) for i in range(1000)]
     df = spark.createDataFrame(rows, "v int, k int")
-    ours = global_ntile(df, 5, ["v", "k"], "q", rows_per_bucket=100)
+    ours = global_ntile(df, 5, ["v", "k"], "q", rows_per_range=100)
     ref = df.withColumn("q_ref", F.ntile(5).over(Window.orderBy("v", "k")))
     assert ours.join(ref, ["v", "k"]).filter("q != q_ref").count() == 0
-    desc, _ = global_row_number(df, ["v", "k"], name="rn", descending=True, rows_per_bucket=100)
+    desc, _ = global_row_number(df, ["v", "k"], name="rn", descending=True, rows_per_range=100)
     ref2 = df.withColumn("rn_ref", F.row_number().over(Window.orderBy(F.desc("v"), F.desc("k"))))
     assert desc.join(ref2, ["v", "k"]).filter("rn != rn_ref").count() == 0
 
