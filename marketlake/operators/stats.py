@@ -25,23 +25,17 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, scale: int = 2) ->
     is computed exactly with integer division: ``1 + (v-min)*bins div (max-min)``,
     clamped to ``bins``. Output: bin, lower edge, upper edge, count.
     """
-    u = (F.col(col) * (10 ** scale)).cast("long")
-    lo, hi = df.agg(F.min(u), F.max(u)).first()
-    if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_low double, bin_high double, n long")
-    width = max(hi - lo, 1)
-    b = F.least(F.lit(bins).cast("long"),
-                F.call_function("div", (u - F.lit(lo)) * bins, F.lit(width).cast("long")) + 1)
-    counted = df.filter(F.col(col).isNotNull()).groupBy(b.cast("int").alias("bin")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    values = df.select((F.col(col) * (10 ** scale)).cast("long").alias("_u")).filter(F.col("_u").isNotNull())
+    # the two bounds are scalar subqueries of the same lazy plan
+    lo, hi = values.agg(F.min("_u")).scalar(), values.agg(F.max("_u")).scalar()
+    at = F.call_function("div", (F.col("_u") - F.col("_lo")) * bins, F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1)))
+    counted = values.withColumn("_lo", lo).withColumn("_hi", hi) \
+        .withColumn("bin", F.least(F.lit(bins).cast("long"), at + 1)) \
+        .groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
     f = float(10 ** scale)
-    b64 = F.col("bin").cast("long")
-    span = F.lit(hi - lo).cast("long")
-    return counted.select(
-        "bin",
-        ((F.lit(lo).cast("long") + ((b64 - 1) * span).cast("double") / bins) / f).alias("bin_low"),
-        ((F.lit(lo).cast("long") + (b64 * span).cast("double") / bins) / f).alias("bin_high"),
-        "n")
+    edge = lambda k: (F.col("_lo") + (k * (F.col("_hi") - F.col("_lo"))).cast("double") / bins) / f
+    return counted.select(F.col("bin").cast("int").alias("bin"), edge(F.col("bin") - 1).alias("bin_low"),
+                          edge(F.col("bin")).alias("bin_high"), "n")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:

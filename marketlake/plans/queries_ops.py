@@ -336,6 +336,76 @@ def dq_fd(w):
                            fold_accents("geolocation_city"), "city_cnt")
 
 
+@register("dq_fd_state", compose("""
+SELECT geolocation_zip_code_prefix, len(list_distinct(list(geolocation_state))) AS state_cnt
+FROM b_geolocation GROUP BY ALL HAVING state_cnt > 1"""))
+def dq_fd_state(w):
+    """DQ-11: zip prefixes mapped to more than one state."""
+    return Q.fd_violations(w.bronze["geolocation"], "geolocation_zip_code_prefix", "geolocation_state", "state_cnt")
+
+
+@register("dq_geo_range", compose(_checks_sql("b_geolocation", [
+    ("lat", "abs(geolocation_lat) > 90"), ("lng", "abs(geolocation_lng) > 180")])))
+def dq_geo_range(w):
+    """DQ-8: coordinates off the globe."""
+    return Q.checks(w.bronze["geolocation"], [Q.range_rule("lat", "geolocation_lat", lo=-90, hi=90),
+                                              Q.range_rule("lng", "geolocation_lng", lo=-180, hi=180)])
+
+
+_BRONZE_TABLES = ["customers", "geolocation", "order_items", "order_payments", "order_reviews", "orders", "products",
+                  "sellers", "category_translation"]
+
+
+def _copies_sql(layer: str, prefix: str, tables: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS n_rows, "
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {prefix}{t})) AS n_copies FROM {prefix}{t}" for t in tables)
+
+
+def _copies(tables: dict, layer: str):
+    """Rows and surplus full-row copies of each table, one aggregate over its distinct rows."""
+    out = None
+    for name in _BRONZE_TABLES:
+        df = tables[name]
+        part = df.groupBy(*df.columns).count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows"),
+                                                   F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n_copies")) \
+            .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", "n_copies")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("dq_full_row_duplicates", compose(_copies_sql("bronze", "b_", _BRONZE_TABLES) + "\nUNION ALL\n"
+                                            + _copies_sql("silver", "s_", _BRONZE_TABLES)))
+def dq_full_row_duplicates(w):
+    """DQ-2/13: full-row copies of all nine tables, before and after the silver load."""
+    return _copies(w.bronze, "bronze").unionByName(_copies(w.silver, "silver"))
+
+
+_AMOUNT_RULES = [("order_items", "price<0", "price < 0"), ("order_items", "freight<0", "freight_value < 0"),
+                 ("order_payments", "value<0", "payment_value < 0"), ("order_payments", "installments<0", "payment_installments < 0"),
+                 ("order_payments", "sequential<0", "payment_sequential < 0"), ("order_reviews", "score", "review_score NOT BETWEEN 1 AND 5"),
+                 ("order_reviews", "answered before", "review_answer_timestamp < review_creation_date"),
+                 ("order_reviews", "no id", "review_id IS NULL"), ("customers", "untrimmed", "customer_city <> trim(customer_city)"),
+                 ("products", "no category", "product_category_name IS NULL"), ("sellers", "zip", "seller_zip_code_prefix NOT BETWEEN '1000' AND '99999'")]
+
+
+@register("dq_suite", compose("\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS table_name, '{label}' AS rule, count_if({rule}) AS n_bad FROM {p}{t}"
+    for layer, p in (("bronze", "b_"), ("silver", "s_")) for t, label, rule in _AMOUNT_RULES)))
+def dq_suite(w):
+    """DQ-7/8/13, FIL-12: the value rules of all tables, before and after the silver load;
+    one aggregate per table and layer over its rules."""
+    out = None
+    for layer, tables in (("bronze", w.bronze), ("silver", w.silver)):
+        for name in dict.fromkeys(t for t, _, _ in _AMOUNT_RULES):
+            rules = [(label, rule) for t, label, rule in _AMOUNT_RULES if t == name]
+            counted = tables[name].agg(F.array(*[F.struct(F.lit(label).alias("rule"), F.count_if(F.expr(rule)).alias("n_bad"))
+                                                 for label, rule in rules]).alias("_r"))
+            part = counted.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.inline("_r"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("dq_orphans", compose("""
 SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, i.price
 FROM s_order_items i WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_id = i.order_id)"""))
@@ -537,6 +607,19 @@ def agg_histogram(w):
     return ST.equal_width_histogram(w.dim_customer, "lifetime_value", 50)
 
 
+@register("agg_revenue_histogram", compose("""
+WITH cents AS (SELECT CAST(CAST(total_revenue AS DECIMAL(18,2)) * 100 AS BIGINT) AS u FROM m_seller_performance),
+placed AS (SELECT least(100, 1 + (u - min(u) OVER ()) * 100 // greatest(1, max(u) OVER () - min(u) OVER ())) AS bin,
+                  min(u) OVER () AS low, max(u) OVER () - min(u) OVER () AS span FROM cents)
+SELECT bin::INTEGER AS bin, (low + ((bin - 1) * span)::DOUBLE / 100) / 100.0 AS bin_low,
+       (low + (bin * span)::DOUBLE / 100) / 100.0 AS bin_high, count(*) AS n
+FROM placed GROUP BY bin, low, span"""))
+def agg_revenue_histogram(w):
+    """AN-3: 100 equal-width bins of seller revenue."""
+    revenue = w.seller_performance.select(F.col("total_revenue").cast("decimal(18,2)").alias("total_revenue"))
+    return ST.equal_width_histogram(revenue, "total_revenue", 100)
+
+
 @register("agg_value_counts", compose("""
 SELECT customer_segment, COUNT(*) AS n FROM g_dim_customer GROUP BY customer_segment"""))
 def agg_value_counts(w):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import quality as Q
 from marketlake.plans import silver as S
 from marketlake.plans.registry import register
+from marketlake.plans.warehouse import Warehouse
 from marketlake.session import ensure_checkpoint_dir
 from marketlake.sources import schemas as SC
 from marketlake.sources.calendar import calendar_covering, date_columns
@@ -60,6 +61,24 @@ def src_csv_roundtrip(w):
     return read_csv(w.spark, path, SC.BRONZE["customers"])
 
 
+@register("src_csv_to_mart", compose("SELECT * FROM m_monthly_business_summary"))
+def src_csv_to_mart(w):
+    """SRC-13: the nine sources written as CSV files, read back by header name, and built into
+    silver, gold and the monthly mart."""
+    tables = {}
+    for name, schema in SC.BRONZE.items():
+        path = _export_dir(w, name)
+        # written in reverse column order: the reader goes by name
+        df = w.bronze[name]
+        df.select(*reversed(df.columns)).write.option("header", True).option("escape", '"') \
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("ignoreLeadingWhiteSpace", False) \
+            .option("ignoreTrailingWhiteSpace", False).csv(path)
+        tables[name] = read_csv(w.spark, path, schema)
+    built = Warehouse(w.spark, w.sf_dir, w.gp, w.mp)
+    built.bronze = tables
+    return built.monthly_business_summary
+
+
 @register("fil_date_bounds", compose("""
 SELECT review_id, review_creation_date, review_answer_timestamp FROM b_order_reviews
 WHERE review_creation_date > TIMESTAMP '2030-01-01 00:00:00'

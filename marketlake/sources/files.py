@@ -21,26 +21,44 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def _rename_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.toDF(*[f.name for f in schema.fields])
+def _tidy(header: str) -> str:
+    return header.lstrip("\ufeff").strip().lower()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-             multiline: bool = True) -> DataFrame:
-    """Header CSV with an explicit schema (SRC-1, SRC-4).
+             multiline: bool = True, rejected: str | None = None) -> DataFrame:
+    """Header CSV with an explicit schema (SRC-1, SRC-3, SRC-4), columns taken by *name*.
+
+    Headers are tidied (byte-order mark, blanks, case) and may come in any order; a missing
+    column is an error, further ones are ignored. A row that does not fit the schema stops
+    the read, or, with ``rejected``, is kept with NULLs and its raw line in the column of that
+    name, to be counted by :func:`rejected_rows`.
 
     ``multiLine`` is required for quoted free text with line breaks; such
     files are not splittable, so a huge source should be split into many
     files upstream (Spark then reads them in parallel).
     """
-    df = (spark.read.schema(schema)
-          .option("header", True).option("sep", sep)
-          .option("multiLine", multiline).option("escape", '"')
-          .option("nullValue", "").option("emptyValue", None)
-          .option("mode", "PERMISSIVE")
-          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-          .csv(path))
-    return normalize_columns(df)
+    options = {"header": True, "sep": sep, "multiLine": multiline, "escape": '"', "nullValue": "",
+               "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    headers = [_tidy(c) for c in spark.read.options(**options).csv(path).columns]  # reads the first line
+    missing = [f.name for f in schema.fields if f.name not in headers]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} among {', '.join(headers)}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    raw = T.StructType([T.StructField(f"_{k}", kinds.get(h, T.StringType())) for k, h in enumerate(headers)]
+                       + ([T.StructField("_rejected", T.StringType())] if rejected else []))
+    df = (spark.read.schema(raw).options(**options)
+          .option("mode", "PERMISSIVE" if rejected else "FAILFAST")
+          .option("columnNameOfCorruptRecord", "_rejected").csv(path))
+    kept = [F.col(f"_{headers.index(f.name)}").alias(f.name) for f in schema.fields]
+    return df.select(*kept, *([F.col("_rejected").alias(rejected)] if rejected else []))
+
+
+def rejected_rows(df: DataFrame, rejected: str, table: str) -> DataFrame:
+    """Data-quality row (table_name, n_rows, n_rejected) of a frame read with ``rejected``."""
+    first = next(c for c in df.columns if c != rejected)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(rejected).alias("n_rejected"), F.count(first).alias("_")) \
+        .select(F.lit(table).alias("table_name"), "n_rows", "n_rejected")
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
@@ -50,11 +68,6 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
     return read_csv(spark, path, schema, sep="\t", multiline=multiline)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Table scan (SRC-11): Parquet, with pushdown and pruning left to Catalyst."""
-    return spark.read.parquet(path)
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``INSERT INTO t(cols) SELECT`` by *name* with casts to the target types (SRC-8)."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlake.operators import quality as Q
 from marketlake.operators import stats as ST
 from marketlake.operators.dedupe import dedupe_by_key, dedupe_rows, majority_row
+from marketlake.functions.numeric import half_up_ratio
 from marketlake.operators.rank import global_ntile, global_row_number, ntile_expr
 from marketlake.operators.series import add_lags, add_rolling_means, chronological_split
 
@@ -138,3 +141,26 @@ def test_chronological_split_without_key_uses_global_rank(spark):
     assert got == {t: int(t <= cut) for (t,) in rows}
     plan = chronological_split(df, None, "t")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_global_rank_rejects_nulls_and_repeated_tuples(spark):
+    with pytest.raises(ValueError):
+        global_row_number(spark.createDataFrame([(1,), (None,)], "a int"), ["a"])
+    out, _ = global_row_number(spark.createDataFrame([(1,), (1,), (2,)], "a int"), ["a"])
+    with pytest.raises(Exception):
+        out.collect()
+
+
+def test_global_rank_has_no_single_partition_window_and_keeps_nothing_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for n in (2, 50, 30_000):
+        out, plan = global_row_number(spark.range(n), ["id"])
+        assert plan.buckets >= 2 and "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+        assert [r.rn for r in out.orderBy("id").limit(3).collect()] == list(range(1, min(n, 3) + 1))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_rank_and_ratio_past_two_billion(spark):
+    row = spark.range(1).select(ntile_expr(F.lit(3_000_000_000).cast("long"), 3_000_000_001, 4).alias("q"),
+                                half_up_ratio(F.lit("15000000000000000").cast("decimal(38,0)"), F.lit(10**12), 6, num_scale=2).alias("v")).first()
+    assert row.q == 4 and row.v == 150.0
