@@ -59,14 +59,14 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 
 class Phrases:
     """The phrases of a block's documents, as arrays: doc (place in the block), first and last
-    start of the strings, trigger hash, content hash, and hashes of 17 bytes on either side."""
+    start of the strings, place of the trigger, its hash, content hash, and hashes of 17 bytes on either side."""
 
     def __init__(self, texts: list[bytes], length: int, trigger: int):
         self.length, self.trigger = length, trigger
         self.up, self.down = _powers()
         parts = [p for k, t in enumerate(texts) for p in self._parse(k, t)]
-        cols = zip(*parts) if parts else [[np.empty(0, np.int64)]] * 3 + [[np.empty(0, np.uint64)]] * 4
-        self.doc, self.first, self.last, self.hash, self.content, self.left, self.right = (np.concatenate(list(c)) for c in cols)
+        cols = zip(*parts) if parts else [[np.empty(0, np.int64)]] * 4 + [[np.empty(0, np.uint64)]] * 4
+        self.doc, self.first, self.last, self.place, self.hash, self.content, self.left, self.right = (np.concatenate(list(c)) for c in cols)
 
     def _sums(self, raw: bytes) -> np.ndarray:
         value = BYTE_VALUE[np.frombuffer(raw, np.uint8)]
@@ -97,16 +97,22 @@ class Phrases:
             left = np.where(has_left, self._cut(sums, np.where(has_left, p - reach, 0), p) | np.uint64(1), np.uint64(0))
             to = p + self.trigger + half - reach
             right = np.where(has_right & (to <= len(raw)), self._cut(sums, p + self.trigger, np.minimum(to, len(raw))) | np.uint64(1), np.uint64(0))
-            yield np.full(len(first), k, np.int64), first + at, last + at, h[p], content, left, right
+            yield np.full(len(first), k, np.int64), first + at, last + at, p + at, h[p], content, left, right
 
-    def strings(self, texts: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(doc, start, hash) of every string of the chosen phrases."""
+    def strings(self, texts: list[bytes], which: np.ndarray, by_left: np.ndarray, by_right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, start, hash) of the strings of the chosen phrases that hold the bytes left of the
+        trigger, for phrases marked ``by_left``, or those to its right."""
         docs, starts, hashes = [], [], []
+        # strings with the bytes to the left start at or before trigger - reach, the others from there on
+        turn = self.place[which] - (self.length - self.trigger + 1) // 2
+        first = np.where(by_left, self.first[which], np.maximum(self.first[which], turn))
+        last = np.where(by_right, self.last[which], np.minimum(self.last[which], turn))
+        some = (by_left | by_right) & (first <= last)
+        which, first, last = which[some], first[some], last[some]
         for k in np.unique(self.doc[which]):
-            mine = which[self.doc[which] == k]
-            n = self.last[mine] - self.first[mine] + 1
-            s = np.repeat(self.first[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            base = int(s.min()) // PIECE * PIECE if len(texts[k]) > PIECE else 0
+            mine = self.doc[which] == k
+            n = last[mine] - first[mine] + 1
+            s = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             if len(texts[k]) <= PIECE:
                 got = self._cut(self._sums(texts[k]), s, s + self.length)
             else:  # hash piece by piece; the value does not depend on the piece
@@ -146,6 +152,10 @@ def _messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["block", "part", "kind", "payload"])
 
 
+def _bits(flags: np.ndarray) -> np.ndarray:
+    return np.packbits(flags)
+
+
 def _rows(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
     return list(zip(*(table.column(c).to_pylist() for c in ("block", "part", "kind", "payload"))))
 
@@ -191,13 +201,13 @@ class Block:
         """Earlier answers travel along, so that each step needs only the one before."""
         return [(self.block, part, CARRIED + kind, payload) for (kind, part), payload in self.answers.items()]
 
-    def _answered(self, kind: int, keys: np.ndarray, *types: type) -> list[np.ndarray]:
-        """The answers in the order of the keys."""
-        out = [np.zeros(len(keys), t) for t in types]
+    def _answered(self, kind: int, keys: np.ndarray, flags: int) -> list[np.ndarray]:
+        """The answers, so many flags for each key, in the order of the keys."""
+        out = [np.zeros(len(keys), bool) for _ in range(flags)]
         for part, at in enumerate(_parts(keys, self.parts)):
             if len(at):
-                for o, got in zip(out, _unpack(self.answers[kind, part], *types)):
-                    o[at] = got
+                for o, got in zip(out, _unpack(self.answers[kind, part], *[np.uint8] * flags)):
+                    o[at] = np.unpackbits(got, count=len(at)).astype(bool)
         return out
 
     # step 1: which triggers occur in two documents
@@ -211,12 +221,13 @@ class Block:
 
     def ask_triggers(self) -> list:
         keys, several, _ = self.triggers()
-        return self._send(FILTER, keys, lambda at: _pack(keys[at], several[at]))
+        # 48 bits do: a false meeting only lets a trigger through to the next step
+        return self._send(FILTER, keys, lambda at: _pack(keys[at].astype(np.uint32), (keys[at] >> np.uint64(32)).astype(np.uint16), _bits(several[at])))
 
     # step 2: the dictionary of phrases of shared triggers
     def dictionary(self) -> tuple:
         keys, _, at = self.triggers()
-        (shared,) = self._answered(FILTER, keys, bool)
+        (shared,) = self._answered(FILTER, keys, 1)
         mine = np.flatnonzero(shared[at])
         p = self.phrases
         (hashes, contents, lefts, rights), low, place = _first_of((p.hash[mine], p.content[mine], p.left[mine], p.right[mine]), self.doc[mine])
@@ -225,15 +236,15 @@ class Block:
     def ask_dictionary(self) -> list:
         _, _, hashes, contents, lefts, rights, low = self.dictionary()
         return self._carry() + self._send(DICTIONARY, hashes, lambda at: _pack(
-            hashes[at], contents[at], lefts[at].astype(np.uint32), rights[at].astype(np.uint32), low[at]))
+            hashes[at].astype(np.uint32), contents[at], lefts[at].astype(np.uint32), rights[at].astype(np.uint32), low[at]))
 
     # step 3: the suffixes of phrases first met here that may have an equal elsewhere
     def suffixes(self) -> tuple:
-        mine, place, hashes, *_ = self.dictionary()
-        first, open_ = self._answered(DICTIONARY, hashes, np.int64, bool)
-        whole = mine[first[place] < self.doc[mine]]
-        edge = mine[(first[place] == self.doc[mine]) & open_[place]]
-        return whole, *self.phrases.strings(self.texts, edge)
+        mine, place, hashes, _, _, _, low = self.dictionary()
+        earlier, by_left, by_right = (x[place] for x in self._answered(DICTIONARY, hashes, 3))
+        here = self.doc[mine] == low[place]  # the first of the block's documents with the phrase
+        first = here & ~earlier
+        return mine[~first], *self.phrases.strings(self.texts, mine[first], by_left[first], by_right[first])
 
     def ask_suffixes(self) -> list:
         _, doc, _, hashes = self.suffixes()
@@ -244,13 +255,13 @@ class Block:
     def removed(self) -> list[tuple]:
         whole, doc, start, hashes = self.suffixes()
         own = self.ids[doc] if len(doc) else doc
-        (keys,), _, at = _first_of((hashes,), own)
-        (first,) = self._answered(SUFFIXES, keys, np.int64)
-        hit = first[at] < own if len(own) else np.empty(0, bool)
+        (keys,), low, at = _first_of((hashes,), own)
+        (earlier,) = self._answered(SUFFIXES, keys, 1)
+        hit = earlier[at] | (own > low[at])
         p, out = self.phrases, []
         # bounds of each document in the sorted arrays
         a = np.concatenate([p.doc[whole], doc[hit]])
-        low, high = np.concatenate([p.first[whole], start[hit]]), np.concatenate([p.last[whole], start[hit]]) + p.length
+        begin, end = np.concatenate([p.first[whole], start[hit]]), np.concatenate([p.last[whole], start[hit]]) + p.length
         order = np.argsort(a, kind="stable")
         bounds = np.searchsorted(a[order], np.arange(len(self.ids) + 1))
         for k, (i, text) in enumerate(zip(self.ids.tolist(), self.texts)):
@@ -259,8 +270,8 @@ class Block:
                 out.append((i, len(text), 0, [], hashlib.sha256(text).hexdigest()))
                 continue
             change = np.zeros(len(text) + 1, np.int32)
-            np.add.at(change, low[mine], 1)
-            np.add.at(change, high[mine], -1)
+            np.add.at(change, begin[mine], 1)
+            np.add.at(change, end[mine], -1)
             gone = np.cumsum(change[:-1]) > 0
             edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -277,34 +288,37 @@ def _answer(table: pa.Table) -> pa.Table:
         return _messages(out)
     kind = rows[0][2]
     if kind == FILTER:
-        got = [_unpack(r[3], np.uint64, bool) for r in rows]
-        keys, several = (np.concatenate(c) for c in zip(*got))
+        got = [_unpack(r[3], np.uint32, np.uint16, np.uint8) for r in rows]
+        keys = np.concatenate([g[0] | (g[1].astype(np.uint64) << np.uint64(32)) for g in got])
+        several = np.concatenate([np.unpackbits(g[2], count=len(g[0])).astype(bool) for g in got])
         _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        shared = counts[which] > 1  # two blocks, so two documents
-        replies = [shared | several]
+        # in two blocks, so in two documents; or in two of one block, wherever else it is
+        both = np.zeros(len(counts), bool)
+        np.logical_or.at(both, which, several)
+        replies = [(counts > 1)[which] | both[which]]
     elif kind == DICTIONARY:
-        got = [_unpack(r[3], np.uint64, np.uint64, np.uint32, np.uint32, np.int64) for r in rows]
+        got = [_unpack(r[3], np.uint32, np.uint64, np.uint32, np.uint32, np.int64) for r in rows]
         trigger, content, left, right, doc = (np.concatenate(c) for c in zip(*got))
         (t, _, l, r_), first, at = _first_of((trigger, content, left, right), doc)
-        open_ = np.zeros(len(t), bool)
+        shared = []
         for side in (l, r_):
             _, which, counts = np.unique(_pairs(t, side), return_inverse=True, return_counts=True)
-            open_ |= (counts[which] > 1) & (side > 0)
-        replies = [first[at], open_[at]]
+            shared.append((counts[which] > 1) & (side > 0))
+        replies = [first[at] < doc, shared[0][at], shared[1][at]]
     else:
         got = [_unpack(r[3], np.uint64, np.int64) for r in rows]
         keys, doc = (np.concatenate(c) for c in zip(*got))
         _, first, at = _first_of((keys,), doc)
-        replies = [first[at]]
+        replies = [first[at] < doc]
     ends = np.cumsum([len(g[0]) for g in got])
     for (b, p, k, _), end, g in zip(rows, ends, got):
-        out.append((b, p, k, _pack(*(x[end - len(g[0]):end] for x in replies))))
+        out.append((b, p, k, _pack(*(_bits(x[end - len(g[0]):end]) for x in replies))))
     return _messages(out)
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix(a * np.uint64(_B) + b.astype(np.uint64))
+        return mix(a.astype(np.uint64) * np.uint64(_B) + b.astype(np.uint64))
 
 
 def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_bytes: int = 8 << 20, id_col: str = "doc_id",
