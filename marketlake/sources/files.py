@@ -38,7 +38,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     files are not splittable, so a huge source should be split into many
     files upstream (Spark then reads them in parallel).
     """
-    options = {"header": True, "sep": sep, "multiLine": multiline, "escape": '"', "nullValue": "",
+    options = {"header": True, "columnPruning": False, "sep": sep, "multiLine": multiline, "escape": '"', "nullValue": "",
                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
     headers = [_tidy(c) for c in spark.read.options(**options).csv(path).columns]  # reads the first line
     missing = [f.name for f in schema.fields if f.name not in headers]
@@ -56,8 +56,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
 
 def rejected_rows(df: DataFrame, rejected: str, table: str) -> DataFrame:
     """Data-quality row (table_name, n_rows, n_rejected) of a frame read with ``rejected``."""
-    first = next(c for c in df.columns if c != rejected)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(rejected).alias("n_rejected"), F.count(first).alias("_")) \
+    # Spark reads the raw line only along with data columns
+    data = F.concat_ws("", *[F.col(c).cast("string") for c in df.columns if c != rejected])
+    return df.select(F.col(rejected).alias("_r"), F.length(data).alias("_n")) \
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_r").isNotNull() & (F.col("_n") >= 0)).alias("n_rejected")) \
         .select(F.lit(table).alias("table_name"), "n_rows", "n_rejected")
 
 
