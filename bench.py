@@ -58,7 +58,7 @@ def main() -> None:
         res = run_layers(spark, data_dir)
         timings = {k.replace("/", "."): v for k, v in res["timings"].items()}
         timings["pipeline_total"] = round(time.perf_counter() - t0, 3)
-        built = LayerWarehouse(spark, data_dir, res["root"])
+        built = LayerWarehouse(spark, data_dir, res["root"], res["bucketed_tables"])
         for name in HEADLINE_QUERIES:
             t1 = time.perf_counter()
             BY_WAREHOUSE[name](built).write.format("noop").mode("overwrite").save()

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,7 @@ AUDIT_COLUMNS = ("dwh_create_date", "created_at")
 class _Writer:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None):
         self.spark, self.root, self.timings = spark, root.rstrip("/"), {}
-        self.buckets, self.tag = buckets, uuid.uuid4().hex[:8]
+        self.buckets, self.tag = buckets, f"{zlib.crc32(self.root.encode()):08x}"  # one name per output place
         self.tables: dict[str, str] = {}  # layer name -> bucketed catalog table
 
     def __call__(self, name: str, build, bucket_by: str | None = None) -> DataFrame:

@@ -131,14 +131,16 @@ class Warehouse:
 class LayerWarehouse(Warehouse):
     """A warehouse whose silver, gold and mart tables are read from the files
     :func:`marketlake.plans.pipeline.run_layers` wrote (bronze stays bound to
-    ``sf_dir``). Queries then start from the materialised layers."""
+    ``sf_dir``). Queries then start from the materialised layers. ``tables`` (``run_layers``'
+    ``bucketed_tables``) names the catalog tables to read instead of files, so that joins of
+    bucketed tables need no exchange."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, **kw):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, tables: dict[str, str] | None = None, **kw):
         super().__init__(spark, sf_dir, **kw)
-        self.root = root.rstrip("/")
+        self.root, self.tables = root.rstrip("/"), tables or {}
 
     def _read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
+        df = self.spark.table(self.tables[name]) if name in self.tables else self.spark.read.parquet(f"{self.root}/{name}")
         return df.drop("dwh_create_date", "created_at")  # load audit, never compared
 
     @cached_property
