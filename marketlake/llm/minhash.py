@@ -10,12 +10,17 @@ their sets, and a component is what links reach.
    their hashes (see there), so they meet in the list of one of the ``size - least_shared + 1``
    rarest hashes of either; only those are listed. Hashes of a passage that a third of all
    documents share thus serve last, in documents that hold little else.
-3. *Star pass*: every class is compared with one leader, the one of its lists' leaders that it
-   meets most often. Large groups of near copies collapse here, with one comparison a class.
-4. *Rest*: pairs of one list that are still in different components. Short lists are joined;
-   long ones are dealt out in pairs of blocks, so that no task holds a whole list, and no pair
-   is left out.
-5. In both passes the *union sketch* (k smallest of both sketches) estimates the similarity and
+3. *Star passes*: every list has a leader, the class with the most shared hashes - of a text and
+   its edited copies that is the text, since edits make hashes that nobody shares. Every class
+   is compared with the leader it meets most often, then with those of its other lists that
+   are in another component still. Large groups of near copies collapse here.
+4. *Rest*: classes whose lists still span components are listed anew, by the rarest hashes of
+   their full sets, of which a link needs ``percent`` % in common; documents that only share a
+   passage part here. Of the pairs of one list in different components those remain that have
+   enough hashes which occur elsewhere at all, for their sizes, and bit maps of their sets that
+   differ in few enough places. Short lists are joined; long ones are dealt out in pairs of blocks, so that no task holds a whole list,
+   and no pair is left out.
+5. In all passes the *union sketch* (k smallest of both sketches) estimates the similarity and
    drops pairs that are out of reach, and the exact Jaccard of the full sets decides.
 
 The only chance event is in least_shared: a pair at the threshold is missed with a probability
@@ -38,14 +43,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import BYTE_VALUE, mix, staged
+from marketlake.llm.common import BYTE_VALUE, map_batches, mix, staged
 
 K = 48
 #: Least hashes of a union sketch of K that a pair at similarity 0.75 shares, but for one in a
 #: million pairs: the quantile of the binomial distribution (48, 0.75), which bounds it.
 LIKELY = 21
 #: Lists up to this length are joined pair by pair, longer ones in blocks of BLOCK.
-SHORT, BLOCK = 48, 256
+SHORT, BLOCK = 48, 512
+#: Places of the bit map that bounds the overlap of two full sets.
+BITS = 2048
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _BLANK = np.zeros(256, bool)
@@ -127,16 +134,46 @@ def least_shared(n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.when(n <= K, F.least(whole, drawn)).otherwise(F.greatest(drawn, likely)))
 
 
-def listed(classes: DataFrame, percent: int) -> DataFrame:
-    """The inverted lists (hash, cid, n): of each class the rarest hashes that can matter, if shared at all."""
-    values = classes.select("cid", F.explode("sketch").alias("hash"))
+def listed(values: DataFrame, sizes: DataFrame, need: Column) -> DataFrame:
+    """The inverted lists (hash, cid, n, hub) of the rows (cid, hash): of each class the rarest
+    hashes that can matter if a link needs ``need`` common ones, as far as others have them.
+    ``sizes`` has cid, n and size, the number of the class's hashes in ``values``. hub orders
+    classes by the number of their shared hashes, then by how often these occur."""
     often = values.groupBy("hash").count().where(F.col("count") > 1)
     shared = values.join(often, "hash").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("count", "hash"))).alias("shared"))
-    rows = classes.select("cid", "n", F.size("sketch").alias("size")).join(shared, "cid")
+    rows = sizes.join(shared, "cid")
     # hashes of one class only are the rarest and fill the first places
-    places = F.col("size") - least_shared(F.col("n"), percent) + 1 - (F.col("size") - F.size("shared"))
+    places = F.col("size") - need + 1 - (F.col("size") - F.size("shared"))
     few = F.slice("shared", F.lit(1), F.greatest(F.lit(0), places).cast("int"))
-    return rows.select("cid", "n", F.explode(F.transform(few, lambda x: x["hash"])).alias("hash"))
+    hub = F.struct(F.size("shared").alias("shared"), F.aggregate("shared", F.lit(0).cast("long"), lambda a, x: a + x["count"]).alias("often"))
+    return rows.select("cid", "n", hub.alias("hub"), F.explode(F.transform(few, lambda x: x["hash"])).alias("hash"))
+
+
+def by_sketch(classes: DataFrame, percent: int) -> DataFrame:
+    return listed(classes.select("cid", F.explode("sketch").alias("hash")), classes.select("cid", "n", F.size("sketch").alias("size")),
+                  least_shared(F.col("n"), percent))
+
+
+def bit_maps(sets: DataFrame) -> DataFrame:
+    """(cid, bits): the packed places (hash mod BITS) that a class's set takes."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bits = [np.packbits(np.bincount((np.frombuffer(m.as_py(), np.uint64) % np.uint64(BITS)).astype(np.int64), minlength=BITS) > 0).tobytes()
+                for m in batch.column("members")]
+        return pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(bits, pa.binary())], names=["cid", "bits"])
+
+    return map_batches(sets.select("cid", "members"), work, "cid long, bits binary")
+
+
+def by_full_set(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, m in zip(batch.column("cid").to_pylist(), batch.column("members")):
+                h = np.frombuffer(m.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), i), pa.int64()), pa.array(h)], names=["cid", "hash"])
+
+    sizes = classes.select("cid", "n", F.col("n").alias("size"))
+    return listed(sets.mapInArrow(run, "cid long, hash long"), sizes, F.ceil(F.col("n") * percent / 100))
 
 
 def within_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -213,43 +250,69 @@ def components(links: DataFrame) -> DataFrame:
         edges = staged(small.where("u <> v").distinct(), "edges")
 
 
-def star_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): every class with the leader that it meets in most lists."""
-    leaders = lists.groupBy("hash").agg(F.min("cid").alias("leader"), F.count("*").alias("length")).where("length > 1").select("hash", "leader")
-    met = lists.join(leaders, "hash").where("cid <> leader").groupBy("cid", "leader").count()
-    return met.groupBy("cid").agg(F.max(F.struct("count", "leader")).alias("best")).select(F.col("cid").alias("a"), F.col("best.leader").alias("b"))
+def met_leaders(lists: DataFrame) -> DataFrame:
+    """(a, b, lists, hub): classes with the leaders of their lists, and in how many they meet."""
+    leaders = lists.groupBy("hash").agg(F.max(F.struct("hub", "cid")).alias("leader"), F.count("*").alias("length")) \
+        .where("length > 1").select("hash", "leader")
+    met = lists.select("hash", F.col("cid").alias("a")).join(leaders, "hash").where(F.col("a") != F.col("leader.cid"))
+    return met.groupBy("a", F.col("leader.cid").alias("b")).agg(F.count("*").alias("lists"), F.max("leader.hub").alias("hub"))
+
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components."""
+    side = lambda c: labels.select(F.col("cid").alias(c), F.col("component").alias(f"c_{c}"))
+    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
+        .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
-def rest_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a list in different components and of matching sizes; pairs of long lists
-    also share enough hashes."""
+
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists that span components, with length and component of each row."""
     rows = lists.join(labels, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    open_ = rows.groupBy("hash").agg(F.count("*").alias("length"), F.min("component").alias("low"), F.max("component").alias("high")) \
+    spans = rows.groupBy("hash").agg(F.count("*").alias("length"), F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("hash", "length")
-    rows = staged(rows.join(open_, "hash"), "open-lists")
-    sizes = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    return rows.join(spans, "hash")
+
+
+def rest_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a list in different components whose sizes, and numbers of hashes that
+    others have too, allow a link; pairs of long lists also share enough hashes of their sketches."""
+    left_over = open_lists(lists, labels).select("cid").distinct()
+    exact = by_full_set(sets.join(left_over, "cid", "left_semi"), classes, percent)
+    rows = staged(open_lists(staged(exact, "full-lists"), labels).withColumn("shared", F.col("hub.shared")).drop("hub"), "open-lists")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    # common hashes are at least percent / (100 + percent) of both sizes, and occur elsewhere
+    possible = (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) \
+        & ((100 + percent) * F.least("shared_a", "shared_b") >= percent * (n_a + n_b))
 
     short = rows.where(F.col("length") <= SHORT)
-    left = short.select("hash", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = short.select("hash", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    few = left.join(right, "hash").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    left = short.select("hash", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"), F.col("component").alias("c_a"))
+    right = short.select("hash", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("component").alias("c_b"))
+    few = left.join(right, "hash").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & possible).select("a", "b")
 
     n_blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cid"), n_blocks).cast("int")
-    dealt = rows.where(F.col("length") > SHORT).join(classes.select("cid", "sketch"), "cid") \
+    dealt = rows.where(F.col("length") > SHORT).join(classes.select("cid", "sketch"), "cid").join(bit_maps(sets), "cid") \
         .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1))) \
-        .select("hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "n", "component", "sketch")
+        .select("hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "n", "shared", "component", "sketch", "bits")
 
     def block_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
         x, y = (rows[rows["own"] == k].reset_index(drop=True) for k in (i, j))
-        values, at = np.unique(np.concatenate([*x["sketch"], *y["sketch"]]) if len(rows) else np.empty(0), return_inverse=True)
-        held = np.zeros((len(x) + len(y), max(1, len(values))), np.float32)
-        held[np.repeat(np.arange(len(held)), [len(s) for s in [*x["sketch"], *y["sketch"]]]), at] = 1
+        sketches = [*x["sketch"], *y["sketch"]]
+        _, at, often = np.unique(np.concatenate(sketches) if sketches else np.empty(0), return_inverse=True, return_counts=True)
+        column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[at]  # only hashes of two rows matter
+        row = np.repeat(np.arange(len(sketches)), [len(s) for s in sketches])
+        held = np.zeros((len(sketches), max(1, int((often > 1).sum()))), np.float32)
+        held[row[column >= 0], column[column >= 0]] = 1
         common = held[:len(x)] @ held[len(x):].T
         n_x, n_y = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None, :]
         small, big = np.minimum(n_x, n_y), np.maximum(n_x, n_y)
-        good = (100 * small >= percent * big) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
+        bits_x, bits_y = (np.unpackbits(np.frombuffer(b"".join(z["bits"]), np.uint8).reshape(len(z), -1), axis=1).astype(np.float32) for z in (x, y))
+        both = bits_x @ bits_y.T
+        # a place that only one of two sets takes holds at least one hash the other does not have
+        most = np.minimum(n_x - bits_x.sum(1)[:, None] + both, n_y - bits_y.sum(1)[None, :] + both)
+        enough = np.minimum(most, np.minimum(x["shared"].to_numpy()[:, None], y["shared"].to_numpy()[None, :]))
+        good = (100 * small >= percent * big) & ((100 + percent) * enough >= percent * (n_x + n_y)) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
         need = np.where(small <= K, np.minimum(np.ceil(small * percent / 100), K - small * (100 - percent) // percent),
                         np.maximum(K - small * (100 - percent) // percent, LIKELY if percent == 75 else 1))
         r, c = np.nonzero(good & (common >= np.maximum(1, need)))
@@ -265,15 +328,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     rows = staged(sketches(docs, width, id_col, text_col), "sketches")
     classes = staged(rows.where(F.col("sketch").isNotNull()).groupBy("class_id").agg(F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
                      .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    lists = staged(listed(classes, percent), "lists")
+    lists = staged(by_sketch(classes, percent), "lists")
     wanted = lists.select("cid").distinct().join(classes.select("cid", "class_id"), "cid")
     sets = staged(full_sets(docs, wanted, width, id_col, text_col), "sets")
 
-    links = staged(verified(within_reach(star_pairs(lists), classes, percent), sets, percent), "links")
-    labels = components(links)
-    rest = staged(within_reach(rest_pairs(lists, labels, classes, percent), classes, percent), "rest-pairs")
-    more = verified(rest, sets, percent)
-    labels = components(labels.select(F.col("cid").alias("a"), F.col("component").alias("b")).union(more))
+    def joined_by(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Components after the links among the pairs are added."""
+        links = verified(staged(within_reach(pairs, classes, percent), "pairs"), sets, percent)
+        return components(links if labels is None else labels.select(F.col("cid").alias("a"), F.col("component").alias("b")).union(links))
+
+    met = staged(met_leaders(lists), "leaders")
+    most = met.groupBy("a").agg(F.max(F.struct("lists", "hub", "b")).alias("best")).select("a", "best.b")
+    labels = joined_by(most, None)
+    labels = joined_by(apart(met, labels), labels)
+    labels = joined_by(rest_pairs(lists, labels, classes, sets, percent), labels)
 
     # a class without links is its own component; classes of one component share its smallest id
     named = labels.join(classes.select("cid", "class_id"), "cid").select("class_id", "component") \
