@@ -61,12 +61,15 @@ class Phrases:
     """The phrases of a block's documents, as arrays: doc (place in the block), first and last
     start of the strings, place of the trigger, its hash, content hash, and hashes of 17 bytes on either side."""
 
-    def __init__(self, texts: list[bytes], length: int, trigger: int):
-        self.length, self.trigger = length, trigger
+    def __init__(self, texts: list[bytes], length: int, trigger: int, contents: bool = True):
+        """Without ``contents``, content, left and right are left out."""
+        self.length, self.trigger, self.contents = length, trigger, contents
         self.up, self.down = _powers()
         parts = [p for k, t in enumerate(texts) for p in self._parse(k, t)]
-        cols = zip(*parts) if parts else [[np.empty(0, np.int64)]] * 4 + [[np.empty(0, np.uint64)]] * 4
-        self.doc, self.first, self.last, self.place, self.hash, self.content, self.left, self.right = (np.concatenate(list(c)) for c in cols)
+        cols = zip(*parts) if parts else [[np.empty(0, np.int64)]] * 4 + [[np.empty(0, np.uint64)]] * (4 if contents else 1)
+        self.doc, self.first, self.last, self.place, self.hash, *rest = (np.concatenate(list(c)) for c in cols)
+        if contents:
+            self.content, self.left, self.right = rest
 
     def _sums(self, raw: bytes) -> np.ndarray:
         value = BYTE_VALUE[np.frombuffer(raw, np.uint8)]
@@ -90,14 +93,19 @@ class Phrases:
             place = (window_min((h & np.uint64(~0xFFFFF & (1 << 64) - 1)) | np.arange(len(h), dtype=np.uint64), half + 1) & np.uint64(0xFFFFF)).astype(np.int64)
             cut = np.flatnonzero(place[1:] != place[:-1]) + 1
             first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(place) - 1]])
-            p, sums = place[first], self._sums(raw)
+            p = place[first]
+            own = np.full(len(first), k, np.int64), first + at, last + at, p + at, h[p]
+            if not self.contents:
+                yield own
+                continue
+            sums = self._sums(raw)
             with np.errstate(over="ignore"):
                 content = mix(self._cut(sums, first, last + self.length) + (p - first).astype(np.uint64) * np.uint64(_B))
             has_left, has_right = p - first >= reach, p - last <= reach
             left = np.where(has_left, self._cut(sums, np.where(has_left, p - reach, 0), p) | np.uint64(1), np.uint64(0))
             to = p + self.trigger + half - reach
             right = np.where(has_right & (to <= len(raw)), self._cut(sums, p + self.trigger, np.minimum(to, len(raw))) | np.uint64(1), np.uint64(0))
-            yield np.full(len(first), k, np.int64), first + at, last + at, p + at, h[p], content, left, right
+            yield *own, content, left, right
 
     def strings(self, texts: list[bytes], which: np.ndarray, by_left: np.ndarray, by_right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(doc, start, hash) of the strings of the chosen phrases that hold the bytes left of the
@@ -179,26 +187,28 @@ def _parts(keys: np.ndarray, parts: int) -> list[np.ndarray]:
     return np.split(order, np.searchsorted(of[order], np.arange(1, parts)))
 
 
-FILTER, DICTIONARY, SUFFIXES, CARRIED = range(4)
+FILTER, DICTIONARY, SUFFIXES, SPANS, CARRIED = range(5)
 
 
 class Block:
     """One block of documents with the answers that came back so far."""
 
-    def __init__(self, docs: pa.Table, answers: pa.Table | None, length: int, trigger: int, parts: int):
+    def __init__(self, docs: pa.Table, answers: pa.Table | None, length: int, trigger: int, parts: int, parse: str = "all"):
+        """``parse``: "all", "triggers" (hashes only) or "none"."""
         order = sorted((i, t or "") for i, t in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()) if i is not None)
         self.block = docs.column("block")[0].as_py() if docs.num_rows else 0
         self.ids, self.texts = np.array([i for i, _ in order], np.int64), [t.encode() for _, t in order]
         self.parts = parts
-        self.phrases = Phrases(self.texts, length, trigger)
-        self.doc = self.ids[self.phrases.doc] if len(self.ids) else np.empty(0, np.int64)
+        if parse != "none":
+            self.phrases = Phrases(self.texts, length, trigger, parse == "all")
+            self.doc = self.ids[self.phrases.doc] if len(self.ids) else np.empty(0, np.int64)
         self.answers = {(kind, part): payload for _, part, kind, payload in (_rows(answers) if answers is not None else [])}
 
     def _send(self, kind: int, keys: np.ndarray, pack: Callable[[np.ndarray], bytes]) -> list[tuple[int, int, int, bytes]]:
         return [(self.block, part, kind, pack(at)) for part, at in enumerate(_parts(keys, self.parts)) if len(at)]
 
     def _carry(self) -> list[tuple[int, int, int, bytes]]:
-        """Earlier answers travel along, so that each step needs only the one before."""
+        """Earlier answers travel along, so that a step needs only the one before."""
         return [(self.block, part, CARRIED + kind, payload) for (kind, part), payload in self.answers.items()]
 
     def _answered(self, kind: int, keys: np.ndarray, flags: int) -> list[np.ndarray]:
@@ -247,38 +257,56 @@ class Block:
         return mine[~first], *self.phrases.strings(self.texts, mine[first], by_left[first], by_right[first])
 
     def ask_suffixes(self) -> list:
-        _, doc, _, hashes = self.suffixes()
-        (keys,), low, _ = _first_of((hashes,), self.ids[doc] if len(doc) else doc)
-        return self._carry() + self._send(SUFFIXES, keys, lambda at: _pack(keys[at], low[at]))
-
-    # result: what is covered
-    def removed(self) -> list[tuple]:
+        """The open strings, and for the last step what is known now: removed spans, and the open
+        strings' places with the place of each one's answer."""
         whole, doc, start, hashes = self.suffixes()
         own = self.ids[doc] if len(doc) else doc
         (keys,), low, at = _first_of((hashes,), own)
-        (earlier,) = self._answered(SUFFIXES, keys, 1)
-        hit = earlier[at] | (own > low[at])
-        p, out = self.phrases, []
-        # bounds of each document in the sorted arrays
-        a = np.concatenate([p.doc[whole], doc[hit]])
-        begin, end = np.concatenate([p.first[whole], start[hit]]), np.concatenate([p.last[whole], start[hit]]) + p.length
+        known = own > low[at] if len(own) else np.empty(0, bool)  # held by a smaller document of the block
+        p, n = self.phrases, self.phrases.length
+        spans = _joined(np.concatenate([p.doc[whole], doc[known]]), np.concatenate([p.first[whole], start[known]]),
+                        np.concatenate([p.last[whole], start[known]]) + n)
+        split = _parts(keys, self.parts)
+        answer = np.empty(len(keys), np.int64)
+        answer[np.concatenate(split)] = np.arange(len(keys))
+        open_ = (doc[~known], start[~known], answer[at[~known]])
+        small = [x.astype(np.uint32) for x in (*spans, *open_, np.array([len(x) for x in split]))]
+        return [(self.block, 0, CARRIED + SPANS, _pack(*small))] + self._send(SUFFIXES, keys, lambda at: _pack(keys[at], low[at]))
+
+    # result: what is covered
+    def removed(self, length: int) -> list[tuple]:
+        a, begin, end, doc, start, answer, sizes = (x.astype(np.int64) for x in _unpack(self.answers[SPANS, 0], *[np.uint32] * 7))
+        earlier = [np.unpackbits(*_unpack(self.answers[SUFFIXES, part], np.uint8), count=int(n)) for part, n in enumerate(sizes) if n]
+        hit = np.concatenate(earlier)[answer].astype(bool) if len(answer) else np.empty(0, bool)
+        a, begin, end = np.concatenate([a, doc[hit]]), np.concatenate([begin, start[hit]]), np.concatenate([end, start[hit] + length])
+        out = []
         order = np.argsort(a, kind="stable")
         bounds = np.searchsorted(a[order], np.arange(len(self.ids) + 1))
         for k, (i, text) in enumerate(zip(self.ids.tolist(), self.texts)):
             mine = order[bounds[k]:bounds[k + 1]]
-            if not len(mine):
-                out.append((i, len(text), 0, [], hashlib.sha256(text).hexdigest()))
-                continue
-            change = np.zeros(len(text) + 1, np.int32)
-            np.add.at(change, begin[mine], 1)
-            np.add.at(change, end[mine], -1)
-            gone = np.cumsum(change[:-1]) > 0
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            out.append((i, len(text), int(gone.sum()), edge.tolist(), hashlib.sha256(kept).hexdigest()))
+            _, low, high = _joined(a[mine], begin[mine], end[mine])
+            kept, at = hashlib.sha256(), 0
+            for x, y in zip(low.tolist(), high.tolist()):
+                kept.update(text[at:x])
+                at = y
+            kept.update(text[at:])
+            out.append((i, len(text), int((high - low).sum()), np.stack([low, high], axis=1).ravel().tolist(), kept.hexdigest()))
         return out
 
 
+def _joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each document with those that touch or overlap made one."""
+    if not len(doc):
+        return doc, begin, end
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    base = int(end.max()) + 2  # documents side by side on one line
+    low, high = doc * base + begin, np.maximum.accumulate(doc * base + end)
+    new = np.concatenate([[True], low[1:] > high[:-1]])
+    last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(doc) - 1]])
+    return doc[new], begin[new], high[last] - doc[last] * base
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Answers of one part to the blocks that asked it."""
     rows, out = _rows(table), []
@@ -333,7 +361,7 @@ def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_byt
 
     def ask(step: str, answers: DataFrame | None) -> DataFrame:
         if answers is None:
-            sent = by_block.applyInArrow(lambda d: _messages(getattr(Block(d, None, length, trigger, parts), step)()), MESSAGE)
+            sent = by_block.applyInArrow(lambda d: _messages(getattr(Block(d, None, length, trigger, parts, "triggers"), step)()), MESSAGE)
         else:
             sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(
                 lambda d, a: _messages(getattr(Block(d, a, length, trigger, parts), step)()), MESSAGE)
@@ -344,7 +372,7 @@ def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_byt
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()]
 
     def result(d: pa.Table, a: pa.Table) -> pa.Table:
-        rows = Block(d, a, length, trigger, parts).removed()
+        rows = Block(d, a, length, trigger, parts, "none").removed(length)
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], names=names)
 
     schema = f"{id_col} long, n_bytes long, n_removed long, spans array<int>, kept_sha256 string"

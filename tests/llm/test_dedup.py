@@ -211,7 +211,7 @@ def found_local(rows):
     answers = None
     for step in ("ask_triggers", "ask_dictionary", "ask_suffixes"):
         answers = repeats._answer(repeats._messages(getattr(repeats.Block(table, answers, 50, 16, 1), step)()))
-    return {i: (n, gone, len(spans) // 2, sha) for i, n, gone, spans, sha in repeats.Block(table, answers, 50, 16, 1).removed()}
+    return {i: (n, gone, len(spans) // 2, sha) for i, n, gone, spans, sha in repeats.Block(table, answers, 50, 16, 1, "none").removed(50)}
 
 
 def test_repeats_edges(docs):
