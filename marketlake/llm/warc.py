@@ -202,10 +202,14 @@ def roundtrip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         "capture", "copies", F.expr("try_cast(nullif(substring(metadata.head, 10), '') as bigint)").alias("page_id"), "response.*")
     stored = caps.where(F.col("type") == "response").select(
         F.col("capture").alias("stored"), F.col("page_id").alias("stored_id"), F.col("payload").alias("stored_bytes"))
-    out = caps.join(stored, caps["refers_to"] == F.col("stored"), "left")
-    return out.select("page_id", F.coalesce("stored_bytes", "payload").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-                      F.col("type").alias("record_type"), F.col("stored_id").alias("refers_to"),
-                      F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    # only revisits are joined: the others' empty reference would meet in one task
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    found = caps.where(F.col("refers_to").isNotNull()).join(stored, F.col("refers_to") == F.col("stored"), "left").select(
+        "page_id", F.coalesce("stored_bytes", "payload").alias("payload_bytes"), "digest", "type", "stored_id", copies)
+    own = caps.where(F.col("refers_to").isNull()).select(
+        "page_id", F.col("payload").alias("payload_bytes"), "digest", "type", F.lit(None).cast("long").alias("stored_id"), copies)
+    return found.union(own).select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"),
+                                   F.col("type").alias("record_type"), F.col("stored_id").alias("refers_to"))
 
 
 ORACLE = """
