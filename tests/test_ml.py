@@ -20,10 +20,10 @@ def test_standardize_uses_population_std(spark):
 def test_stratified_split_exact_and_deterministic(spark):
     rows = [(i, 1 if i % 5 == 0 else 0) for i in range(1000)]  # 200 positives, 800 negatives
     df = spark.createDataFrame(rows, "k long, y int")
-    a = ML.stratified_split(df, "y", "k", min_rows_to_split=100)
+    a = ML.stratified_split(df, "y", "k", fine_rows=100)
     counts = {(r["y"], r["is_test"]): r["count"] for r in a.groupBy("y", "is_test").count().collect()}
     assert counts == {(1, 1): 40, (1, 0): 160, (0, 1): 160, (0, 0): 640}
-    b = ML.stratified_split(df.repartition(7), "y", "k", min_rows_to_split=100)
+    b = ML.stratified_split(df.repartition(7), "y", "k", fine_rows=100)
     assert a.filter("is_test = 1").select("k").exceptAll(b.filter("is_test = 1").select("k")).count() == 0
 
 
