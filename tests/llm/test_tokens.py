@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import random
@@ -175,3 +176,22 @@ def test_quality_rules_edges_and_bands(docs, spark):
 def test_script_of():
     assert [script_of(t) for t in ("abc", "", "12 !", "привет мир", "漢字漢字 ab", "नमस्ते", "déjà vu")] == \
         ["Latin", "None", "None", "Cyrillic", "Han", "Other", "Latin"]
+
+
+def test_bands_reject_noise_and_keep_clean_prose(spark):
+    """Random letters, base64, hex, mojibake and symbols go; clean labelled prose stays."""
+    f, rules, rng = fertility(PIECE), FertilityRules(), random.Random(5)
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").where("quality = 1").select("doc_id")
+    clean = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").join(labels, "doc_id").where("n_chars > 600").collect()]
+    clean = [t for t in clean if not measure(t, f, rules)[5]]
+    kept = lambda t: measure(t, f, rules)[6]
+    assert len(clean) > 10 and sum(map(kept, clean)) >= 0.98 * len(clean)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 10))) for _ in range(150)),
+             " ".join(base64.b64encode(rng.randbytes(12)).decode() for _ in range(60)), " ".join(rng.randbytes(8).hex() for _ in range(60))]
+    german = "Über die schöne Brücke führt eine Straße für alle Bürger, die später größere Wälder und Flüsse hören können, wenn der Frühling kommt und die Vögel zurückkehren."
+    french = "La forêt où l'été précède la fenêtre brûlée, très près du château, a été protégée à côté de la rivière, et les élèves y ont marché toute la journée."
+    assert kept(german) and kept(french)
+    for charset in ("latin-1", "cp1252"):
+        noise += [t.encode().decode(charset, "ignore") for t in (german, french)]
+    noise += [" ".join(w + rng.choice(["###", "$$$", "%%%", "***"]) for w in t.split()) for t in clean]
+    assert not any(map(kept, noise))
