@@ -41,11 +41,22 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 _ANY_TITLE = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
 _START, _STOP = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-_TITLE = rf"{_START}(?:{_ANY_TITLE})\.? "
-_ASSIGN = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+_TITLES = rf"(?:(?:{_ANY_TITLE})\.? )++"
+_TITLE = rf"{_START}{_TITLES}"
+#: A capitalised word, with inner capitals and apostrophes (not the possessive 's), after particles.
+#: Groups repeat possessively: only so does Java's matcher not recurse once for every word.
+_PARTICLES = r"(?:(?:van|von|der|den|de|del|della|di|da|du|zu|bin|ibn|al|el|la|le) )*+"
+_NAME_WORD = rf"{_PARTICLES}(?!(?:{_ANY_TITLE}){_STOP})\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['’](?=\p{{L}}{{2}})[\p{{L}}\p{{M}}]++)*+"
+_KEYWORD = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}"
+_ASSIGN = rf"{_KEYWORD}[\"']?"
+#: Quoted values run to the closing quote of the line, or to the next blank if there is none; others
+#: to a blank, quote, comma or semicolon, and hold a digit or 200 characters.
+_BARE = r"[^\s\"',;]"
+_SECRET = (rf"(?:\"(?:[^\"\r\n]{{6,}}+(?=\")|[^\s\"]{{6,}}+)|'(?:[^'\r\n]{{6,}}+(?='(?!\p{{L}}))|[^\s']{{6,}}+)"
+           rf"|(?={_BARE}{{0,200}}[0-9]|{_BARE}{{200}}){_BARE}{{6,}}+)")
 _QUAD = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERN = "|".join([
-    rf"(?i:{_ASSIGN})(?=[^\s\"',;]{{0,200}}[0-9])[^\s\"',;]{{6,200}}",
+    rf"(?i:{_KEYWORD}){_SECRET}",
     rf"{_START}[A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}@[A-Za-z0-9-]{{1,63}}(?:\.[A-Za-z0-9-]{{1,63}}){{0,6}}\.[A-Za-z]{{2,24}}",
     rf"{_START}(?:AKIA|ASIA)[0-9A-Z]{{16}}{_STOP}",
     rf"{_START}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_STOP}",
@@ -55,10 +66,10 @@ PATTERN = "|".join([
     rf"(?<![0-9+])(?:\+?[0-9]{{1,3}}[ .-]?)?\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}{_STOP}",
     rf"(?<![0-9+])\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}{_STOP}",
     rf"(?<![0-9.-])[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}(?![.-]?[0-9]){_STOP}",
-    rf"{_TITLE}\p{{Lu}}[\p{{Ll}}]+(?:[ -](?!(?:{_ANY_TITLE})\b)\p{{Lu}}[\p{{Ll}}]+)?",
+    rf"{_TITLE}{_NAME_WORD}(?:[ -]{_NAME_WORD})*+",
 ])
 #: Every match holds one of these, so most texts need no closer look.
-HINT = rf"[0-9@]|{_ANY_TITLE}"
+HINT = rf"[0-9@]|{_ANY_TITLE}|[=:]\s{{0,3}}(?:[\"']|\S{{200}})"
 NUMBERS = ("PHONE", "CARD", "SSN")
 
 
@@ -81,12 +92,12 @@ def parse(matches: DataFrame) -> DataFrame:
     """type, prefix, value and normalised value of each ``match``; type null: not an entity."""
     m = F.col("match")
     gender = F.when(m.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? "), "f").when(m.rlike(rf"^(?:{'|'.join(TITLES['m'])})\.? "), "m").otherwise("n")
-    prefix = F.regexp_extract(m, rf"^((?i:{_ASSIGN})|(?:{_ANY_TITLE})\.? )", 1)
+    prefix = F.regexp_extract(m, rf"^((?i:{_ASSIGN})|{_TITLES})", 1)
     rows = matches.withColumn("prefix", prefix).withColumn("value", F.expr("substring(match, length(prefix) + 1)"))
     v = F.col("value")
     digits = _digits(v)
     script = F.when(v.rlike(r"\p{IsCyrillic}"), "Cyrillic").otherwise("Latin")
-    kind = (F.when(m.rlike(rf"^(?i:{_ASSIGN})"), "SECRET").when(F.col("prefix") != "", F.concat(F.lit("NAME "), gender, F.lit(" "), script))
+    kind = (F.when(m.rlike(rf"^(?i:{_ASSIGN})"), F.when(v.rlike(r"[\p{L}\p{N}]"), "SECRET")).when(F.col("prefix") != "", F.concat(F.lit("NAME "), gender, F.lit(" "), script))
             .when(m.contains("@"), "EMAIL").when(m.rlike("^(?:AKIA|ASIA)"), "KEY").when(m.rlike("^[A-Z]"), "IBAN")
             .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "IP").when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "SSN")
             .when(m.rlike(r"^[0-9]{4}[ -]?[0-9]{4}") | m.rlike("^3[47][0-9]{2}[ -]?[0-9]{6}"), F.when(_luhn_sum(digits) % 10 == 0, "CARD"))
@@ -103,13 +114,15 @@ def _pick(seed: Column, i: Column | int, choices: str) -> Column:
 
 
 def _shaped(text: Column, seed: Column, hexadecimal: bool = False) -> Column:
-    """Every digit becomes a digit and every ASCII letter a letter of its case; the rest stays."""
+    """Every digit becomes a digit and every letter an ASCII letter of its case; the rest stays."""
     letters = "a b c d e f" if hexadecimal else "a b c d e f g h i j k l m n o p q r s t u v w x y z"
 
     def char(i: Column) -> Column:
         c = text.substr(i, F.lit(1))
         return (F.when(c.between("0", "9"), _pick(seed, i, "0 1 2 3 4 5 6 7 8 9")).when(c.between("a", "z"), _pick(seed, i, letters))
-                .when(c.between("A", "Z"), _pick(seed, i, letters.upper())).otherwise(c))
+                .when(c.between("A", "Z"), _pick(seed, i, letters.upper())).when(c <= "\x7f", c)
+                .when(c.rlike(r"\p{Lu}"), _pick(seed, i, letters.upper())).when(c.rlike(r"\p{L}"), _pick(seed, i, letters))
+                .when(c.rlike(r"\p{N}"), _pick(seed, i, "0 1 2 3 4 5 6 7 8 9")).otherwise(c))
 
     return F.when(F.length(text) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), char), "")).otherwise("")
 

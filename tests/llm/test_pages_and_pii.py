@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import tempfile
 
@@ -139,3 +140,28 @@ def test_pii_edges(docs):
     assert pii.replace_entities(docs([]), "key").collect() == []
     plans = pii.replace_entities(docs(rows), "key")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plans)
+
+
+LONG = "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=1000))
+LETTERS = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz", k=400))
+
+
+def test_entities_are_replaced_to_their_end(docs):
+    secrets = [f'"{LONG}"', f"'{LONG}'", LONG, f'"{LETTERS}"', f"{LETTERS}1{LETTERS}", LETTERS, '"no digits here, but blanks"', '"пароль секретный"']
+    names = ["Mrs Anna Maria Schmidt", "Mr McDonald", "Mr O'Brien", "Dr Jean-Luc De La Tour Martin", "Herr Dr. Karl von Trapp", "Ms Müller-Lüdenscheidt",
+             "Госпожа Анна Мария Петрова", "Mr " + "Brown Smith " * 4000 + "Miller"]
+    stay = ['password = "********" or token: required, secret: Herr', "password: 'tis the season, don't"]
+    rows = [f"Use token = {v} and go." for v in secrets] + [f"Here {n}'s house, and no more." for n in names] + stay
+    out = [r.text for _, r in sorted(replaced(docs, list(enumerate(rows))).items())]
+    for value, text in zip(secrets, out):
+        got = re.fullmatch(r"Use token = (.*) and go\.", text)
+        assert got and len(got[1]) == len(value)
+        parts = re.findall(r"\w+", value) if " " in value else [value[k:k + 40] for k in range(1, len(value) - 41, 40)]
+        assert not any(w in got[1] for w in parts if len(w) > 3)
+    for name, text in zip(names, out[len(secrets):]):
+        got = re.fullmatch(r"Here (.*)'s house, and no more\.", text)
+        title = re.match(r"(?:(?:Mrs|Mr|Ms|Dr|Herr|Госпожа)\.? )+", name)[0]
+        assert got and got[1].startswith(title)
+        given = {g for by in pii.GIVEN.values() for gs in by.values() for g in gs.split()}  # may be drawn by chance
+        assert not (set(re.split("[ '-]", got[1][len(title):])) - given) & set(re.split("[ '-]", name[len(title):]))
+    assert out[-2:] == stay
