@@ -1,15 +1,17 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into segments (whole items up to ``segment`` characters, else windows
-of that length every half of it). A place in a document within e edits of a segment of length m
+Benchmark items are cut into segments: whole items up to ``segment`` characters, else windows of
+that length every half of it; and dense windows of ``quote`` characters every ``quote_step``, so
+that an exact quote of quote + quote_step - 1 characters holds one wherever it starts. A place in a document within e edits of a segment of length m
 shares at least m + 1 - q * (e + 1) of its character q-grams, and all of them on diagonals
 (place in the document minus place in the segment) that differ by at most e. So q-gram hits
 are counted in overlapping bands of diagonals; a band that reaches the bound marks a region, and
 only regions are aligned, by banded dynamic programming, to find the edits. Within the budget
-the document holds the segment. The lemma is exact, so no place within the budget is missed.
+the document holds the segment. The lemma is exact, so no place within the budget of a segment is missed.
 
 Both sides are compared in lower case with every run of white space as one blank. Items with
-fewer than ``2 * q`` characters are no evidence and match nothing.
+fewer than ``2 * q`` characters match without edits only and not inside a longer word (Chinese,
+Japanese and Korean have no blanks, so there they match anywhere).
 
 The benchmark is the query set: it is taken in blocks of at most ``block_chars`` characters,
 each small enough to broadcast, and every block is held against all documents in one pass
@@ -27,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,8 @@ class Budget:
     rate: float = 0.08  # edits per character of a segment
     segment: int = 160
     block_chars: int = 2_000_000
+    quote: int = 60
+    quote_step: int = 10
 
     def edits(self, m: int) -> int:
         """Edits allowed in a segment of length m: at the rate, and so that the bound is at least 1."""
@@ -57,14 +62,13 @@ def code_points(text: str) -> np.ndarray:
 
 
 def segments(text: str, budget: Budget) -> Iterator[str]:
-    """The windows of a normalised item; the last one ends with the item."""
-    n, size = len(text), budget.segment
-    if n <= size:
+    """The windows of a normalised item; the last one of each length ends with the item."""
+    n, sizes = len(text), [(budget.segment, budget.segment // 2), (budget.quote, budget.quote_step)]
+    if n <= budget.segment:
         yield text
-        return
-    step = size // 2
-    for at in [*range(0, n - size, step), n - size]:
-        yield text[at:at + size]
+    for size, step in sizes:
+        for at in [*range(0, n - size, step), n - size] if n > size else ():
+            yield text[at:at + size]
 
 
 class Index:
@@ -73,8 +77,11 @@ class Index:
     def __init__(self, rows: list[tuple[object, str]], budget: Budget):
         self.budget = budget
         self.items, self.codes = [], []
+        self.short: dict[str, list[object]] = defaultdict(list)
         for item, text in rows:
             text = normalised(text)
+            if 0 < len(text) < 2 * budget.q:
+                self.short[text].append(item)
             for s in segments(text, budget) if len(text) >= 2 * budget.q else ():
                 self.items.append(item)
                 self.codes.append(code_points(s))
@@ -148,11 +155,28 @@ def align(patterns: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row[np.arange(r), best], best + m
 
 
+_JOINED = regex.compile(r"[\p{L}\p{M}\p{N}--[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]]", regex.V1)
+
+
+def held_whole(short: str, text: str) -> int:
+    """Where the normalised text holds the short item, not as part of a longer word; -1: nowhere."""
+    first, last = (_JOINED.match(c) is not None for c in (short[0], short[-1]))
+    at = text.find(short)
+    while at >= 0:
+        end = at + len(short)
+        if not (first and at and _JOINED.match(text[at - 1])) and not (last and end < len(text) and _JOINED.match(text[end])):
+            return at
+        at = text.find(short, at + 1)
+    return -1
+
+
 def matches(text: str | None, index: Index) -> dict[object, tuple[int, int, int, int]]:
     """Items the text holds: fewest edits in a segment, its end and length, number of segments."""
-    doc = code_points(normalised(text)) if text else np.empty(0, np.uint32)
+    plain = normalised(text) if text else ""
+    whole = {item: (0, at + len(s), len(s), 1) for s, items in index.short.items() if (at := held_whole(s, plain)) >= 0 for item in items}
+    doc = code_points(plain)
     if len(doc) < index.budget.q or not len(index.hash):
-        return {}
+        return whole
     by_size = defaultdict(list)
     for seg, diagonal in index.regions(doc):
         by_size[int(index.size[seg])].append((seg, diagonal))
@@ -173,19 +197,21 @@ def matches(text: str | None, index: Index) -> dict[object, tuple[int, int, int,
                     held[item].add(s)
                     got = (int(d), int(start + end), m)
                     best[item] = min(best.get(item, got), got)
-    return {item: (*v, len(held[item])) for item, v in best.items()}
+    return whole | {item: (*v, len(held[item])) for item, v in best.items()}
 
 
 def blocks(benchmark: DataFrame, budget: Budget, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
     """The benchmark as indexes of bounded size. Long items are cut on the executors, so a block
     is bounded even if one item is huge."""
     step = budget.block_chars // 8
-    rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).alias("t")).where(F.length("t") >= 2 * budget.q)
+    # single blanks first: a piece of a long item must not shrink to a short one
+    rows = benchmark.select(F.col(id_col).alias("item"), F.trim(F.regexp_replace(F.col(text_col), r"(?U)\s+", " ")).alias("t")).where(F.length("t") > 0)
     # pieces overlap by a segment, so every window of an item lies in one of its pieces
     at = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("t") - budget.segment), F.lit(step)))
     pieces = rows.select("item", "t", at.alias("at")).select("item", F.substring("t", F.col("at"), F.lit(step + budget.segment)).alias("t")).distinct()
     total = pieces.agg(F.sum(F.length("t"))).first()[0] or 0
-    n = math.ceil(total / (budget.block_chars / 2))
+    dense = 2 + budget.quote / budget.quote_step  # characters indexed for each one of an item
+    n = math.ceil(total * dense / budget.block_chars)
     for k in range(n):
         # about half of block_chars each by hash; one block goes to the driver at a time
         got = pieces.where(F.pmod(F.xxhash64("item", "t"), F.lit(n)) == k).orderBy("item", "t").collect()

@@ -228,3 +228,21 @@ def test_repeats_edges(docs):
 def test_repeats_on_documents(spark):
     table = spark.read.parquet(f"{SF001}/documents.parquet")
     assert found(table) == plain_repeats([(r.doc_id, r.text or "") for r in table.collect()])
+
+
+def test_quotes_and_short_items_are_found():
+    """Exact quotes of 70 characters and more, at every offset, and whole items under 20 characters."""
+    rng, budget = random.Random(21), decontaminate.Budget()
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(400)]
+    for size in (130, 180, 233, 394):
+        item = decontaminate.normalised(" ".join(rng.choices(words, k=90)))[:size].strip()
+        index = decontaminate.Index([(1, item)], budget)
+        for share in (0.3, 0.4, 0.5, 0.7, 0.9):
+            quote = max(70, int(share * size))
+            for at in range(0, len(item) - quote + 1):
+                assert decontaminate.matches("zz 1 " * 9 + item[at:at + quote] + " 2 yy" * 9, index)
+        assert not decontaminate.matches(" ".join(rng.choices(words, k=300)), index)
+    index = decontaminate.Index([(1, "什么是光合作用？"), (2, "Who wrote Emma?"), (3, "art")], budget)
+    assert set(decontaminate.matches("问题：什么是光合作用？答案", index)) == {1}
+    assert set(decontaminate.matches("Now,  who wrote\nEMMA? A party.", index)) == {2}
+    assert set(decontaminate.matches("Modern art.", index)) == {3}
