@@ -7,6 +7,8 @@ spellings of one phone number are one entity) gets a surrogate derived from a se
 * numbers keep their layout, length and leading digits of country or network; card numbers
   pass the Luhn check; e-mail addresses keep the shape of their local part; IP addresses move to
   10.0.0.0/8; keys, secrets and IBANs keep the class of every character;
+* where fewer surrogates than entities are free, later attempts make longer ones (IP addresses
+  move to 2001:db8::/32), so the search ends;
 * names get a given name of the title's gender and a made-up surname, in the name's script.
 
 Collision checks make the mapping one to one: a surrogate that two entities share, or that
@@ -64,7 +66,7 @@ PATTERN = "|".join([
     rf"{_START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_STOP}",
     rf"{_START}(?:[0-9]{{4}}[ -]?){{3}}[0-9]{{4}}(?:[ -]?[0-9]{{1,3}})?{_STOP}|{_START}3[47][0-9]{{2}}[ -]?[0-9]{{6}}[ -]?[0-9]{{5}}{_STOP}",
     rf"(?<![0-9+])(?:\+?[0-9]{{1,3}}[ .-]?)?\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}{_STOP}",
-    rf"(?<![0-9+])\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}{_STOP}",
+    rf"(?<![0-9+])\+(?=(?:[ .-]?[0-9]){{7}})[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}{_STOP}",
     rf"(?<![0-9.-])[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}(?![.-]?[0-9]){_STOP}",
     rf"{_TITLE}{_NAME_WORD}(?:[ -]{_NAME_WORD})*+",
 ])
@@ -136,23 +138,28 @@ def surrogate(key: str) -> Column:
     """The surrogate (normalised form) of columns type, norm and attempt."""
     kind, norm, attempt = F.col("type"), F.col("norm"), F.col("attempt")
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
-    body = _shaped(norm, seed)
+    # crowded spaces grow: from the fourth attempt on surrogates get longer, addresses move to 2001:db8::/32
+    more = F.greatest(attempt - 3, F.lit(0))
+    digits_more = _shaped(F.repeat(F.lit("0"), more), F.concat(seed, F.lit("+")))
+    body = F.concat(_shaped(norm, seed), F.when(kind == "SECRET", _shaped(F.repeat(F.lit("a"), more), F.concat(seed, F.lit("+")))).otherwise(""))
     # phone: the leading digits of numbers with a country code stay, cards keep the network digit
     phone = F.when(F.length(norm) > 10, F.concat(F.expr("substring(norm, 1, length(norm) - 10)"), _shaped(F.expr("right(norm, 10)"), seed))).otherwise(body)
+    phone = F.concat(phone, digits_more)
     stem = F.concat(norm.substr(1, 1), _shaped(F.expr("substring(norm, 2, length(norm) - 2)"), seed))
     card = F.concat(stem, F.pmod(-_luhn_sum(F.concat(stem, F.lit("0"))), F.lit(10)).cast("string"))
-    email = F.concat(_shaped(F.substring_index(norm, "@", 1), seed), F.lit("@"), F.substring(seed, 1, 8), F.lit(".example.org"))
-    ip = F.concat_ws(".", F.lit("10"), *[F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(256)).cast("string") for i in range(3)])
+    email = F.concat(_shaped(F.substring_index(norm, "@", 1), seed), F.lit("@"), F.substring(seed, F.lit(1), 8 + more), F.lit(".example.org"))
+    ip = F.when(more > 0, F.concat_ws(":", F.lit("2001:db8"), *[F.substring(seed, 1 + 4 * i, 4) for i in range(6)])) \
+        .otherwise(F.concat_ws(".", F.lit("10"), *[F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(256)).cast("string") for i in range(3)]))
     access = F.concat(norm.substr(1, 4), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: _pick(seed, i, " ".join(BASE32))), ""))
     iban = F.concat(norm.substr(1, 2), _shaped(F.expr("substring(norm, 3)"), seed))
-    secret = F.when(norm.rlike("^[0-9a-f]+$"), _shaped(norm, seed, hexadecimal=True)).otherwise(body)
+    secret = F.when(norm.rlike("^[0-9a-f]+$"), F.concat(_shaped(norm, seed, hexadecimal=True), digits_more)).otherwise(body)
     name = F.lit(None).cast("string")
     for script, by_gender in GIVEN.items():
         surname = _surname(seed, 3 + attempt, *SYLLABLES[script])
         for gender, given in by_gender.items():
             name = F.when(kind == f"NAME {gender} {script}",
                           F.when(norm.rlike("[ -]"), F.concat_ws(" ", _pick(seed, 0, given), surname)).otherwise(surname)).otherwise(name)
-    return (F.when(kind == "EMAIL", email).when(kind == "PHONE", phone).when(kind == "CARD", card).when(kind == "SSN", body)
+    return (F.when(kind == "EMAIL", email).when(kind == "PHONE", phone).when(kind == "CARD", card).when(kind == "SSN", F.concat(body, digits_more))
             .when(kind == "IP", ip).when(kind == "KEY", access).when(kind == "IBAN", iban).when(kind == "SECRET", secret).otherwise(name))
 
 
@@ -176,12 +183,12 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _render() -> Column:
-    """The surrogate in the layout of the value: digits take the number's places."""
+    """The surrogate in the layout of the value: digits take the number's places, further ones follow."""
     v, s = F.col("value"), F.col("surrogate")
     places = F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.when(
         v.substr(i, F.lit(1)).between("0", "9"), s.substr(F.length(_digits(v.substr(F.lit(1), i))), F.lit(1))).otherwise(v.substr(i, F.lit(1))))
     blocks = F.trim(F.regexp_replace(s, "(.{4})", "$1 "))
-    return F.concat("prefix", F.when(F.col("type").isin(*NUMBERS), F.array_join(places, ""))
+    return F.concat("prefix", F.when(F.col("type").isin(*NUMBERS), F.concat(F.array_join(places, ""), s.substr(F.length(_digits(v)) + 1, F.length(s))))
                     .when((F.col("type") == "IBAN") & v.contains(" "), blocks).otherwise(s))
 
 

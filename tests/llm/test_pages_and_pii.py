@@ -165,3 +165,15 @@ def test_entities_are_replaced_to_their_end(docs):
         given = {g for by in pii.GIVEN.values() for gs in by.values() for g in gs.split()}  # may be drawn by chance
         assert not (set(re.split("[ '-]", got[1][len(title):])) - given) & set(re.split("[ '-]", name[len(title):]))
     assert out[-2:] == stay
+
+
+def test_full_spaces_grow(docs, spark):
+    """All secrets of a shape are entities, so no surrogate of it is free; short numbers are no phones."""
+    rows = [(k, f"token = '-----{k}' end") for k in range(10)] + [(10, "call +12345 now")]
+    out = replaced(docs, rows)
+    texts = [out[k].text for k in range(10)]
+    assert len(set(texts)) == 10 and all(re.fullmatch(r"token = '-----\d[a-z]+' end", t) for t in texts)
+    assert out[10].text == "call +12345 now"
+    got = spark.createDataFrame([("IP", "1.2.3.4", 0), ("IP", "1.2.3.4", 4), ("PHONE", "5551234", 0), ("PHONE", "5551234", 5)], "type string, norm string, attempt int")
+    s = [r.s for r in got.select(pii.surrogate("key").alias("s")).collect()]
+    assert s[0].startswith("10.") and re.fullmatch("2001:db8(:[0-9a-f]{4}){6}", s[1]) and [len(x) for x in s[2:]] == [7, 9]
