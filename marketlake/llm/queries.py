@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe_stream, decontaminate, fertility, language, minhash, pii, repeats, rule_ensemble, token_counts, warc
+from marketlake.llm import bpe_stream, decontaminate, fertility, language, minhash, mixing, pii, repeats, rule_ensemble, token_counts, warc
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -65,6 +65,11 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix takes of every document: sources weigh 1, 2, 3, three epochs at most."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -98,5 +103,6 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_decontamination, op3_token_counts, op4_repeats, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility)}
-ORACLE: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_repeats": OP4_SQL, "op5_warc": warc.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_decontamination, op3_token_counts, op4_repeats, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility,
+                                 op13_mixing)}
+ORACLE: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_repeats": OP4_SQL, "op5_warc": warc.ORACLE, "op13_mixing": mixing.ORACLE}
