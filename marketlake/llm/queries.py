@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe_stream, decontaminate, fertility, language, minhash, mixing, pii, repeats, rule_ensemble, token_counts, warc
+from marketlake.llm import bpe_stream, decontaminate, fertility, language, minhash, mixing, pii, prefix_trie, ranked_search, repeats, rule_ensemble, token_counts, warc
+from marketlake.llm.common import staged
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -65,6 +66,23 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def trie_of(conversations: DataFrame) -> DataFrame:
+    """The trie of the conversations with the openings they share in families of five ids."""
+    turns, convs = prefix_trie.ordered_turns(conversations)
+    turns = turns.transform(staged, "trie-ordered")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(turns, convs), convs.select("conv"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per distinct prefix of the rebuilt conversations."""
+    return trie_of(_table(spark, sf_dir, "conversations"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix takes of every document: sources weigh 1, 2, 3, three epochs at most."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -104,5 +122,6 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_decontamination, op3_token_counts, op4_repeats, op5_warc, op6_surrogates, op7_language, op8_bpe_stream, op9_quality, op10_fertility,
-                                 op13_mixing)}
-ORACLE: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_repeats": OP4_SQL, "op5_warc": warc.ORACLE, "op13_mixing": mixing.ORACLE}
+                                 op11_ranked_search, op12_prefix_trie, op13_mixing)}
+ORACLE: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_repeats": OP4_SQL, "op5_warc": warc.ORACLE, "op11_ranked_search": ranked_search.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE,
+                          "op13_mixing": mixing.ORACLE}
