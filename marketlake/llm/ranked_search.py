@@ -31,6 +31,7 @@ list for each of them, ranked by itself.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import staged, texts_of
+from marketlake.llm.common import staged
 
 TOP = 20
 #: Tokens of a block of documents, and characters of a block of items sent to the executors.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 ITEM_CHARS = 2_000_000
 #: Ranges opened in one step, and cells that a search keeps at most for one strip of documents.
 BATCH = 256
@@ -66,8 +67,24 @@ def _packed(values: np.ndarray) -> bytes:
     return bytes([size]) + values.astype(f"<u{size}").tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+def _unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(kind)
+
+
+class _Block:
+    """Term frequencies of the documents added so far; terms are numbered as they come."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.points, self.tf, self.lengths, self.distinct, self.tokens = array("q"), array("q"), array("q"), array("q"), 0
+
+    def add(self, terms: list[bytes]) -> None:
+        number, counts = self.number, Counter(terms)
+        self.points.extend(number.setdefault(t, len(number)) for t in counts)
+        self.tf.extend(counts.values())
+        self.lengths.append(len(terms))
+        self.distinct.append(len(counts))
+        self.tokens += len(terms)
 
 
 _GRID = "n_docs long, n_terms long, lengths binary, terms binary, df binary, points binary, tf binary"
@@ -81,22 +98,16 @@ def grids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, tokens, texts = 0, 0, texts_of(batch, text_col)
-            rows: list[tuple[int, Counter]] = []
-            for i, text in enumerate(texts):
-                found = terms_of(text)
-                texts[i] = None
-                rows.append((len(found), Counter(found)))
-                tokens += len(found)
-                if tokens >= BLOCK_TOKENS or i + 1 == len(texts):
-                    yield block(batch.column(id_col).slice(start, i + 1 - start), rows)
-                    start, tokens, rows = i + 1, 0, []
-
-    def block(ids: pa.Array, rows: list[tuple[int, Counter]]) -> pa.RecordBatch:
-        number: dict[bytes, int] = {}
-        points = np.fromiter((number.setdefault(t, len(number)) for _, c in rows for t in c), np.int64)
-        tf = np.fromiter((k for _, c in rows for k in c.values()), np.int64)
-        lengths, distinct = (np.fromiter(x, np.int64, len(rows)) for x in ((n for n, _ in rows), (len(c) for _, c in rows)))
+            start, n, block = 0, batch.num_rows, _Block()
+            for i, text in enumerate(batch.column(text_col)):
+                block.add(terms_of(text.as_py() or ""))
+                if block.tokens >= BLOCK_TOKENS or i + 1 == n:
+                    yield packed(batch.column(id_col).slice(start, i + 1 - start), block)
+                    start, block = i + 1, _Block()
+
+    def packed(ids: pa.Array, made: _Block) -> pa.RecordBatch:
+        number = made.number
+        points, tf, lengths, distinct = (np.frombuffer(x, np.int64) for x in (made.points, made.tf, made.lengths, made.distinct))
         values = [int((lengths > 0).sum()), int(lengths.sum()), _packed(lengths), b"\n".join(number), _packed(np.bincount(points, minlength=len(number))),
                   _packed(points), _packed(tf)]
         listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
@@ -158,7 +169,7 @@ def index(grid: DataFrame) -> DataFrame:
                 less = np.r_[maxima[:1], np.repeat(maxima[:len(bits) // 4], bits.reshape(-1, 4).sum(1)) - maxima[1:]]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids").slice(i, 1), batch.column("terms").slice(i, 1), batch.column("df").slice(i, 1), pa.array([levels], pa.int32()),
-                     pa.array([np.packbits(bits).tobytes()], pa.binary()), pa.array([_packed(less)], pa.binary())],
+                     pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), pa.array([_packed(less)], pa.binary())],
                     names=["ids", "terms", "df", "levels", "bits", "maxima"])
 
     cols = grid.select("ids", "distinct_terms", "lengths", "terms", "df", "points", "tf")
@@ -168,32 +179,32 @@ def index(grid: DataFrame) -> DataFrame:
 # ---- search -----------------------------------------------------------------------------
 
 class Treap:
-    """A block's quadtree for walking: ``child[4 * cell + quadrant]`` is a cell or -1."""
+    """A block's quadtree for walking, on its bit vector: the child behind a set bit is the cell whose
+    number is the rank of that bit, from counts per 64-bit word."""
 
     def __init__(self, levels: int, bits: bytes, maxima: bytes, n_docs: int) -> None:
-        less = _unpacked(maxima)
-        n_inner = self._inner(bits, len(less))
-        held = np.unpackbits(np.frombuffer(bits, np.uint8), count=4 * n_inner).astype(bool)
-        number = np.cumsum(held, dtype=np.int32)
-        self.child = np.where(held, number, -1)
         self.levels, self.n_docs = levels, n_docs
-        self.best = less.copy()
-        # differences to the cell above, a level at a time
-        parent = np.flatnonzero(held) // 4
+        self.words = np.frombuffer(bits + bytes(-len(bits) % 8), "<u8")
+        counts = np.bitwise_count(self.words)
+        self.before = np.cumsum(counts, dtype=np.int32) - counts  # set bits of the words before
+        self.best = _unpacked(maxima, np.int32)
+        # from differences to the cell above, a level at a time
+        held = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
         start, end = 0, 1
         for _ in range(levels):
-            start, end = end, end + int(held[4 * start:4 * end].sum())
-            self.best[start:end] = self.best[parent[start - 1:end - 1]] - less[start:end]
-        self.best = np.append(self.best, 0)  # cell -1: nothing there
-
-    @staticmethod
-    def _inner(bits: bytes, n_cells: int) -> int:
-        """Cells with quadrant bits: every cell but the root is a set bit of one of them."""
-        held = np.unpackbits(np.frombuffer(bits, np.uint8))
-        if n_cells == 1:
-            return 0
-        last = int(np.flatnonzero(held)[n_cells - 2])
-        return last // 4 + 1
+            parent = np.flatnonzero(held[4 * start:4 * end]) // 4 + start
+            start, end = end, end + len(parent)
+            self.best[start:end] = self.best[parent] - self.best[start:end]
+        self.best = np.append(self.best, np.int32(0))  # cell -1: nothing there
+
+    def child(self, cells: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
+        """The cell in a quadrant of each cell, -1 if it is empty or the cell is -1."""
+        at = np.maximum(4 * cells.astype(np.int64) + quadrant, 0)
+        word, bit = at >> 6, (at & 63).astype(np.uint64)
+        here = self.words[word]
+        upto = here & ((np.uint64(2) << bit) - np.uint64(1))
+        found = self.before[word] + np.bitwise_count(upto)
+        return np.where((cells >= 0) & ((here >> bit) & np.uint64(1) > 0), found, -1).astype(np.int32)
 
     def top(self, rows: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(documents, scores) with a score of at least the bound last sent (``least`` at first),
@@ -231,9 +242,7 @@ class Treap:
     def _halved(self, at: np.ndarray, cells: np.ndarray, level: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Both halves of each document range, with the cell of every term row over them."""
         down = (rows[None, :] >> (self.levels - 1 - level)[:, None]) & 1
-        base = 4 * cells.astype(np.int64) + 2 * down
-        child = np.stack([np.where(cells >= 0, self.child[np.where(cells >= 0, base + h, 0)], -1) for h in (0, 1)], axis=1) if len(self.child) else \
-            np.full((len(at), 2, len(rows)), -1, np.int32)
+        child = np.stack([self.child(cells, 2 * down + half) for half in (0, 1)], axis=1)
         return (2 * at[:, None] + np.arange(2)).ravel(), child.reshape(-1, cells.shape[1])
 
 

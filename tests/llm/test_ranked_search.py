@@ -90,13 +90,13 @@ def test_treap_cells_hold_the_maxima_below(shape):
     levels = max(int(rows.max()), int(cols.max())).bit_length()
     bits, maxima = ranked_search.treap(rows, cols, weights, levels)
     less = np.r_[maxima[:1], np.repeat(maxima[:len(bits) // 4], bits.reshape(-1, 4).sum(1)) - maxima[1:]]
-    block = ranked_search.Treap(levels, np.packbits(bits).tobytes(), ranked_search._packed(less), shape[1])
+    block = ranked_search.Treap(levels, np.packbits(bits, bitorder="little").tobytes(), ranked_search._packed(less), shape[1])
     assert (block.best[:-1] == maxima).all() and len(maxima) == 1 + bits.sum()
     for row, col, w in zip(rows, cols, weights):
         cell = 0
         for b in reversed(range(levels)):
             assert block.best[cell] >= w
-            cell = block.child[4 * cell + 2 * ((row >> b) & 1) + ((col >> b) & 1)]
+            cell = int(block.child(np.array([cell]), np.array([2 * ((row >> b) & 1) + ((col >> b) & 1)]))[0])
         assert block.best[cell] == w
 
 
