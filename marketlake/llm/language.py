@@ -18,13 +18,14 @@ tables give empty results.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import crc_mod, map_batches
@@ -166,11 +167,21 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return out.select(id_col, (crc_mod(id_col, 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known (not ``und``)."""
+def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Column:
+    """The predicted language as a column. Only the texts go through the Python workers."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array([shared.value.predict(t)[0] != "und" for t in batch.column(text_col).to_pylist()], pa.bool_()))
+    @F.arrow_udf("string")
+    def language(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.predict(t.as_py())[0] for t in texts], pa.string())
+
+    return language(F.col(text_col))
+
 
-    return docs.mapInArrow(lambda it: (x for x in map(work, it) if x.num_rows), docs.schema)
+def with_language(docs: DataFrame, model: LanguageModel, wanted: Sequence[str] | None = None, text_col: str = "text",
+                  lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` in one of the ``wanted`` languages (None: any that the model knows), all
+    columns, with the predicted language in ``lang_col``."""
+    found = docs.withColumn("_lang_pred", predicted(docs, model, text_col))
+    good = F.col("_lang_pred") != "und" if wanted is None else F.col("_lang_pred").isin(list(wanted))
+    return found.where(good).select(*[F.col("_lang_pred").alias(c) if c == lang_col else F.col(c) for c in docs.columns])

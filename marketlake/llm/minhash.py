@@ -27,7 +27,8 @@ The only chance event is in least_shared: a pair at the threshold is missed with
 under one in a million (sets of fewer than about 1.6 k shingles: never).
 
 Null, empty and blank texts have the empty set and are linked with nothing. Ties go to the
-smaller id. Rows that repeat an id are one document; rows without id are linked through their
+smaller id. Rows that repeat an id are judged each by its own text, so an id with two texts can
+be in two components; rows without id are linked through their
 text but never stand for a group and are always kept. Other columns are ignored; empty tables
 give empty results.
 """
@@ -323,8 +324,36 @@ def rest_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, sets: Da
     return few.union(many).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n_shingles, component_id (smallest id of the component) and kept."""
+def class_ids(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the class (``class_id``) of each row's text, as in :func:`near_duplicates`."""
+
+    @F.arrow_udf("binary")
+    def class_of(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array([_class_of(shingle_set(t.as_py(), width), i.as_py()) for i, t in zip(ids, texts)], pa.binary())
+
+    return docs.withColumn("class_id", class_of(id_col, text_col))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every component the row with the smallest id,
+    one row if several have that id; rows without id all stay.
+
+    An id that occurs once is decided by the id. The rows of an id that repeats are decided each by
+    the class of its own text, which is computed again for these rows only."""
+    found = staged(near_duplicates(docs, width, percent, id_col, text_col, with_class=True).where(F.col(id_col).isNotNull()), "decided")
+    repeated = staged(found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col), "repeated")
+    out = docs.join(found.where("not kept").select(id_col).union(repeated).distinct(), id_col, "left_anti").select(docs.columns)
+    standing = found.join(repeated, id_col, "left_semi").where("kept").groupBy(id_col, "group_id").agg(F.min("class_id").alias("class_id"))
+    again = class_ids(docs.join(repeated, id_col, "left_semi").select(docs.columns), width, id_col, text_col)
+    one = again.join(standing.select(id_col, "class_id"), [id_col, "class_id"]).groupBy(id_col, "class_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return out.union(one.select("row.*"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
+                    with_class: bool = False) -> DataFrame:
+    """Per row of ``docs``: id, n_shingles, component_id (smallest id of the component) and kept;
+    ``with_class`` adds class_id, which equal sets share, and group_id, which linked classes share
+    (two components can have one component_id where an id repeats)."""
     rows = staged(sketches(docs, width, id_col, text_col), "sketches")
     classes = staged(rows.where(F.col("sketch").isNotNull()).groupBy("class_id").agg(F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
                      .withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -349,8 +378,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     firsts = rows.groupBy("class_id").agg(F.min("doc_id").alias("first"))
     joined = firsts.join(named, "class_id", "left")
     group = staged(joined.where(F.col("component").isNotNull()), "groups")
-    of_group = group.join(group.groupBy("component").agg(F.min("first").alias("smallest")), "component").select("class_id", "smallest")
-    of_class = joined.where(F.col("component").isNull()).select("class_id", F.col("first").alias("smallest")).union(of_group)
+    of_group = group.join(group.groupBy("component").agg(F.min("first").alias("smallest"), F.min("class_id").alias("group_id")), "component") \
+        .select("class_id", "smallest", "group_id")
+    of_class = joined.where(F.col("component").isNull()).select("class_id", F.col("first").alias("smallest"), F.col("class_id").alias("group_id")).union(of_group)
     return rows.join(of_class, "class_id").select(
         F.col("doc_id").alias(id_col), "n_shingles", F.col("smallest").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.col("smallest"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("doc_id") == F.col("smallest"), F.lit(True)).alias("kept"), *(["class_id", "group_id"] if with_class else []))

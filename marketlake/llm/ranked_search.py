@@ -30,6 +30,8 @@ list for each of them, ranked by itself.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from array import array
 from collections import Counter
@@ -45,7 +47,7 @@ from marketlake.llm.common import staged
 
 TOP = 20
 #: Tokens of a block of documents, and characters of a block of items sent to the executors.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 ITEM_CHARS = 2_000_000
 #: Ranges opened in one step, and cells that a search keeps at most for one strip of documents.
 BATCH = 256
@@ -99,11 +101,12 @@ def grids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             start, n, block = 0, batch.num_rows, _Block()
-            for i, text in enumerate(batch.column(text_col)):
+            for i, text in enumerate(batch.column(text_col)):  # one text at a time
                 block.add(terms_of(text.as_py() or ""))
                 if block.tokens >= BLOCK_TOKENS or i + 1 == n:
                     yield packed(batch.column(id_col).slice(start, i + 1 - start), block)
                     start, block = i + 1, _Block()
+        _tidy()
 
     def packed(ids: pa.Array, made: _Block) -> pa.RecordBatch:
         number = made.number
@@ -138,10 +141,10 @@ def treap(rows: np.ndarray, cols: np.ndarray, weights: np.ndarray, levels: int)
     2 ** levels, breadth first; the root is cell 0 and cells of one point's size have no bits."""
     code = _interleaved(rows, cols, levels)
     order = np.argsort(code, kind="stable")
-    code, best = code[order], weights[order]
+    code, best = code[order], weights[order].astype(np.int32)  # impacts are at most 10^6
     maxima, bits = [best], []
     for _ in range(levels):
-        above = code >> 2
+        above = code >> np.int64(2)
         first = np.flatnonzero(np.r_[True, above[1:] != above[:-1]])
         held = np.zeros((len(first), 4), bool)
         held[np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(code)])), code & 3] = True
@@ -151,6 +154,19 @@ def treap(rows: np.ndarray, cols: np.ndarray, weights: np.ndarray, levels: int)
     return np.concatenate(bits[::-1]) if bits else np.empty(0, bool), np.concatenate(maxima[::-1])
 
 
+def differences(bits: np.ndarray, maxima: np.ndarray) -> np.ndarray:
+    """What each cell's maximum lacks to that of the cell above; the root's as it is."""
+    less = np.repeat(maxima[:len(bits) // 4], bits.reshape(-1, 4).sum(1, dtype=np.int64))
+    return np.concatenate([maxima[:1], np.subtract(less, maxima[1:], out=less)])
+
+
+def _tidy() -> None:
+    """Give freed memory back to the system: workers live on, and the next stage's JVM needs it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def index(grid: DataFrame) -> DataFrame:
     """The treaps of all blocks: ids, terms, df, levels, bits, maxima (as differences to the cell above, the root's as it is)."""
     n_docs, n_terms = (int(x or 0) for x in grid.agg(F.sum("n_docs"), F.sum("n_terms")).first())
@@ -166,11 +182,12 @@ def index(grid: DataFrame) -> DataFrame:
                 cols = np.repeat(np.arange(len(lengths)), distinct)
                 levels = max(int(rows.max()), len(lengths) - 1).bit_length()
                 bits, maxima = treap(rows, cols, impact(tf, lengths[cols], n_docs, n_terms), levels)
-                less = np.r_[maxima[:1], np.repeat(maxima[:len(bits) // 4], bits.reshape(-1, 4).sum(1)) - maxima[1:]]
+                less = differences(bits, maxima)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids").slice(i, 1), batch.column("terms").slice(i, 1), batch.column("df").slice(i, 1), pa.array([levels], pa.int32()),
                      pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), pa.array([_packed(less)], pa.binary())],
                     names=["ids", "terms", "df", "levels", "bits", "maxima"])
+        _tidy()
 
     cols = grid.select("ids", "distinct_terms", "lengths", "terms", "df", "points", "tf")
     return cols.mapInArrow(run, f"ids {ids}, terms binary, df binary, levels int, bits binary, maxima binary")
@@ -337,6 +354,7 @@ def search(treaps: DataFrame, n_docs: int, items: DataFrame, k: int = TOP, id_co
             rows = [(q, i if has else None, -s) for q, held in enumerate(best) for s, has, i in held.rows]
             if rows:
                 qs, found, scores = zip(*rows)
+                _tidy()
                 yield pa.RecordBatch.from_arrays([pa.array(qs, pa.int32()), pa.array(found, ids_type), pa.array(scores, pa.int64())], names=["part", id_col, "score"])
 
         found = treaps.select("ids", "terms", "levels", "bits", "maxima").mapInArrow(run, f"part int, {id_col} {kind}, score long")

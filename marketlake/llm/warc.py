@@ -2,11 +2,13 @@
 
 ``write_archives`` writes three records per row - request, response (or revisit) and metadata,
 tied by WARC-Concurrent-To - through Spark's text writer: a record is one value, and the line
-separator is the CRLF CRLF that ends every WARC record, so each part file is a plain,
-uncompressed WARC 1.1 file, committed by Spark. ``read_records`` reads such files splittably, a
-record per separator. A payload that itself holds a record start is put together again by its
-Content-Length; only if it also lies across two file splits must ``whole_files`` be used (an
-error says so). ``assemble`` joins the records of a transaction into one nested row.
+separator is the CRLF CRLF that ends every WARC record, so each part file is a WARC 1.1 file,
+committed by Spark. Parts are compressed (gzip, the file as a whole) and hold at most
+``records_per_file`` records; a reader takes a part from its start to its end, so a payload that
+itself holds a record start is always put together again by its Content-Length. Parts written
+with ``compression="none"`` are read in splits; only there must ``whole_files`` be used if such a
+payload lies across two of them (an error says so). ``assemble`` joins the records of a
+transaction into one nested row.
 
 Of equal payloads of at least ``least_bytes`` bytes the smallest id is stored as response, the
 others as revisits that name it. Null payloads are empty; null ids never become the stored copy
@@ -71,7 +73,7 @@ def captures(pages: DataFrame, id_col: str, url_col: str, payload_col: str, leas
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-                   least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
+                   least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip", records_per_file: int = 60_000) -> None:
     """Write the archives of all rows into the folder ``path``."""
     rows = captures(pages, id_col, url_col, payload_col, least_bytes)
     rid, uri, digest = F.col("record_id"), F.col("uri"), F.col("digest")
@@ -89,7 +91,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     metadata = _record("metadata", _uuid(rid, F.lit("metadata")), uri,
                        F.concat(F.lit("page-id: "), F.coalesce(F.col("id").cast("string"), F.lit(""))),
                        "application/warc-fields", date, [concurrent])
-    rows.select(F.explode(F.array(request, response, metadata)).alias("value")).write.option("lineSep", END).text(path)
+    rows.select(F.explode(F.array(request, response, metadata)).alias("value")) \
+        .write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
 
 
 RECORD = "type string, record_id string, concurrent_to string, uri string, refers_to string, digest string, head string, payload binary"

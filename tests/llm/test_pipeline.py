@@ -43,9 +43,32 @@ def test_stage_contract(spark):
     assert corpus_pipeline.run(spark, SF001).count() > 0
 
 
+def test_an_id_with_two_texts_of_two_groups(spark):
+    """(5, A) and (5, B) with near copies (7, A') and (3, B'): one row of each group stays."""
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"{w}{rng.randrange(99)}" for w in "some words of this text that go on and on for a while longer".split() * 5) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a + " end"), (3, b + " end"), (8, c), (8, c), (None, c), (None, a), (11, "short one"), (11, "other short one"), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(5, a), (3, b + " end"), (8, c), (None, c), (None, a), (11, "short one"), (11, "other short one"), (12, "")], key=str)
+
+
+def test_documents_in_other_languages_go(docs):
+    from marketlake.llm import language
+    sample = {"en": "the cat and the dog are in the house with a friend", "de": "der hund und die katze sind in dem haus mit einem freund",
+              "fr": "le chat et le chien sont dans la maison avec un ami"}
+    rows = [(100 + 3 * k + j, f"{t} {k}", lang) for k in range(40) for j, (lang, t) in enumerate(sample.items())]
+    model = language.fit(docs(rows))
+    mixed = docs([(1, sample["en"], "fr"), (2, sample["de"], None), (3, sample["fr"], "fr"), (4, "12 34", "en"), (5, None, "en")])
+    assert sorted((r.doc_id, r.lang) for r in language.with_language(mixed, model).collect()) == [(1, "en"), (2, "de"), (3, "fr")]
+    assert [r.doc_id for r in language.with_language(mixed, model, wanted=["en"]).collect()] == [1]
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = [n.split("_")[0] for n in entry.queries() if n.startswith("op")]
-    assert sorted(names) == sorted(f"op{k}" for k in range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(names) == sorted(f"op{k}" for k in range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -89,7 +89,7 @@ def test_treap_cells_hold_the_maxima_below(shape):
     weights = r.integers(1, 10**6, len(rows))
     levels = max(int(rows.max()), int(cols.max())).bit_length()
     bits, maxima = ranked_search.treap(rows, cols, weights, levels)
-    less = np.r_[maxima[:1], np.repeat(maxima[:len(bits) // 4], bits.reshape(-1, 4).sum(1)) - maxima[1:]]
+    less = ranked_search.differences(bits, maxima)
     block = ranked_search.Treap(levels, np.packbits(bits, bitorder="little").tobytes(), ranked_search._packed(less), shape[1])
     assert (block.best[:-1] == maxima).all() and len(maxima) == 1 + bits.sum()
     for row, col, w in zip(rows, cols, weights):
