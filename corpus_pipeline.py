@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor k
 a DataFrame; ``run`` writes it as Parquet into the shared folder and rereads it for the next.
 All stages but the last return the columns of ``documents``.
 
-Null, empty and letterless texts end at the language stage. Rows without id pass all stages;
-repeated rows stay together; empty tables give empty results.
+Null, empty and letterless texts end at the language stage. Rows without id pass all stages; of
+repeated rows one stays, and rows that repeat an id are decided each by its own text; empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,14 +21,13 @@ from marketlake.llm.queries import PII_KEY, WORD_BPE
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without text or letters go."""
+    """Documents in a language the model knows, which becomes their lang; those without text or letters go."""
     return language.with_language(docs, language.fit(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    removed = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(removed, "doc_id", "left_anti").select(docs.columns)
+    return minhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
