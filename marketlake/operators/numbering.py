@@ -1,8 +1,8 @@
 """Dense numbers and running totals without a one-task window.
 
 :func:`numbered` sorts once over Spark's range partitions and writes the sorted rows; a row's
-number is the count of rows in earlier partitions plus its place in its own. The counts are a
-table of one row per partition.
+number is the count of rows in earlier partitions plus its place in its own. The counts, one per
+partition, are added up once and joined as a small table.
 
 :func:`running_totals` adds up a value over a dense integer key by a tree of partial sums: keys
 fall into blocks of ``fan`` neighbours, block totals into blocks of blocks, until one block is
@@ -13,6 +13,7 @@ reaches the driver.
 from __future__ import annotations
 
 import uuid
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +38,10 @@ def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     are split by the later order columns."""
     at = staged(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), name)
     at = at.withColumn("_part", F.shiftrightunsigned("_at", _PLACE_BITS))
-    parts = at.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per shuffle partition at most
-    starts = parts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    # one number per partition of the sort, at most spark.sql.shuffle.partitions of them
+    parts = sorted((r[0], r[1]) for r in at.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).collect())
+    before = accumulate((rows for _, rows in parts), initial=0)
+    starts = df.sparkSession.createDataFrame([(part, start) for (part, _), start in zip(parts, before)], "_part long, _start long")
     place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return at.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + place + 1).drop("_part", "_at", "_start")
 

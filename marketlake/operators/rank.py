@@ -1,133 +1,61 @@
-"""Distributed global ranking (WN-3 surrogate keys, WN-4 NTILE).
-
-``row_number() OVER (ORDER BY k)`` with no partition puts every row in one
-task. Instead:
-
-1. the order tuple alone (it must end in a unique tie-break) is cached while
-   the rows are counted, a small seeded sample is drawn and cut into ``B``
-   ranges on the driver. ``B`` follows from the row count (see
-   :func:`range_count`); the sample holds about ``sample_per_range`` tuples per
-   range, which is the only data that reaches the driver;
-2. each row is tagged with its range by a binary search over the sorted bounds
-   (``log2 B`` struct comparisons per row, deterministic column expressions -
-   unlike ``spark_partition_id``, which can change when a lost partition is
-   recomputed);
-3. the rows of each range are counted (``B`` numbers to the driver) and
-   prefix-summed; the cached tuples are freed;
-4. ``rn = offset[range] + row_number() OVER (PARTITION BY range ORDER BY k)``,
-   the offset looked up by array index, all in BIGINT.
-
-Struct comparison is lexicographic, so a first-column value holding a third
-of all rows is still split across ranges by the later columns. NULLs in the
-order tuple raise an error before anything is ranked; a tuple that occurs twice
-raises one when the ranks are computed, since its ranks would be arbitrary.
+"""Global ranks without a one-task window (WN-3 surrogate keys, WN-4 NTILE).
+
+* :func:`global_row_number` and :func:`surrogate_key` sort over range partitions, write the sorted
+  rows once and add to each row's place the count of the partitions before its own
+  (:mod:`marketlake.operators.numbering`). No bound, offset or sample is part of the plan, and
+  nothing of the rows reaches the driver beyond what Spark's own range sort samples.
+* :func:`line_numbers` numbers the lines of many groups whose own numbers are known: a running
+  total over the groups plus the place in the group, so lines move once, to their group.
+* :func:`global_ntile` compares rows with exact cut tuples (:mod:`marketlake.operators.quantiles`);
+  rows are not ranked or moved at all.
+
+NULL in an order column is an error. Rows that tie get different numbers, fixed once written.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators.numbering import numbered, running_totals, staged
+from marketlake.operators.quantiles import global_ntiles
 
-@dataclass(frozen=True)
-class RankPlan:
-    total: int
-    buckets: int
-
-
-def range_count(total: int, rows_per_range: int = 2_000_000, fine_rows: int = 20_000, fine_ranges: int = 64) -> int:
-    """Ranges for ``total`` rows: one per ``rows_per_range`` rows, and for smaller inputs
-    one per ``fine_rows`` rows up to ``fine_ranges``, so that they too run in parallel; two at least."""
-    return max(2, math.ceil(total / rows_per_range), min(fine_ranges, math.ceil(total / fine_rows)))
-
-
-def _with_range_tag(df: DataFrame, key: str, bounds: list, fields: list[tuple[str, object]],
-                    name: str) -> DataFrame:
-    """Add ``name`` = the index of the range ``key`` falls in = the number of sorted
-    bounds ``<=`` key, by a binary search unrolled into ``ceil(log2(B + 1))``
-    projections (``pos += k`` when the bound at ``pos + k`` is still ``<=`` key,
-    for k = the powers of two, largest first). Each step reads the previous
-    position once per row and compiles with whole-stage codegen; the plan stays
-    the same size whatever the number of ranges (one literal array of bounds)."""
-
-    def lit_struct(row) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)])
-
-    arr = F.array(*[lit_struct(b) for b in bounds])
-    m = len(bounds)
-    k = 1 << max(0, m.bit_length() - 1)  # largest power of two <= m
-    out = df.withColumn(name, F.lit(0))
-    while k >= 1:
-        pos, nxt = F.col(name), F.col(name) + k
-        # element_at is 1-based: the bound at 0-based index pos + k - 1
-        ok = (nxt <= m) & (F.element_at(arr, F.least(nxt, F.lit(m))) <= F.col(key))
-        out = out.withColumn(name, F.when(ok, nxt).otherwise(pos))
-        k //= 2
-    return out
-
-
-def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
-                      descending: bool = False, rows_per_range: int = 2_000_000,
-                      fine_rows: int = 20_000, sample_per_range: int = 16,
-                      seed: int = 42) -> tuple[DataFrame, RankPlan]:
-    """Add ``name`` = 1..N in the order of ``order_cols`` (non-NULL, unique as a tuple).
-
-    Returns the frame and the plan (row total, number of ranges).
-    """
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    keyed = df.withColumn("_rk", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
-    fields = [(f.name, f.dataType) for f in keyed.schema["_rk"].dataType.fields]
-    missing = F.lit(False)
-    for n, _ in fields:
-        missing = missing | F.col(f"_rk.{n}").isNull()
-
-    keys = keyed.select("_rk").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        seen = keys.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(missing, 1)).alias("nulls")).first()
-        total = seen["rows"]
-        if seen["nulls"]:
-            raise ValueError(f"{seen['nulls']} rows have NULL in the order columns of {name!r}")
-        ranges = range_count(total, rows_per_range, fine_rows)
-        want = ranges * sample_per_range
-        sample = sorted(tuple(r["_rk"]) for r in
-                        keys.sample(False, min(1.0, 1.5 * want / total), seed).collect()) if total else []
-        bounds: list = []
-        for i in range(1, ranges):
-            if sample:
-                b = sample[min(len(sample) - 1, i * len(sample) // ranges)]
-                if not bounds or b > bounds[-1]:
-                    bounds.append(b)
-        if not bounds:  # no or hardly any rows: any tuple is a bound, one range stays empty
-            bounds = [sample[-1]] if sample else [tuple(r["_rk"]) for r in keys.limit(1).collect()]
-        counts = dict(_with_range_tag(keys, "_rk", bounds, fields, "_rb").groupBy("_rb").count().collect()) \
-            if bounds else {}
-    finally:
-        keys.unpersist()
-    offsets, run = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(run)
-        run += counts.get(b, 0)
-    starts = F.array(*[F.lit(o).cast("long") for o in offsets])
-
-    tagged = _with_range_tag(keyed, "_rk", bounds, fields, "_rb") if bounds else keyed.withColumn("_rb", F.lit(0))
-    w = Window.partitionBy("_rb").orderBy(*[F.col(f"_rk.{n}") for n, _ in fields])
-    rank = F.element_at(starts, F.col("_rb") + 1) + F.row_number().over(w).cast("long")
-    twice = F.lag("_rk").over(w) == F.col("_rk")
-    rn = F.when(twice, F.raise_error(F.lit(f"order columns of {name} repeat a value"))).otherwise(rank)
-    if descending:
-        rn = F.lit(total + 1).cast("long") - rn
-    out = tagged.withColumn(name, rn.cast("long")).drop("_rk", "_rb")
-    return out, RankPlan(total=total, buckets=len(bounds) + 1)
-
-
-def surrogate_key(df: DataFrame, order_cols: list, name: str, **kw) -> DataFrame:
-    """Dense 1..N surrogate key by natural-key order (order must be unique)."""
-    out, _ = global_row_number(df, order_cols, name=name, **kw)
-    return out
+#: Line numbers of a group that are placed in one window partition.
+LINE_BLOCK = 4096
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn", descending: bool = False) -> DataFrame:
+    """Adds ``name`` = 1..N in the order of ``order_cols`` (all descending with ``descending``)."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in order_cols])
+    first = F.when(missing, F.raise_error(F.lit(f"NULL in the order columns of {name}"))).otherwise(F.col(order_cols[0]))
+    keys = [first, *(F.col(c) for c in order_cols[1:])]
+    return numbered(df, [k.desc() if descending else k.asc() for k in keys], name)
+
+
+def surrogate_key(df: DataFrame, order_cols: list[str], name: str) -> DataFrame:
+    """Dense 1..N surrogate key by natural-key order."""
+    return global_row_number(df, order_cols, name)
+
+
+def line_numbers(lines: DataFrame, group_key: str, line_col: str, order_cols: list[str], name: str) -> DataFrame:
+    """Adds ``name`` = 1..N over all lines by (``group_key``, ``line_col``, ``order_cols``).
+
+    ``group_key`` is a dense BIGINT, ``line_col`` a whole number such as a line's number in its
+    group. A group of very many lines is placed in blocks of ``LINE_BLOCK`` line numbers, so it is
+    no single window partition; ``lines`` is written once and read for counts and places."""
+    block = F.call_function("div", F.col(line_col).cast("long"), F.lit(LINE_BLOCK)).cast("long")
+    kept = staged(lines.withColumn("_block", block), name)
+    counts = kept.groupBy(group_key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    counts = staged(counts, f"{name}-counts")
+    before = Window.partitionBy(group_key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    in_group = counts.select(group_key, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_in_group"))
+    above = running_totals(counts.groupBy(group_key).agg(F.sum("_n").alias("_n")), group_key, "_n", "_above")
+    start = in_group.join(above, group_key).select(group_key, "_block", (F.col("_above") + F.col("_in_group")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(group_key, "_block").orderBy(line_col, *order_cols))
+    return kept.withColumn("_place", place).join(start, [group_key, "_block"]) \
+        .withColumn(name, F.col("_start") + F.col("_place")).drop("_place", "_start", "_block")
 
 
 def ntile_expr(rn: Column, total: int, n: int) -> Column:
@@ -142,7 +70,7 @@ def ntile_expr(rn: Column, total: int, n: int) -> Column:
         .otherwise(div(rn - big - 1, q) + r + 1).cast("int")
 
 
-def global_ntile(df: DataFrame, n: int, order_cols: list, name: str, **kw) -> DataFrame:
-    """Add ``name`` = NTILE(n) OVER (ORDER BY order_cols) without a single-partition window."""
-    out, plan = global_row_number(df, order_cols, name="_ntile_rn", **kw)
-    return out.withColumn(name, ntile_expr(F.col("_ntile_rn"), plan.total, n)).drop("_ntile_rn")
+def global_ntile(df: DataFrame, n: int, order_cols: list[str], name: str, descending: bool = False) -> DataFrame:
+    """Add ``name`` = NTILE(n) OVER (ORDER BY order_cols): a measure and its tie-break."""
+    measure, tie = order_cols
+    return global_ntiles(df, {name: (measure, "desc" if descending else "asc")}, n, tie)

@@ -12,7 +12,8 @@ Join strategy (what keeps this linear at scale):
   days (a proven bound). Other dimensions grow with the data, so they are left
   to AQE, which broadcasts them only when their *measured* size is under the
   threshold and otherwise sort-merge joins (splitting skewed keys);
-* surrogate keys come from the distributed global rank (``operators.rank``).
+* surrogate keys come from a staged range sort; item keys from a running total over the
+  orders plus the place within the order (``operators.rank``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import dates as D
 from marketlake.functions.numeric import half_up_ratio, money, unscaled
-from marketlake.operators.rank import surrogate_key
+from marketlake.operators.rank import line_numbers, surrogate_key
 from marketlake.sources.calendar import REFERENCE_END, REFERENCE_START, calendar_days
 from marketlake.sources.calendar import dim_date as _dim_date
 
@@ -109,17 +110,63 @@ def customer_keys(customers: DataFrame, dim_cust: DataFrame) -> DataFrame:
             .select("customer_id", "customer_sk"))
 
 
-def fact_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
-                payments: DataFrame, reviews: DataFrame, dim_cust: DataFrame,
-                dd: DataFrame) -> DataFrame:
-    """GLD-3: one row per order with its pre-aggregated items, payments and reviews.
+@dataclass(frozen=True)
+class OrderLines:
+    """Order items in the layout of the lake: ``cold`` lies in buckets of ``order_id``; the lines of
+    the orders in ``hot_ids``, each of which would fill much of a bucket, lie apart in ``hot``. There
+    are few such orders by construction (:func:`hot_orders`), so what belongs to them is broadcast."""
+    cold: DataFrame
+    hot: DataFrame | None = None
+    hot_ids: DataFrame | None = None
+
+    def all(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.union(self.hot)
+
+    def with_orders(self, orders: DataFrame, how: str = "inner") -> DataFrame:
+        """The lines with the columns of ``orders`` (one row per ``order_id``): buckets meet buckets,
+        hot lines meet the few hot orders where they are."""
+        out = self.cold.join(orders, "order_id", how)
+        if self.hot is None:
+            return out
+        few = orders.join(F.broadcast(self.hot_ids), "order_id", "left_semi")
+        return out.union(self.hot.join(F.broadcast(few), "order_id", how))
+
+    def per_order(self, *aggregates) -> DataFrame:
+        out = self.cold.groupBy("order_id").agg(*aggregates)
+        return out if self.hot is None else out.union(self.hot.groupBy("order_id").agg(*aggregates))
+
+
+def hot_orders(items: DataFrame, buckets: int) -> DataFrame:
+    """Ids of the orders with more than a quarter of a bucket's share of ``items``: 4 * ``buckets`` at
+    most, whatever the data."""
+    counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where(4 * buckets * F.col("n") > total).select("order_id")
+
+
+def order_keys(orders: DataFrame, customers: DataFrame, dim_cust: DataFrame, dd: DataFrame) -> DataFrame:
+    """(order_id, order_sk, customer_sk, purchase_date_sk) of the orders that have a customer, a person
+    and a calendar day: the inner joins of the order fact at their narrowest, numbered by order_id.
+    Orders off the calendar are counted by ``dq_off_calendar``."""
+    narrow = orders.select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("_pd")) \
+        .join(customer_keys(customers, dim_cust), "customer_id") \
+        .join(_date_keys(dd), F.col("_pd") == F.col("full_date")) \
+        .select("order_id", "customer_sk", F.col("date_sk").alias("purchase_date_sk"))
+    return surrogate_key(narrow, ["order_id"], "order_sk")
+
+
+def fact_orders(orders: DataFrame, items: DataFrame | OrderLines, payments: DataFrame, reviews: DataFrame,
+                keys: DataFrame) -> DataFrame:
+    """GLD-3: one row per order with its keys (:func:`order_keys`) and its pre-aggregated items,
+    payments and reviews. All inputs are keyed by ``order_id``: in the lake's buckets of it, nothing moves.
 
     Missing aggregates become 0 — including ``avg_review_score``, as in the
     warehouse. ``approval_minutes`` holds the approval time in minutes (the
     warehouse stored it in a column called *approval_days*); ``approval_days``
     is the day-boundary count.
     """
-    item_agg = items.groupBy("order_id").agg(
+    items = items if isinstance(items, OrderLines) else OrderLines(items)
+    item_agg = items.per_order(
         F.count(F.lit(1)).alias("total_items"),
         F.sum(money("price")).alias("total_item_amount"),
         F.sum(money("freight_value")).alias("total_freight_amount"))
@@ -127,17 +174,14 @@ def fact_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
     rev_agg = reviews.groupBy("order_id").agg(
         F.avg(F.col("review_score").cast("double")).alias("avg_review_score"))
 
-    o = orders.withColumn("_pd", F.to_date("order_purchase_timestamp"))
-    base = (o.join(item_agg, "order_id", "left")
+    base = (orders.join(keys, "order_id")
+            .join(item_agg, "order_id", "left")
             .join(pay_agg, "order_id", "left")
-            .join(rev_agg, "order_id", "left")
-            .join(customer_keys(customers, dim_cust), "customer_id", "inner")
-            .join(_date_keys(dd), F.col("_pd") == F.col("full_date"), "inner"))
+            .join(rev_agg, "order_id", "left"))
     zero = F.lit(0).cast("decimal(18,2)")
     d, e = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    out = base.select(
-        "order_id", F.col("customer_sk"), F.col("date_sk").alias("purchase_date_sk"),
-        "order_status",
+    return base.select(
+        "order_sk", "order_id", "customer_sk", "purchase_date_sk", "order_status",
         F.coalesce(F.col("total_items"), F.lit(0)).cast("long").alias("total_items"),
         F.coalesce(F.col("total_item_amount"), zero).cast("decimal(18,2)").alias("total_item_amount"),
         F.coalesce(F.col("total_freight_amount"), zero).cast("decimal(18,2)")
@@ -151,8 +195,6 @@ def fact_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
         "delivery_delay_days",
         F.col("approval_time").alias("approval_minutes"),
         D.day_diff("order_purchase_timestamp", "order_approved_at").alias("approval_days"))
-    keyed = surrogate_key(out, ["order_id"], "order_sk")
-    return keyed.select(F.col("order_sk"), *out.columns)
 
 
 def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -174,7 +216,7 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
     return keyed.select(F.col("product_sk"), *out.columns)
 
 
-def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame,
+def dim_seller(sellers: DataFrame, items: DataFrame | OrderLines, orders: DataFrame,
                p: GoldParams = GoldParams()) -> DataFrame:
     """GLD-5: sellers with sales metrics.
 
@@ -183,8 +225,9 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame,
     skewing a left-outer join (whose preserved side cannot be split). A seller
     without items keeps the warehouse's ``COUNT(*)`` over an outer join: 1.
     """
-    sold = (items.select("order_id", "seller_id", "price")
-            .join(orders.select("order_id", "order_purchase_timestamp"), "order_id", "left"))
+    items = items if isinstance(items, OrderLines) else OrderLines(items)
+    sold = items.with_orders(orders.select("order_id", "order_purchase_timestamp"), "left") \
+        .select("order_id", "seller_id", "price", "order_purchase_timestamp")
     agg = sold.groupBy("seller_id").agg(
         F.min("order_purchase_timestamp").alias("_first"),
         F.max("order_purchase_timestamp").alias("_last"),
@@ -210,22 +253,22 @@ def dim_seller(sellers: DataFrame, items: DataFrame, orders: DataFrame,
     return keyed.select(F.col("seller_sk"), *out.columns)
 
 
-def fact_order_items(items: DataFrame, f_orders: DataFrame, d_product: DataFrame,
+def fact_order_items(items: DataFrame | OrderLines, keys: DataFrame, d_product: DataFrame,
                      d_seller: DataFrame, dd: DataFrame,
                      p: GoldParams = GoldParams()) -> DataFrame:
     """GLD-6: one row per item, keyed to all dimensions (JN-5/6/7).
 
-    The order, customer and purchase-date keys come from ``fact_orders`` (which
-    already applied the order→customer→person→date inner joins); the
+    The order, customer and purchase-date keys come from :func:`order_keys` (or a fact that holds
+    them), which applied the order→customer→person→date inner joins; the
     shipping-limit date is a second, role-playing join on the broadcast
     calendar. Relies on ``customer_id`` being unique in silver customers
-    (checked by ``dq_duplicates``).
+    (a key of its load contract).
     """
-    fo = f_orders.select("order_id", "order_sk", "customer_sk", "purchase_date_sk")
+    items = items if isinstance(items, OrderLines) else OrderLines(items)
+    fo = keys.select("order_id", "order_sk", "customer_sk", "purchase_date_sk")
     ship_keys = _date_keys(dd).withColumnRenamed("full_date", "_ship_full") \
         .withColumnRenamed("date_sk", "shipping_limit_date_sk")
-    it = items.withColumn("_ship", F.to_date("shipping_limit_date"))
-    base = (it.join(fo, "order_id", "inner")
+    base = (items.with_orders(fo).withColumn("_ship", F.to_date("shipping_limit_date"))
             .join(d_product.select("product_id", "product_sk"), "product_id", "inner")
             .join(d_seller.select("seller_id", "seller_sk"), "seller_id", "inner")
             .join(ship_keys, F.col("_ship") == F.col("_ship_full"), "inner"))
@@ -240,30 +283,8 @@ def fact_order_items(items: DataFrame, f_orders: DataFrame, d_product: DataFrame
         # unique tie-break for the item key (order_id, order_item_id can repeat)
         "product_id", "seller_id", "shipping_limit_date", F.col("price").alias("_p"),
         F.col("freight_value").alias("_f"))
-    keyed = surrogate_key(out, ["order_id", "order_item_id", "product_id", "seller_id",
-                                "shipping_limit_date", "_p", "_f"], "order_item_sk")
+    # order_sk numbers the orders by order_id, so this is the order by (order_id, order_item_id, ...)
+    keyed = line_numbers(out, "order_sk", "order_item_id", ["product_id", "seller_id", "shipping_limit_date", "_p", "_f"], "order_item_sk")
     cols = [c for c in out.columns if c not in ("product_id", "seller_id",
                                                 "shipping_limit_date", "_p", "_f")]
     return keyed.select(F.col("order_item_sk"), *cols)
-
-
-@dataclass
-class Star:
-    dim_customer: DataFrame
-    dim_date: DataFrame
-    dim_product: DataFrame
-    dim_seller: DataFrame
-    fact_orders: DataFrame
-    fact_order_items: DataFrame
-
-
-def build_star(spark: SparkSession, silver: dict[str, DataFrame],
-               p: GoldParams = GoldParams()) -> Star:
-    dd = dim_date(spark, p)
-    dc = dim_customer(silver["customers"], silver["orders"], silver["order_payments"], p)
-    fo = fact_orders(silver["orders"], silver["customers"], silver["order_items"],
-                     silver["order_payments"], silver["order_reviews"], dc, dd)
-    dp = dim_product(silver["products"], silver["category_translation"])
-    ds = dim_seller(silver["sellers"], silver["order_items"], silver["orders"], p)
-    foi = fact_order_items(silver["order_items"], fo, dp, ds, dd, p)
-    return Star(dc, dd, dp, ds, fo, foi)

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import dates as D
 from marketlake.functions.numeric import half_up_ratio, unscaled
-from marketlake.operators.rank import global_ntile
+from marketlake.operators.quantiles import global_ntiles
+from marketlake.plans.gold import OrderLines
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -76,11 +77,9 @@ def customer_rfm(fact_orders: DataFrame, dim_date: DataFrame, as_of=None,
                     F.datediff(latest, F.col("full_date")).alias("recency_days"),
                     F.col("frequency_orders").cast("long").alias("frequency_orders"),
                     F.col("monetary_value").cast("decimal(18,2)").alias("monetary_value")))
-    desc_r = p.recency_order == "desc"
-    scored = global_ntile(base, 5, ["recency_days", "customer_sk"], "r_score",
-                          descending=desc_r)
-    scored = global_ntile(scored, 5, ["frequency_orders", "customer_sk"], "f_score")
-    scored = global_ntile(scored, 5, ["monetary_value", "customer_sk"], "m_score")
+    # the cuts of the three measures are found in the same passes
+    scored = global_ntiles(base, {"r_score": ("recency_days", p.recency_order), "f_score": ("frequency_orders", "asc"),
+                                  "m_score": ("monetary_value", "asc")}, 5, "customer_sk")
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "customer_sk", "recency_days", "frequency_orders", "monetary_value", "r_score",
@@ -124,9 +123,10 @@ def cohort_retention(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- item-grain base
 def _item_base(fact_order_items: DataFrame, fact_orders: DataFrame, cols: list[str]) -> DataFrame:
-    fo = fact_orders.select("order_sk", *[c for c in cols if c in fact_orders.columns
-                                          and c not in fact_order_items.columns])
-    return fact_order_items.join(fo, "order_sk")
+    """Items with order columns, joined on ``order_id``, in whose buckets the lake keeps both facts."""
+    lines = fact_order_items if isinstance(fact_order_items, OrderLines) else OrderLines(fact_order_items)
+    return lines.with_orders(fact_orders.select("order_id", *[c for c in cols if c in fact_orders.columns
+                                                              and c not in lines.cold.columns]))
 
 
 ITEM_BASE_ORDER_COLS = ["order_id", "customer_sk", "order_status", "avg_review_score",
@@ -305,6 +305,11 @@ def _delivered_by_period(fact_orders: DataFrame, dim_date: DataFrame, dim_custom
         F.sum("total_payment_amount").alias("_gmv"),
         F.sum("avg_review_score").alias("_review"),
         F.sum("is_delayed").alias("_delayed"))
+    return by_period(per_customer, period_name)
+
+
+def by_period(per_customer: DataFrame, period_name: str) -> DataFrame:
+    """Sums over a period from rows of one period and customer (``_fd, _rep, _n, _gmv, _review, _delayed``)."""
     return per_customer.groupBy(period_name).agg(
         F.max("_fd").alias("full_date"),
         F.sum("_n").alias("total_orders"),
@@ -318,8 +323,11 @@ def _delivered_by_period(fact_orders: DataFrame, dim_date: DataFrame, dim_custom
 def executive_kpi(fact_orders: DataFrame, dim_date: DataFrame,
                   dim_customer: DataFrame) -> DataFrame:
     """MRT-6: daily KPIs of delivered orders (``avg_review_score`` unrounded)."""
-    g = _delivered_by_period(fact_orders, dim_date, dim_customer,
-                             F.col("purchase_date_sk"), "date_sk")
+    return daily_kpis(_delivered_by_period(fact_orders, dim_date, dim_customer, F.col("purchase_date_sk"), "date_sk"))
+
+
+def daily_kpis(g: DataFrame) -> DataFrame:
+    """The daily mart from its sums (:func:`by_period` of ``date_sk``)."""
     n = F.col("total_orders")
     return g.select(
         F.col("date_sk").cast("int").alias("date_sk"), "full_date",
@@ -336,8 +344,11 @@ def monthly_business_summary(fact_orders: DataFrame, dim_date: DataFrame,
                              dim_customer: DataFrame) -> DataFrame:
     """MRT-7: the same KPIs by ``yyyy-MM`` — recomputed from the facts, since
     distinct counts of days do not add up to months."""
-    g = _delivered_by_period(fact_orders, dim_date, dim_customer,
-                             D.year_month("full_date"), "year_month")
+    return monthly_kpis(_delivered_by_period(fact_orders, dim_date, dim_customer, D.year_month("full_date"), "year_month"))
+
+
+def monthly_kpis(g: DataFrame) -> DataFrame:
+    """The monthly mart from its sums (:func:`by_period` of ``year_month``)."""
     n = F.col("total_orders")
     return g.select(
         "year_month", n.cast("long").alias("total_orders"),

@@ -6,13 +6,14 @@ split, weights, hyper-parameters, metrics), not on identical numbers.
 
 * standardisation uses the **population** std (one aggregate pass, 2 scalars
   per feature to the driver);
-* the stratified split is exact and deterministic: rows are ranked inside their
-  class by a seeded hash with the distributed global rank — no per-class window
-  (a class can hold half of all rows) and no ``randomSplit`` (which is
-  approximate and partition-dependent);
+* the stratified split is exact and deterministic: of each class the rows with the
+  smallest seeded digests, up to a cut digest that counting passes find for all
+  classes at once (``operators.quantiles``) — no rank, no per-class window (a class
+  can hold half of all rows) and no ``randomSplit`` (approximate, partition-dependent);
 * class weights ``n / (k * n_c)`` come from the per-class counts;
-* metrics (classification report, MAE) are Spark aggregates over the
-  prediction frame; AUC uses the un-binned evaluator.
+* the classification report comes from one confusion matrix, the AUC from exact
+  rank sums over the distinct scores, the MAE from one aggregate; each model's
+  predictions are written once and every metric reads them.
 """
 
 from __future__ import annotations
@@ -21,16 +22,17 @@ import math
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.operators.rank import global_row_number
-from marketlake.operators.series import add_lags, add_rolling_means, chronological_split
+from marketlake.operators.numbering import numbered, running_totals, staged
+from marketlake.operators.quantiles import select_ranks
+from marketlake.operators.series import add_lags, chronological_split, series_features
 from marketlake.functions import dates as D
+from marketlake.session import ensure_checkpoint_dir
 
 SEED = 42
 
@@ -58,27 +60,47 @@ def standardize_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ML-2 / ML-3
+MAX_CLASSES = 1000
+
+
+def class_counts(df: DataFrame, label: str) -> dict:
+    """Rows of each class; an error for a label with more than ``MAX_CLASSES`` values or NULLs."""
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES or any(r[0] is None for r in rows):
+        raise ValueError(f"{label!r} has NULLs or more than {MAX_CLASSES} values: not a class label")
+    return {r[0]: r[1] for r in sorted(rows, key=lambda r: r[0])}
+
+
+def split_digest(key: str, seed: int = SEED) -> Column:
+    """60 bits of the MD5 of "seed|key", as any SQL engine computes them."""
+    text = F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2,
-                     seed: int = SEED, name: str = "is_test", **rank_kw) -> DataFrame:
-    """Mark ``ceil(test_frac * n_c)`` rows of each class ``c`` as test, chosen by a
-    seeded hash of ``key``; the same rows on every run and partitioning."""
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    ranked, _ = global_row_number(df.withColumn("_h", h), [label, "_h", key], name="_grn", **rank_kw)
-    counts = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())  # one row per class
-    offs, run, caps = {}, 0, {}
-    for c, n in counts:
-        offs[c], caps[c] = run, math.ceil(test_frac * n)
-        run += n
-    off = F.create_map(*[x for c, o in offs.items() for x in (F.lit(c), F.lit(o))])
-    cap = F.create_map(*[x for c, k in caps.items() for x in (F.lit(c), F.lit(k))])
-    within = F.col("_grn") - F.element_at(off, F.col(label))
-    return ranked.withColumn(name, (within <= F.element_at(cap, F.col(label))).cast("int")) \
-        .drop("_h", "_grn")
+                     seed: int = SEED, name: str = "is_test") -> DataFrame:
+    """Mark ``ceil(test_frac * n_c)`` rows of each class ``c`` as test: those with the smallest
+    seeded digests of ``key`` (a unique BIGINT); the same rows on every run and partitioning.
+
+    The input is written once; each class's cut digest is found by counting passes over it."""
+    rows = staged(df.withColumn("_h", split_digest(key, seed)).withColumn("_key", F.col(key).cast("long")), "split")
+    counts = class_counts(rows, label)
+    of_class = {f"_h{i}": F.when(F.col(label) == F.lit(c), F.col("_h")) for i, c in enumerate(counts)}
+    span = rows.agg(F.min("_key"), F.max("_key")).first()
+    ranks = {h: [math.ceil(test_frac * n)] for h, n in zip(of_class, counts.values())}
+    cuts = select_ranks(rows.withColumns(of_class), [h for h in ranks if ranks[h][0] > 0], "_key", ranks,
+                        {"_key": tuple(span), **{h: (0, 16 ** 15 - 1) for h in of_class}})
+    is_test = F.lit(0)
+    for (h, _), (digest, at) in cuts.items():
+        c = list(counts)[int(h[2:])]
+        below = (F.col("_h") < digest) | ((F.col("_h") == digest) & (F.col("_key") <= at))
+        is_test = F.when(F.col(label) == F.lit(c), below.cast("int")).otherwise(is_test)
+    return rows.withColumn(name, is_test).drop("_h", "_key")
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Balanced weights ``n / (k * n_c)`` (k classes) as a column."""
-    counts = dict((r[0], r[1]) for r in df.groupBy(label).count().collect())
+    counts = class_counts(df, label)
     n, k = sum(counts.values()), len(counts)
     wmap = F.create_map(*[x for c, nc in counts.items() for x in (F.lit(c), F.lit(n / (k * nc)))])
     return df.withColumn(name, F.element_at(wmap, F.col(label)))
@@ -95,11 +117,12 @@ def classification_report(pred: DataFrame, label: str = "label",
                           prediction: str = "prediction") -> DataFrame:
     """Per class precision, recall, F1, support, plus an accuracy row."""
     p = pred.select(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("p"))
-    by_true = p.groupBy(F.col("y").alias("cls")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.sum((F.col("y") == F.col("p")).cast("long")).alias("tp"))
-    by_pred = p.groupBy(F.col("p").alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    j = by_true.join(by_pred, "cls", "full").na.fill(0)
+    # one pass over the predictions: the confusion matrix, a row per pair of classes
+    matrix = p.groupBy("y", "p").agg(F.count(F.lit(1)).alias("n"))
+    sides = matrix.select(F.inline(F.array(
+        F.struct(F.col("y").alias("cls"), F.col("n").alias("support"), F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0).alias("tp"), F.lit(0).cast("long").alias("n_pred")),
+        F.struct(F.col("p").alias("cls"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"), F.col("n").alias("n_pred")))))
+    j = sides.groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "n_pred")])
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     rows = j.select(F.col("cls").cast("string").alias("class"), prec.alias("precision"),
@@ -107,19 +130,28 @@ def classification_report(pred: DataFrame, label: str = "label",
     rows = rows.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                         2 * F.col("precision") * F.col("recall")
                                         / (F.col("precision") + F.col("recall"))).otherwise(0.0))
-    acc = p.agg(F.lit("accuracy").alias("class"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("precision"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("recall"),
-                F.count(F.lit(1)).alias("support"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("f1"))
+    share = F.sum("tp") / F.sum("support")
+    acc = j.agg(F.lit("accuracy").alias("class"), share.alias("precision"), share.alias("recall"), F.sum("support").alias("support"), share.alias("f1"))
     return rows.select("class", "precision", "recall", "f1", "support") \
         .unionByName(acc.select("class", "precision", "recall", "f1", "support"))
 
 
-def roc_auc(pred: DataFrame, label: str = "label") -> float:
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    return ev.evaluate(pred)
+def auc_rank_sum(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """ML-12: (n_pos, n_neg, auc), exact: the share of (positive, negative) pairs that the score
+    puts in order, ties counting half (Mann-Whitney). ``label`` is 0 or 1; rows without score are left out.
+
+    Rows are counted per distinct score; these are numbered in order and the negatives below each
+    are a running total, so neither the scores nor a rank of all rows meet in one task."""
+    pos = F.col(label).cast("int") == 1
+    of_score = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")) \
+        .agg(F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg"))
+    at = numbered(of_score, ["_score"], "_nr")
+    below = running_totals(at, "_nr", "neg", "below")
+    whole = "decimal(38,0)"
+    pairs = F.sum(F.col("pos").cast(whole) * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)"))
+    total = at.join(below, "_nr").agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"), pairs.alias("pairs"))
+    area = F.col("pairs").cast("double") / (2.0 * F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
+    return total.select("n_pos", "n_neg", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), area).alias("auc"))
 
 
 def mae(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -152,12 +184,26 @@ def _classify(df: DataFrame, features: list[str], label: str, key: str, trees: i
     if scale:
         data = standardize(data, features)
     data = class_weights(stratified_split(data, "label", key), "label")
-    train, test = data.filter("is_test = 0").cache(), data.filter("is_test = 1")
+    train, test = data.filter("is_test = 0"), data.filter("is_test = 1")
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, weightCol="weight",
                                 featuresCol="features", labelCol="label", cacheNodeIds=True)
-    model = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), rf]) \
-        .fit(train)
-    return model, model.transform(test), features
+    model = _fitted([VectorAssembler(inputCols=features, outputCol="features"), rf], train)
+    return model, scored(model.transform(test), key), features
+
+
+def _fitted(stages: list, train: DataFrame):
+    """The fitted pipeline; its training rows are cached while it is fitted only."""
+    train = train.persist()
+    try:
+        return Pipeline(stages=stages).fit(train)
+    finally:
+        train.unpersist()
+
+
+def scored(pred: DataFrame, *keys: str) -> DataFrame:
+    """Predictions written once: keys, label, prediction and p1, the probability of class 1."""
+    p1 = vector_to_array("probability")[1].alias("p1")
+    return staged(pred.select(*keys, "label", "prediction", p1), "scored")
 
 
 def churn_model(w) -> dict:
@@ -181,14 +227,8 @@ def delay_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
 
 def delay_geo_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
     """ML-6/7: item delay classifier with geography flags and one-hot states, RF 200."""
-    from marketlake.plans.queries_adhoc import an_geo_features
-    geo = an_geo_features(w)
-    items = w.fact_order_items.select("order_item_sk", "item_price", "freight_value",
-                                      "total_item_value", "seller_sk", "customer_sk")
-    df = (geo.join(items, "order_item_sk")
-          .join(w.dim_seller.select("seller_sk", "seller_state"), "seller_sk", "left")
-          .join(w.dim_customer.select("customer_sk", "customer_state"), "customer_sk", "left")
-          .withColumn("is_delayed", F.coalesce("is_delayed", F.lit(0))))
+    from marketlake.plans.queries_adhoc import geo_frame
+    df = geo_frame(w).withColumn("is_delayed", F.coalesce("is_delayed", F.lit(0)))
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
            for c in ("seller_state", "customer_state")]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in ("seller_state", "customer_state")],
@@ -197,13 +237,15 @@ def delay_geo_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
                      *[F.col(c).cast("double").alias(c) for c in GEO_FEATURES],
                      "seller_state", "customer_state").na.fill(0.0, subset=GEO_FEATURES)
     data = class_weights(stratified_split(data, "label", "order_item_sk"), "label")
-    train, test = data.filter("is_test = 0").cache(), data.filter("is_test = 1")
+    train, test = data.filter("is_test = 0"), data.filter("is_test = 1")
     rf = RandomForestClassifier(numTrees=200, maxDepth=max_depth, seed=SEED, weightCol="weight",
                                 cacheNodeIds=True)
     asm = VectorAssembler(inputCols=GEO_FEATURES + ["seller_state_vec", "customer_state_vec"],
                           outputCol="features")
-    model = Pipeline(stages=idx + [ohe, asm, rf]).fit(train)
-    return {"model": model, "pred": model.transform(test), "names": GEO_FEATURES}
+    model = _fitted([*idx, ohe, asm, rf], train)
+    # one name per slot of the vector: each state as the fitted indexers number it, last the unseen
+    states = [f"{m.getInputCol()}_{s}" for m in model.stages[:2] for s in [*m.labels, "unseen"]]
+    return {"model": model, "pred": scored(model.transform(test), "order_item_sk"), "names": GEO_FEATURES + states}
 
 
 def _monthly_frame(w) -> DataFrame:
@@ -224,9 +266,10 @@ def monthly_model(w) -> dict:
     asm = VectorAssembler(inputCols=feats, outputCol="features")
     rf = RandomForestRegressor(numTrees=100, maxDepth=UNLIMITED_DEPTH, seed=SEED, featureSubsetStrategy="all",
                                labelCol="sales")
-    model = Pipeline(stages=[asm, rf]).fit(data.filter("is_train = 1"))
+    data = staged(data, "monthly")
+    model = _fitted([asm, rf], data.filter("is_train = 1"))
     pred = model.transform(data.filter("is_train = 0"))
-    return {"model": model, "pred": pred, "names": feats}
+    return {"model": model, "pred": staged(pred.drop("features"), "monthly-pred"), "names": feats}
 
 
 def _daily_frame(w) -> DataFrame:
@@ -235,8 +278,7 @@ def _daily_frame(w) -> DataFrame:
          .join(F.broadcast(w.dim_date.select(F.col("date_sk").alias("purchase_date_sk"),
                                              F.col("full_date").alias("day"))), "purchase_date_sk")
          .groupBy("product_category_name", "day").agg(F.sum("total_item_value").alias("sales")))
-    d = add_lags(d, "product_category_name", "day", "sales", [1, 7, 14])
-    d = add_rolling_means(d, "product_category_name", "day", "sales", [7, 14])
+    d = series_features(d, "product_category_name", "day", "sales", lags=[1, 7, 14], rolling=[7, 14])
     d = d.withColumn("weekday", D.weekday_mon0("day")).withColumn("month", F.month("day"))
     return d.na.drop().select("product_category_name", "day",
                               F.col("sales").cast("double").alias("sales"),
@@ -245,13 +287,24 @@ def _daily_frame(w) -> DataFrame:
 
 def daily_model(w, iterations: int = 300) -> dict:
     """ML-9/10: daily category sales — boosted trees (300 rounds, step 0.05, depth 5)."""
-    data = chronological_split(_daily_frame(w), "product_category_name", "day")
+    data = staged(chronological_split(_daily_frame(w), "product_category_name", "day"), "daily")
     asm = VectorAssembler(inputCols=DAILY_FEATURES, outputCol="features")
-    gbt = GBTRegressor(maxIter=iterations, stepSize=0.05, maxDepth=5, seed=SEED, labelCol="sales")
-    model = Pipeline(stages=[asm, gbt]).fit(data.filter("is_train = 1").cache())
+    # the last tenth of each training series is held out: rounds that don't help it end the fit
+    train = chronological_split(data.filter("is_train = 1"), "product_category_name", "day", 0.9, "_kept") \
+        .withColumn("held_out", F.col("_kept") == 0)
+    gbt = boosted_trees(w.spark, iterations).setParams(labelCol="sales", validationIndicatorCol="held_out")
+    model = _fitted([asm, gbt], train)
     pred = model.transform(data.filter("is_train = 0"))
-    return {"model": model, "pred": pred, "names": DAILY_FEATURES}
+    return {"model": model, "pred": staged(pred.drop("features"), "daily-pred"), "names": DAILY_FEATURES}
+
+
+#: Boosting rounds between two reliable checkpoints of the residuals.
+CHECKPOINT_ROUNDS = 10
 
 
-def probability_of_one(pred: DataFrame) -> DataFrame:
-    return pred.withColumn("p1", vector_to_array("probability")[1])
+def boosted_trees(spark, iterations: int) -> GBTRegressor:
+    """Boosted trees whose residuals are written to the shared checkpoint folder every
+    ``CHECKPOINT_ROUNDS`` rounds: the lineage of round 300 is as short as that of round 10, and a
+    lost executor costs the rounds since the last checkpoint."""
+    ensure_checkpoint_dir(spark)
+    return GBTRegressor(maxIter=iterations, stepSize=0.05, maxDepth=5, seed=SEED, checkpointInterval=CHECKPOINT_ROUNDS, validationTol=0.001)

@@ -1,17 +1,21 @@
-"""Layer pipeline (SRC-13): bronze -> silver -> gold -> marts, written as Parquet.
-
-Each table is written once and read back by the layers after it, so every
-layer starts from files (short lineage: a lost executor recomputes from the
-last written table, not from the raw inputs) and the surrogate-key ranks run
-once per dimension. The output root must be shared storage on a cluster; by
-default it is a fresh folder under the session's ``spark.checkpoint.dir``.
+"""Layer pipeline (SRC-13): bronze -> silver -> gold -> marts, loaded into a lake of named tables.
+
+Each table is loaded as a new version beside the old one (:mod:`marketlake.sources.lake`), checked
+against its contract in the pass that writes it, and read back by the layers after it, so every
+layer starts from files (short lineage: a lost executor recomputes from the last written table, not
+from the raw inputs). One publish at the end moves all tables to the new versions together; a run
+that dies leaves the old ones in place. The root must be shared storage on a cluster; by default it
+is a fresh folder under the session's ``spark.checkpoint.dir``.
+
+One layout at all sizes: what belongs to an order lies in buckets of ``order_id``, one file and one
+task a bucket, so the joins and aggregates of the order and item facts move nothing. An order that
+would fill much of a bucket by itself keeps its lines apart (``*_hot`` tables, in plain files): at
+most four such orders a bucket can exist, so what they need is broadcast.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
-import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +24,10 @@ from pyspark.sql import functions as F
 from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
+from marketlake.plans.contracts import CONTRACTS
 from marketlake.session import ensure_checkpoint_dir, input_bytes, size_shuffle_partitions
-from marketlake.sources.files import with_audit
 from marketlake.sources import bindings as B
+from marketlake.sources.lake import Lake
 
 
 def default_output(spark: SparkSession) -> str:
@@ -33,153 +38,91 @@ def default_output(spark: SparkSession) -> str:
 # different name on the customer-360 mart, none on the order fact.
 AUDIT_COLUMN = {"gold/fact_orders": None, "marts/customer_360_mart": "created_at"}
 AUDIT_COLUMNS = ("dwh_create_date", "created_at")
-
-
-class _Writer:
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None):
-        self.spark, self.root, self.timings = spark, root.rstrip("/"), {}
-        self.buckets, self.tag = buckets, f"{zlib.crc32(self.root.encode()):08x}"  # one name per output place
-        self.tables: dict[str, str] = {}  # layer name -> bucketed catalog table
-
-    def __call__(self, name: str, build, bucket_by: str | None = None) -> DataFrame:
-        """Build (a thunk, so rank actions are timed too), write, and read back.
-
-        With ``bucket_by`` (and bucketing enabled) the table is written bucketed and
-        sorted on that key as an external catalog table at the same path, so later
-        joins of two such tables on the key need no shuffle."""
-        path = f"{self.root}/{name}"
-        t0 = time.perf_counter()
-        df = build()
-        audit = AUDIT_COLUMN.get(name, "dwh_create_date")
-        if audit:
-            df = with_audit(df, audit)
-        if bucket_by and self.buckets:
-            # hash-partitioning on the key into the bucket count gives partition id ==
-            # bucket id, so each bucket is written by one task as one file (otherwise
-            # every write task would emit a file per bucket)
-            table = f"lake_{self.tag}_{name.replace('/', '_')}"
-            (df.repartition(self.buckets, bucket_by).write.mode("overwrite")
-             .bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
-             .option("path", path).saveAsTable(table))
-            out = self.spark.table(table)
-            self.tables[name] = table
-        else:
-            df.write.mode("overwrite").parquet(path)
-            out = self.spark.read.parquet(path)
-        self.timings[name] = round(time.perf_counter() - t0, 3)
-        return out.drop(audit) if audit else out
-
-
-def bucket_sizes(df: DataFrame, key: str, buckets: int) -> list[int]:
-    """Rows per bucket of ``df`` hashed on ``key`` into ``buckets``, smallest first.
-
-    ``pmod(hash(key), buckets)`` is the bucket id Spark's bucketed writer uses.
-    One aggregate over the key column; ``buckets`` numbers reach the driver."""
-    ids = F.pmod(F.hash(F.col(key)), F.lit(buckets))
-    counts = dict(df.groupBy(ids.alias("_b")).count().collect())
-    return sorted(counts.get(b, 0) for b in range(buckets))
-
-
-def bucket_skewed(sizes: list[int], factor: float, min_rows: int) -> bool:
-    """The largest bucket is over ``factor`` times the median and over ``min_rows``
-    (the rule AQE applies to shuffle partitions, counted in rows)."""
-    top, median = sizes[-1], sizes[len(sizes) // 2]
-    return top > min_rows and top > factor * max(median, 1)
+#: Tables in buckets of order_id.
+BY_ORDER = ("silver/orders", "silver/order_items", "silver/order_payments", "silver/order_reviews",
+            "gold/order_keys", "gold/fact_orders", "gold/fact_order_items", "gold/item_order_base")
+#: Tables whose hot orders lie apart, under the name with "_hot".
+WITH_HOT = ("silver/order_items", "gold/fact_order_items", "gold/item_order_base")
 
 
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                gp: G.GoldParams | None = None, mp: M.MartParams = M.MartParams(),
                bronze: dict[str, DataFrame] | None = None,
-               fact_buckets: int | None = -1, parallel_tables: int = 6,
-               skew_min_rows: int = 2_000_000, size_partitions: bool = True) -> dict:
-    """Build every silver, gold and mart table; returns ``{"root": path, "timings": {...},
-    "fact_join": "bucketed" | "shuffled" | "shuffled (skewed buckets)",
-    "bucketed_tables": {layer name: catalog table}}``.
+               buckets: int | None = None, parallel_tables: int = 6, size_partitions: bool = True) -> dict:
+    """Load every silver, gold and mart table and publish them; returns ``{"root": path,
+    "timings": {...}, "lake": the :class:`Lake`, "manifest": number of the published state}``.
 
     ``bronze`` defaults to the driver-table bindings under ``sf_dir``; pass
     frames from :func:`marketlake.sources.files.read_csv` for raw CSV inputs.
-    ``fact_buckets``: bucket count for the two facts (bucketed on ``order_sk``);
-    -1 = the session's ``spark.sql.shuffle.partitions``, ``None`` = plain files.
+    ``buckets``: buckets of ``order_id``; None = the session's ``spark.sql.shuffle.partitions``.
     ``parallel_tables``: how many independent tables of one layer are built at
     once (1 = one after another).
-
-    A bucketed join cannot be split by AQE: a hot order (one order with a large
-    share of all items) would be one bucket, written and joined by one task. So
-    before the facts are written, the silver items are counted per bucket of
-    their order key; if the largest bucket is over AQE's skew factor times the
-    median and over ``skew_min_rows`` rows, the facts are written as plain files
-    and the fact-to-fact join shuffles, where AQE splits the hot partition.
-    ``result["fact_join"]`` says which plan was used.
-
     ``size_partitions``: with the driver-table bindings, first raise
     ``spark.sql.shuffle.partitions`` (and so the bucket count) from the bound
     tables' size on storage (:func:`marketlake.session.size_shuffle_partitions`).
     """
     gp = gp or G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
-    root = out_dir or default_output(spark)
+    lake = Lake(spark, out_dir or default_output(spark))
     if size_partitions and bronze is None and sf_dir:
         size_shuffle_partitions(spark, input_bytes(spark, B.bound_paths(sf_dir)))
-    if fact_buckets == -1:
-        fact_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    put = _Writer(spark, root, fact_buckets)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     br = bronze or B.bronze(spark, sf_dir)
 
+    def put(name: str, df: DataFrame) -> DataFrame:
+        by = "order_id" if name in BY_ORDER else None
+        return lake.load(name, df, CONTRACTS.get(name.removesuffix("_hot")), AUDIT_COLUMN.get(name, "dwh_create_date"), by, buckets if by else None)
+
     def wave(jobs: dict) -> dict:
-        """Build a set of mutually independent tables concurrently: each is its
+        """Load a set of mutually independent tables concurrently: each is its
         own Spark job, submitted from its own thread, sharing the executors."""
         if parallel_tables <= 1:
-            return {name: put(name, *job) for name, job in jobs.items()}
+            return {name: put(name, make()) for name, make in jobs.items()}
         with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
-            futures = {name: pool.submit(put, name, *job) for name, job in jobs.items()}
+            futures = {name: pool.submit(lambda n=name, m=make: put(n, m())) for name, make in jobs.items()}
             return {name: f.result() for name, f in futures.items()}
 
-    def job(fn, *args, **kw):
-        return (lambda: fn(*args, **kw),)
-
-    first = wave({f"silver/{n}": job(f, br[n]) for n, f in S.SILVER_JOBS.items()}
-                 | {"gold/dim_date": job(G.dim_date, spark, gp)})
-    silver = {n: first[f"silver/{n}"] for n in S.SILVER_JOBS}
-    dd = first["gold/dim_date"]
-
-    dims = wave({
-        "gold/dim_customer": job(G.dim_customer, silver["customers"], silver["orders"],
-                                 silver["order_payments"], gp),
-        "gold/dim_product": job(G.dim_product, silver["products"], silver["category_translation"]),
-        "gold/dim_seller": job(G.dim_seller, silver["sellers"], silver["order_items"],
-                               silver["orders"], gp)})
-    dc, dp, ds = dims["gold/dim_customer"], dims["gold/dim_product"], dims["gold/dim_seller"]
-
-    fact_join = "bucketed" if fact_buckets else "shuffled"
-    if fact_buckets:
-        t0 = time.perf_counter()
-        factor = float(spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5"))
-        if bucket_skewed(bucket_sizes(silver["order_items"], "order_id", fact_buckets), factor,
-                         skew_min_rows):
-            put.buckets, fact_join = None, "shuffled (skewed buckets)"
-        put.timings["gold/bucket_check"] = round(time.perf_counter() - t0, 3)
-
-    fo = put("gold/fact_orders", lambda: G.fact_orders(silver["orders"], silver["customers"],
-                                                       silver["order_items"],
-                                                       silver["order_payments"],
-                                                       silver["order_reviews"], dc, dd),
-             bucket_by="order_sk")
-    foi = put("gold/fact_order_items",
-              lambda: G.fact_order_items(silver["order_items"], fo, dp, ds, dd, gp),
-              bucket_by="order_sk")
-    base = put("gold/item_order_base", lambda: M.item_order_base(foi, fo, dc, dp))
-
-    marts = wave({
-        "marts/customer_rfm": job(M.customer_rfm, fo, dd, p=mp),
-        "marts/cohort_retention": job(M.cohort_retention, fo, dd),
-        "marts/seller_performance_mart": job(M.seller_performance, foi, fo, dc, mp, base=base),
-        "marts/product_sales_mart": job(M.product_sales, foi, fo, dp, mp, base=base),
-        "marts/delivery_performance_mart": job(M.delivery_performance, foi, fo, mp, base=base),
-        "marts/executive_kpi_mart": job(M.executive_kpi, fo, dd, dc),
-        "marts/monthly_business_summary": job(M.monthly_business_summary, fo, dd, dc)})
-    wave({
-        "marts/category_dashboard_mart": job(M.category_dashboard,
-                                             marts["marts/product_sales_mart"]),
-        "marts/customer_360_mart": job(M.customer_360, dc, fo, marts["marts/customer_rfm"], foi, dp,
-                                       base=base)})
-    return {"root": root, "timings": put.timings, "fact_join": fact_join,
-            "bucketed_tables": put.tables}
+    for layer in ("silver", "gold", "marts", "versions"):
+        lake.namespace(layer)
+    # the orders with too many lines for a bucket, by the raw lines: a line more or less decides nothing
+    hot_ids = lake.load("gold/hot_orders", G.hot_orders(br["order_items"].where("order_id is not null"), buckets))
+
+    none_hot = hot_ids.isEmpty()
+
+    def split(name: str, lines: DataFrame) -> dict:
+        few = F.broadcast(hot_ids)  # 4 * buckets ids at most
+        hot = spark.createDataFrame([], lines.schema) if none_hot else lines.join(few, "order_id", "left_semi").select(lines.columns)
+        return {name: lambda: lines.join(few, "order_id", "left_anti").select(lines.columns), f"{name}_hot": lambda: hot}
+
+    def lines_of(tables: dict, name: str) -> G.OrderLines:
+        return G.OrderLines(tables[name], tables[f"{name}_hot"], hot_ids)
+
+    jobs = {f"silver/{n}": (lambda f=f, n=n: f(br[n])) for n, f in S.SILVER_JOBS.items() if n != "order_items"}
+    t = wave(split("silver/order_items", S.SILVER_JOBS["order_items"](br["order_items"])) | jobs | {"gold/dim_date": lambda: G.dim_date(spark, gp)})
+    silver = {n: t[f"silver/{n}"] for n in S.SILVER_JOBS}
+    items, dd = lines_of(t, "silver/order_items"), t["gold/dim_date"]
+
+    t |= wave({
+        "gold/dim_customer": lambda: G.dim_customer(silver["customers"], silver["orders"], silver["order_payments"], gp),
+        "gold/dim_product": lambda: G.dim_product(silver["products"], silver["category_translation"]),
+        "gold/dim_seller": lambda: G.dim_seller(silver["sellers"], items, silver["orders"], gp)})
+    dc, dp, ds = t["gold/dim_customer"], t["gold/dim_product"], t["gold/dim_seller"]
+
+    keys = put("gold/order_keys", G.order_keys(silver["orders"], silver["customers"], dc, dd))
+    t |= wave({"gold/fact_orders": lambda: G.fact_orders(silver["orders"], items, silver["order_payments"], silver["order_reviews"], keys)}
+              | split("gold/fact_order_items", G.fact_order_items(items, keys, dp, ds, dd, gp)))
+    fo, foi = t["gold/fact_orders"], lines_of(t, "gold/fact_order_items")
+    t |= wave(split("gold/item_order_base", M.item_order_base(foi, fo, dc, dp)))
+    base = lines_of(t, "gold/item_order_base").all()
+
+    t |= wave({
+        "marts/customer_rfm": lambda: M.customer_rfm(fo, dd, p=mp),
+        "marts/cohort_retention": lambda: M.cohort_retention(fo, dd),
+        "marts/seller_performance_mart": lambda: M.seller_performance(foi, fo, dc, mp, base=base),
+        "marts/product_sales_mart": lambda: M.product_sales(foi, fo, dp, mp, base=base),
+        "marts/delivery_performance_mart": lambda: M.delivery_performance(foi, fo, mp, base=base),
+        "marts/executive_kpi_mart": lambda: M.executive_kpi(fo, dd, dc),
+        "marts/monthly_business_summary": lambda: M.monthly_business_summary(fo, dd, dc)})
+    t |= wave({
+        "marts/category_dashboard_mart": lambda: M.category_dashboard(t["marts/product_sales_mart"]),
+        "marts/customer_360_mart": lambda: M.customer_360(dc, fo, t["marts/customer_rfm"], foi, dp, base=base)})
+    return {"root": lake.root, "timings": lake.timings, "lake": lake, "manifest": lake.publish()}

@@ -13,7 +13,7 @@ from marketlake.operators import quality as Q
 from marketlake.operators import stats as ST
 from marketlake.operators.dedupe import dedupe_by_key, dedupe_rows, majority_row
 from marketlake.operators.rank import global_ntile, global_row_number
-from marketlake.operators.series import add_lags, add_rolling_means
+from marketlake.operators.series import add_lags, series_features
 from marketlake.plans import silver as S
 from marketlake.plans.marts import favorite_category
 from marketlake.plans.registry import register
@@ -634,11 +634,9 @@ SELECT order_id, order_item_id, product_id, seller_id, price,
                           shipping_limit_date, price, freight_value) AS rn
 FROM s_order_items"""))
 def win_surrogate_key(w):
-    """WN-3: global row number by the item tuple, computed over several ranges."""
-    out, _ = global_row_number(w.silver["order_items"],
-                               ["order_id", "order_item_id", "product_id", "seller_id",
-                                "shipping_limit_date", "price", "freight_value"],
-                               name="rn")
+    """WN-3: global row number by the item tuple: places in sorted partitions plus the counts before."""
+    order = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
+    out = global_row_number(w.silver["order_items"].select(*order), order)
     return out.select("order_id", "order_item_id", "product_id", "seller_id", "price", "rn")
 
 
@@ -647,7 +645,7 @@ SELECT order_sk, CAST(total_payment_amount AS DOUBLE) AS total_payment_amount,
        CAST(NTILE(10) OVER (ORDER BY total_payment_amount, order_sk) AS INTEGER) AS decile
 FROM g_fact_orders"""))
 def win_ntile(w):
-    """WN-4: global NTILE(10) of order value (tie-break: order key), several ranges."""
+    """WN-4: global NTILE(10) of order value (tie-break: order key) by exact cuts, no rank."""
     f = w.fact_orders.select("order_sk", "total_payment_amount")
     return global_ntile(f, 10, ["total_payment_amount", "order_sk"], "decile")
 
@@ -712,8 +710,7 @@ def win_rolling(w):
              .join(F.broadcast(w.dim_date.select(F.col("date_sk").alias("purchase_date_sk"),
                                                  F.col("full_date").alias("day"))), "purchase_date_sk")
              .groupBy("product_category_name", "day").agg(F.sum("total_item_value").alias("sales")))
-    s = add_lags(daily, "product_category_name", "day", "sales", [1, 7, 14])
-    s = add_rolling_means(s, "product_category_name", "day", "sales", [7, 14])
+    s = series_features(daily, "product_category_name", "day", "sales", lags=[1, 7, 14], rolling=[7, 14])
     s = s.withColumn("weekday", D.weekday_mon0("day")).withColumn("month", F.month("day"))
     return s.na.drop().select(
         "product_category_name", "day", *[F.col(c).cast("double").alias(c) for c in

@@ -18,6 +18,7 @@ from marketlake.plans import gold as G
 from marketlake.plans import marts as M
 from marketlake.plans import silver as S
 from marketlake.sources import bindings as B
+from marketlake.sources.lake import Lake
 
 BINDING_GOLD = G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
 
@@ -61,11 +62,14 @@ class Warehouse:
         s = self.silver
         return G.dim_customer(s["customers"], s["orders"], s["order_payments"], self.gp)
 
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        return G.order_keys(self.silver["orders"], self.silver["customers"], self.dim_customer, self.dim_date)
+
     @cached_property
     def fact_orders(self) -> DataFrame:
         s = self.silver
-        return G.fact_orders(s["orders"], s["customers"], s["order_items"], s["order_payments"],
-                             s["order_reviews"], self.dim_customer, self.dim_date)
+        return G.fact_orders(s["orders"], s["order_items"], s["order_payments"], s["order_reviews"], self.order_keys)
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -78,7 +82,7 @@ class Warehouse:
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return G.fact_order_items(self.silver["order_items"], self.fact_orders, self.dim_product,
+        return G.fact_order_items(self.silver["order_items"], self.order_keys, self.dim_product,
                                   self.dim_seller, self.dim_date, self.gp)
 
     @cached_property
@@ -129,19 +133,20 @@ class Warehouse:
 
 
 class LayerWarehouse(Warehouse):
-    """A warehouse whose silver, gold and mart tables are read from the files
-    :func:`marketlake.plans.pipeline.run_layers` wrote (bronze stays bound to
-    ``sf_dir``). Queries then start from the materialised layers. ``tables`` (``run_layers``'
-    ``bucketed_tables``) names the catalog tables to read instead of files, so that joins of
-    bucketed tables need no exchange."""
+    """A warehouse whose silver, gold and mart tables are the current versions of the lake that
+    :func:`marketlake.plans.pipeline.run_layers` published (bronze stays bound to
+    ``sf_dir``). Queries then start from the materialised layers."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, tables: dict[str, str] | None = None, **kw):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, **kw):
         super().__init__(spark, sf_dir, **kw)
-        self.root, self.tables = root.rstrip("/"), tables or {}
+        self.lake = Lake(spark, root)
+        self.state = self.lake.manifest()  # one state for all tables, whatever is published later
+
+    def _one(self, name: str) -> DataFrame:
+        return self.lake.frame(name, self.state[name]).drop("dwh_create_date", "created_at")  # load audit, never compared
 
     def _read(self, name: str) -> DataFrame:
-        df = self.spark.table(self.tables[name]) if name in self.tables else self.spark.read.parquet(f"{self.root}/{name}")
-        return df.drop("dwh_create_date", "created_at")  # load audit, never compared
+        return self._one(name).union(self._one(f"{name}_hot")) if f"{name}_hot" in self.state else self._one(name)
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
@@ -149,6 +154,7 @@ class LayerWarehouse(Warehouse):
 
     dim_date = cached_property(lambda self: self._read("gold/dim_date"))
     dim_customer = cached_property(lambda self: self._read("gold/dim_customer"))
+    order_keys = cached_property(lambda self: self._read("gold/order_keys"))
     fact_orders = cached_property(lambda self: self._read("gold/fact_orders"))
     dim_product = cached_property(lambda self: self._read("gold/dim_product"))
     dim_seller = cached_property(lambda self: self._read("gold/dim_seller"))

@@ -31,20 +31,3 @@ def test_layer_queries_match_lazy(spark, built, name):
     assert sorted(a.columns) == sorted(b.columns)
     ra, rb = [tuple(r) for r in a.collect()], [tuple(r) for r in b.select(*a.columns).collect()]
     assert _digest(ra, a.columns)[0] == _digest(rb, a.columns)[0]
-
-
-def test_second_run_to_the_same_place_replaces_the_tables(spark, tmp_path):
-    from marketlake.plans.pipeline import run_layers
-    from marketlake.plans.warehouse import LayerWarehouse
-    runs = [run_layers(spark, SF001, out_dir=str(tmp_path / "out")) for _ in range(2)]
-    assert runs[0]["bucketed_tables"] == runs[1]["bucketed_tables"] != {}
-    for table in runs[1]["bucketed_tables"].values():
-        assert spark.table(table).count() > 0
-    built = LayerWarehouse(spark, SF001, runs[1]["root"], runs[1]["bucketed_tables"])
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = built.fact_order_items.join(built.fact_orders.select("order_sk", "order_status"), "order_sk")
-        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

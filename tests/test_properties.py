@@ -76,6 +76,6 @@ def test_ntile_formula_matches_spark(spark, values, n):
 
     from marketlake.operators.rank import global_ntile
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v long, k long")
-    ours = global_ntile(df, n, ["v", "k"], "q", fine_rows=50)
+    ours = global_ntile(df, n, ["v", "k"], "q")
     ref = df.withColumn("q_ref", F.ntile(n).over(Window.orderBy("v", "k")))
     assert ours.join(ref, ["v", "k"]).filter("q != q_ref").count() == 0

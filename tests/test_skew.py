@@ -13,7 +13,8 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from marketlake.plans import gold as G
-from marketlake.plans.pipeline import bucket_sizes, bucket_skewed, run_layers
+from marketlake.plans.pipeline import BY_ORDER, WITH_HOT, run_layers
+from marketlake.plans.warehouse import LayerWarehouse, Warehouse
 from marketlake.sources import schemas as SC
 
 
@@ -53,24 +54,27 @@ def test_pipeline_with_hot_keys(spark):
     out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     res = run_layers(spark, "", out_dir=out, bronze=bronze,
                      gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
-    read = lambda n: spark.read.parquet(f"{res['root']}/{n}")
-    assert res["fact_join"] == "bucketed"  # no order is hot here
+    w = LayerWarehouse(spark, "", res["root"])
+    read = w._read
     # hash-partitioned before the bucketed write: one file per bucket at most
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for fact in ("fact_orders", "fact_order_items"):
-        files = glob.glob(f"{res['root']}/gold/{fact}/*.parquet")
-        assert 0 < len(files) <= buckets
-    # the fact-to-fact join reads both bucketed tables with no exchange
-    t = res["bucketed_tables"]
-    fo, foi = spark.table(t["gold/fact_orders"]), spark.table(t["gold/fact_order_items"])
+    buckets, state = int(spark.conf.get("spark.sql.shuffle.partitions")), res["lake"].manifest()
+    for table in BY_ORDER:
+        assert len(glob.glob(f"{res['root']}/{table}/{state[table]['version']}/*.parquet")) <= buckets
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = foi.join(fo.select("order_sk", "order_status"), "order_sk") \
-            ._jdf.queryExecution().executedPlan().toString()
+        lines = G.OrderLines(w._one("silver/order_items"))
+        orders, pays, reviews, keys = (w._one(t) for t in ("silver/orders", "silver/order_payments", "silver/order_reviews", "gold/order_keys"))
+        plans = [w._one("gold/fact_order_items").join(w.fact_orders.select("order_id", "order_status"), "order_id"),
+                 G.fact_orders(orders, lines, pays, reviews, keys), lines.with_orders(keys), G.fact_orders(orders, lines, pays, reviews, keys).repartition(buckets, "order_id")]
+        for df in plans:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+        # the seller dimension moves rows by seller only
+        plan = G.dim_seller(w._one("silver/sellers"), lines, orders)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(order_id" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "SortMergeJoin" in plan and "Exchange" not in plan
 
     # exact copies collapse to one row
     assert read("silver/order_items").count() == len(set(items))
@@ -108,32 +112,34 @@ def test_pipeline_with_hot_keys(spark):
     assert geo["geolocation_city"] == "sao paulo"
 
 
-def test_hot_order_bucket_falls_back_to_shuffled_join(spark):
+def test_a_hot_order_lies_apart(spark):
+    """One order with more lines than all others: no bucket holds it, and no row is lost."""
     bronze, items = _bronze(spark)
     p = dt.datetime(2017, 1, 1) + dt.timedelta(days=2)
     hot = [("o000", 10 + j, f"p{j % 10}", f"s{j % 5}", p, 5.0, 1.0) for j in range(1200)]
     bronze["order_items"] = bronze["order_items"].unionByName(
         spark.createDataFrame(hot, SC.BRONZE["order_items"]))
     out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    res = run_layers(spark, "", out_dir=out, bronze=bronze, fact_buckets=8, skew_min_rows=100,
-                     gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
-    assert res["fact_join"] == "shuffled (skewed buckets)"
-    base = spark.read.parquet(f"{res['root']}/gold/item_order_base")
+    res = run_layers(spark, "", out_dir=out, bronze=bronze, buckets=8, gp=G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
+    w = LayerWarehouse(spark, "", res["root"])
     n = len(set(items)) + len(hot)
-    assert base.count() == n
-    assert base.filter("order_id = 'o000'").count() == 3 + len(hot)
-    foi = spark.read.parquet(f"{res['root']}/gold/fact_order_items")
-    sizes = bucket_sizes(foi, "order_sk", 8)
-    assert sum(sizes) == n and bucket_skewed(sizes, 5.0, 100)
-
-
-def test_bucket_sizes_match_the_bucketed_writer(spark):
-    df = spark.range(0, 5000).select((F.col("id") % 37).cast("int").alias("k"))
-    table = f"bucket_probe_{abs(hash(tempfile.mkdtemp())) % 10**8}"
-    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    df.write.bucketBy(4, "k").option("path", f"{out}/t").saveAsTable(table)
-    # rows per bucket as written: bucket ids from the file names
-    files = (spark.table(table).select(F.input_file_name().alias("f"))
-             .groupBy(F.regexp_extract("f", r"_(\d{5})", 1).cast("int").alias("b")).count())
-    written = sorted(r["count"] for r in files.collect())
-    assert bucket_sizes(df, "k", 4) == sorted(written + [0] * (4 - len(written)))
+    for table in WITH_HOT:
+        assert w._one(f"{table}_hot").select("order_id").distinct().collect() == [("o000",)]
+        assert w._one(table).where("order_id = 'o000'").count() == 0
+        assert w._read(table).count() == n and w._read(table).where("order_id = 'o000'").count() == 3 + len(hot)
+    assert w.fact_order_items.agg(F.min("order_item_sk"), F.max("order_item_sk"), F.countDistinct("order_item_sk")).first() == (1, n, n)
+    fo = w.fact_orders.where("order_id = 'o000'").first()
+    assert fo.total_items == 3 + len(hot) and fo.order_sk == 1
+    assert w.dim_seller.agg(F.sum("total_items_sold")).first()[0] == n
+    # the same marts as with everything in one task's reach
+    plain = Warehouse(spark, "", G.GoldParams(cal_start="2016-01-01", cal_end="2018-12-31"))
+    plain.bronze = bronze
+    for mart in ("seller_performance", "product_sales", "customer_360"):
+        a, b = getattr(w, mart), getattr(plain, mart)
+        assert sorted(map(str, a.select(b.columns).collect())) == sorted(map(str, b.collect()))
+
+
+def test_hot_orders_are_few_at_any_size(spark):
+    for n, share in ((0, 1), (10, 1), (4000, 1), (4000, 50)):
+        df = spark.range(n).select((F.col("id") / share).cast("int").cast("string").alias("order_id"))
+        assert G.hot_orders(df, 8).count() <= 32
