@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,7 +39,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, so a
     lost executor costs the running stage only, and later readers prune columns."""
     path = f"{stage_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(32 << 20)).parquet(path)  # a writing task holds a row group
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +60,13 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: Python workers live on, and the next stage needs it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def crc_mod(column: str, by: int) -> F.Column:
     """crc32(id as text) mod ``by``."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(by))

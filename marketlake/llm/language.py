@@ -18,7 +18,7 @@ tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import crc_mod, map_batches
+from marketlake.llm.common import crc_mod, map_batches, tidy
 
 #: Language families by ISO 639-1 code. A code that is not listed is its own family.
 FAMILIES = {
@@ -172,8 +172,10 @@ def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
-    def language(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.predict(t.as_py())[0] for t in texts], pa.string())
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([shared.value.predict(t.as_py())[0] for t in texts], pa.string())
+        tidy()
 
     return language(F.col(text_col))
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import BYTE_VALUE, map_batches, mix, staged
+from marketlake.llm.common import BYTE_VALUE, map_batches, mix, staged, tidy
 
 K = 48
 #: Least hashes of a union sketch of K that a pair at similarity 0.75 shares, but for one in a
@@ -108,9 +108,9 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            ids, texts, classes, sizes, kept = batch.column(id_col), batch.column(text_col).to_pylist(), [], [], []
-            for i, t in zip(ids.to_pylist(), texts):
-                s = shingle_set(t, width)
+            ids, classes, sizes, kept = batch.column(id_col), [], [], []
+            for i, t in zip(ids.to_pylist(), batch.column(text_col)):
+                s = shingle_set(t.as_py(), width)
                 c = _class_of(s, i)
                 classes.append(c)
                 sizes.append(len(s))
@@ -118,6 +118,7 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
                 seen.add(c)
             yield pa.RecordBatch.from_arrays([ids, pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(kept, pa.list_(pa.int64()))],
                                              names=["doc_id", "class_id", "n_shingles", "sketch"])
+        tidy()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, class_id binary, n_shingles long, sketch array<long>")
 
@@ -211,20 +212,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_
         seen: set[bytes] = set()
         for batch in batches:
             classes, texts = [], []
-            for i, t in zip(batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist()):
-                s = shingle_set(t, width)
+            for row, (i, t) in enumerate(zip(batch.column(id_col).to_pylist(), batch.column(text_col))):
+                s = shingle_set(t.as_py(), width)
                 c = _class_of(s, i)
                 if len(s) and c not in seen:
                     seen.add(c)
                     classes.append(c)
-                    texts.append(t)
+                    texts.append(row)
             if classes:
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(texts, pa.string())], names=["class_id", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column(text_col).take(pa.array(texts))], names=["class_id", "text"])
+        tidy()
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(t.as_py(), width).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(sets, pa.binary())], names=["cid", "members"])
+        tidy()
 
     texts = docs.select(id_col, text_col).mapInArrow(run, "class_id binary, text string")
     return texts.join(wanted, "class_id").select("cid", "text").dropDuplicates(["cid"]).mapInArrow(members, "cid long, members binary")

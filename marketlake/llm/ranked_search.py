@@ -30,8 +30,6 @@ list for each of them, ranked by itself.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import math
 from array import array
 from collections import Counter
@@ -43,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import staged
+from marketlake.llm.common import staged, tidy
 
 TOP = 20
 #: Tokens of a block of documents, and characters of a block of items sent to the executors.
@@ -106,7 +104,7 @@ def grids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 if block.tokens >= BLOCK_TOKENS or i + 1 == n:
                     yield packed(batch.column(id_col).slice(start, i + 1 - start), block)
                     start, block = i + 1, _Block()
-        _tidy()
+        tidy()
 
     def packed(ids: pa.Array, made: _Block) -> pa.RecordBatch:
         number = made.number
@@ -160,13 +158,6 @@ def differences(bits: np.ndarray, maxima: np.ndarray) -> np.ndarray:
     return np.concatenate([maxima[:1], np.subtract(less, maxima[1:], out=less)])
 
 
-def _tidy() -> None:
-    """Give freed memory back to the system: workers live on, and the next stage's JVM needs it."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # glibc only
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def index(grid: DataFrame) -> DataFrame:
     """The treaps of all blocks: ids, terms, df, levels, bits, maxima (as differences to the cell above, the root's as it is)."""
     n_docs, n_terms = (int(x or 0) for x in grid.agg(F.sum("n_docs"), F.sum("n_terms")).first())
@@ -187,7 +178,7 @@ def index(grid: DataFrame) -> DataFrame:
                     [batch.column("ids").slice(i, 1), batch.column("terms").slice(i, 1), batch.column("df").slice(i, 1), pa.array([levels], pa.int32()),
                      pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), pa.array([_packed(less)], pa.binary())],
                     names=["ids", "terms", "df", "levels", "bits", "maxima"])
-        _tidy()
+        tidy()
 
     cols = grid.select("ids", "distinct_terms", "lengths", "terms", "df", "points", "tf")
     return cols.mapInArrow(run, f"ids {ids}, terms binary, df binary, levels int, bits binary, maxima binary")
@@ -354,7 +345,7 @@ def search(treaps: DataFrame, n_docs: int, items: DataFrame, k: int = TOP, id_co
             rows = [(q, i if has else None, -s) for q, held in enumerate(best) for s, has, i in held.rows]
             if rows:
                 qs, found, scores = zip(*rows)
-                _tidy()
+                tidy()
                 yield pa.RecordBatch.from_arrays([pa.array(qs, pa.int32()), pa.array(found, ids_type), pa.array(scores, pa.int64())], names=["part", id_col, "score"])
 
         found = treaps.select("ids", "terms", "levels", "bits", "maxima").mapInArrow(run, f"part int, {id_col} {kind}, score long")

@@ -23,7 +23,9 @@ dictionary, expanded by the parse to the documents.
 Each step is one exchange between blocks of documents and ranges of hashes: a block sends every
 hash once with its smallest document, packed in arrays, so a passage that a third of all
 documents holds counts once for a block, and gets the answers in the order it sent. Documents are
-dealt to blocks by a hash of the id, about ``block_bytes`` of text each.
+dealt to blocks by a hash of the id, about ``block_bytes`` of text each, and hashes to ranges of
+about ``part_bytes`` of text each; a step sends a row for each block and range, so their number
+grows with the square of the input (about 4000 at 0.5 GB).
 
 Null texts are empty and nothing is removed; texts shorter than ``length`` stay whole; rows
 that repeat an id don't remove each other's text; rows without id stay whole and remove
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import BYTE_VALUE, mix, window_hash, window_min
+from marketlake.llm.common import BYTE_VALUE, mix, tidy, window_hash, window_min
 
 PIECE = 1 << 20  # texts are parsed in overlapping pieces of this size
 _B = 0x9E3779B97F4A7C15
@@ -349,24 +351,29 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a.astype(np.uint64) * np.uint64(_B) + b.astype(np.uint64))
 
 
-def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_bytes: int = 8 << 20, id_col: str = "doc_id",
+def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_bytes: int = 4 << 20, part_bytes: int = 16 << 20, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per document: id, n_bytes, n_removed, spans (start and end byte of each maximal removed
-    run, in turn) and kept_sha256 (of what remains)."""
+    run, in turn) and kept_sha256 (of what remains). A task holds about ``block_bytes`` of texts, or
+    the keys of ``part_bytes`` of texts."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts = max(1, math.ceil(total / block_bytes))
-    block = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
+    parts, blocks = (max(1, math.ceil(total / size)) for size in (part_bytes, block_bytes))
+    block = F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
     table = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), block.alias("block"))
     by_block = table.where(F.col("doc_id").isNotNull()).groupBy("block")
 
     def ask(step: str, answers: DataFrame | None) -> DataFrame:
         if answers is None:
-            sent = by_block.applyInArrow(lambda d: _messages(getattr(Block(d, None, length, trigger, parts, "triggers"), step)()), MESSAGE)
+            sent = by_block.applyInArrow(lambda d: asked(d, None, step, "triggers"), MESSAGE)
         else:
-            sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(
-                lambda d, a: _messages(getattr(Block(d, a, length, trigger, parts), step)()), MESSAGE)
+            sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: asked(d, a, step), MESSAGE)
         return sent.groupBy("part").applyInArrow(_answer, MESSAGE)
 
+    def asked(d: pa.Table, a: pa.Table | None, step: str, parse: str = "all") -> pa.Table:
+        out = _messages(getattr(Block(d, a, length, trigger, parts, parse), step)())
+        tidy()
+        return out
+
     known = ask("ask_suffixes", ask("ask_dictionary", ask("ask_triggers", None)))
     names = [id_col, "n_bytes", "n_removed", "spans", "kept_sha256"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()]

@@ -187,7 +187,7 @@ def test_repeats_against_every_string(docs, seed):
             a = rng.randrange(len(x) - 40)
             text += x[a:a + rng.randrange(30, 140)] + "".join(rng.choices("pqrs ", k=rng.randrange(0, 40)))
         rows.append((7 * i - 50, text))
-    assert found(docs(rows), block_bytes=2000) == plain_repeats(rows)
+    assert found(docs(rows), block_bytes=2000, part_bytes=5000) == plain_repeats(rows)
 
 
 def test_repeats_in_pieces(docs, monkeypatch):
