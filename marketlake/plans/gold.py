@@ -52,6 +52,23 @@ class GoldParams:
             raise ValueError(f"calendar of {days} days outside 1..{MAX_CALENDAR_DAYS}")
 
 
+def calendar_params(orders: DataFrame, items: DataFrame) -> GoldParams:
+    """Default thresholds and the calendar years that the purchase and shipping-limit dates span
+    (one aggregate each; the warehouse's own years where there are no dates). Dates that would make
+    the calendar longer than 200 years are an error: name the years then."""
+    spans = [df.agg(F.min(F.to_date(c)), F.max(F.to_date(c))).first() for df, c in ((orders, "order_purchase_timestamp"), (items, "shipping_limit_date"))]
+    days = [d for span in spans for d in span if d is not None]
+    return GoldParams(cal_start=f"{min(days).year:04d}-01-01", cal_end=f"{max(days).year:04d}-12-31") if days else GoldParams()
+
+
+def off_calendar(rows: DataFrame, date_col: str, dd: DataFrame, table: str) -> DataFrame:
+    """(table_name, n_rows, n_off): rows whose date the calendar lacks, which its inner joins drop."""
+    days = F.broadcast(dd.select(F.col("full_date").alias("_day"), F.lit(1).alias("_on")))
+    return rows.select(F.to_date(date_col).alias("_at")).join(days, F.col("_at") == F.col("_day"), "left") \
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_on").isNull()).alias("n_off")) \
+        .select(F.lit(table).alias("table_name"), "n_rows", "n_off")
+
+
 def dim_date(spark: SparkSession, p: GoldParams = GoldParams()) -> DataFrame:
     """GLD-2."""
     return _dim_date(spark, p.cal_start, p.cal_end)

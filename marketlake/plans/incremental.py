@@ -47,7 +47,7 @@ class KpiState:
         """The control table: (load, from_time, to_time, n_rows) of every finished load."""
         return self._read("loads", _LOADS)
 
-    def refresh(self, orders: DataFrame, dim_date: DataFrame, audit: str = "dwh_create_date") -> int:
+    def refresh(self, orders: DataFrame, audit: str = "dwh_create_date") -> int:
         """Take the rows of ``orders`` (the order fact with its audit time) that are new; their number."""
         since = self.loads().agg(F.max("to_time")).first()[0]
         new = orders if since is None else orders.where(F.col(audit) > F.lit(since))
@@ -57,8 +57,7 @@ class KpiState:
         # rows that come in while this runs are the next load's
         new = new.where(F.col(audit) <= F.lit(span["b"]))
         load = F.lit(f"{span['b']:%Y%m%dT%H%M%S%f}")
-        dates = F.broadcast(dim_date.select("date_sk", "full_date"))  # a row per calendar day
-        delivered = new.where("order_status = 'delivered'").join(dates, F.col("purchase_date_sk") == F.col("date_sk"))
+        delivered = new.where("order_status = 'delivered'").withColumn("date_sk", F.col("purchase_date_sk")).withColumn("full_date", D.date_from_key("date_sk"))
         daily = delivered.groupBy("customer_sk", "date_sk", "full_date").agg(
             F.count(F.lit(1)).alias("n"), F.sum("total_payment_amount").cast("decimal(28,2)").alias("gmv"),
             F.sum("avg_review_score").alias("review"), F.sum("is_delayed").cast("long").alias("delayed"))

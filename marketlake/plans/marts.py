@@ -163,7 +163,7 @@ def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
                             "is_delayed"])
                 .join(dim_customer.select("customer_sk", "is_repeat_customer"), "customer_sk"))
     m = base.groupBy("seller_sk").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        F.countDistinct("order_sk").alias("total_orders"),
         F.count("order_item_sk").alias("total_items_sold"),
         F.sum("total_item_value").alias("_rev"),
         F.count("total_item_value").alias("_n_rev"),
@@ -211,7 +211,7 @@ def product_sales(fact_order_items: DataFrame, fact_orders: DataFrame,
                 .join(dim_product.select("product_sk", "product_category_name"), "product_sk"))
     m = base.groupBy("product_sk").agg(
         F.max("product_category_name").alias("product_category_name"),
-        F.countDistinct("order_id").alias("total_orders"),
+        F.countDistinct("order_sk").alias("total_orders"),
         F.count("order_item_sk").alias("_items"),
         F.sum("total_item_value").alias("_rev"),
         F.sum("item_price").alias("_price"),
@@ -258,7 +258,7 @@ def delivery_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
                            "avg_review_score", "estimated_delivery_days"])
     gap = F.col("delivery_days") - F.col("estimated_delivery_days")
     m = base.groupBy("seller_sk").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        F.countDistinct("order_sk").alias("total_orders"),
         F.sum(F.when(F.col("order_status") == "delivered", 1).otherwise(0)).alias("delivered_orders"),
         F.sum(F.when(F.col("is_delayed") == 1, 1).otherwise(0)).alias("delayed_orders"),
         F.sum("delivery_days").alias("_dd"), F.count("delivery_days").alias("_n_dd"),

@@ -61,12 +61,12 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     ``spark.sql.shuffle.partitions`` (and so the bucket count) from the bound
     tables' size on storage (:func:`marketlake.session.size_shuffle_partitions`).
     """
-    gp = gp or G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
     lake = Lake(spark, out_dir or default_output(spark))
     if size_partitions and bronze is None and sf_dir:
         size_shuffle_partitions(spark, input_bytes(spark, B.bound_paths(sf_dir)))
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     br = bronze or B.bronze(spark, sf_dir)
+    gp = gp or G.calendar_params(br["orders"], br["order_items"])
 
     def put(name: str, df: DataFrame) -> DataFrame:
         by = "order_id" if name in BY_ORDER else None

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from marketlake.plans import silver as S
 from marketlake.plans.contracts import CONTRACTS
+from marketlake.plans.gold import off_calendar
 from marketlake.plans.incremental import KpiState
 from marketlake.plans.registry import register
 from marketlake.session import ensure_checkpoint_dir
 from marketlake.sources import contracts as C
+from marketlake.sources.calendar import calendar
 from marketlake.sources.lake import Lake
 from sqlcheck.fragments import compose
 
@@ -59,6 +61,24 @@ def dq_load_metrics(w):
     return lake.quality_history().select("layer", "table_name", "rule", "n_rows", "n_bad")
 
 
+_CALENDARS = ("data", "2016-2020")
+_DATED = (("orders", "order_purchase_timestamp"), ("order_items", "shipping_limit_date"))
+
+
+@register("dq_off_calendar", compose("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS calendar, '{t}' AS table_name, count(*) AS n_rows, count_if({c}::DATE IS NULL OR NOT ({test.format(c=c)})) AS n_off FROM s_{t}"
+    for t, c in _DATED for name, test in zip(_CALENDARS, ("{c}::DATE IN (SELECT full_date FROM g_dim_date)", "year({c}) BETWEEN 2016 AND 2020")))))
+def dq_off_calendar(w):
+    """JN-6: orders and items that the inner join with the calendar drops: with the years of the data
+    (none) and with the warehouse's own calendar."""
+    out = None
+    for t, c in _DATED:
+        for name, days in zip(_CALENDARS, (w.dim_date, calendar(w.spark))):
+            part = off_calendar(w.silver[t], c, days, t).select(F.lit(name).alias("calendar"), "*")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _three_loads(w) -> KpiState:
     """The orders of the fact in three loads, each with a third of every day's orders."""
     state = KpiState(w.spark, _fresh(w, "kpi"))
@@ -66,7 +86,7 @@ def _three_loads(w) -> KpiState:
     part = F.pmod(F.crc32(F.col("order_id").cast("binary")), F.lit(3))
     for k in range(3):
         came = orders.where(part <= k).withColumn("dwh_create_date", F.timestamp_add("DAY", part.cast("int"), F.lit("2024-01-01 06:00:00").cast("timestamp")))
-        state.refresh(came, w.dim_date)  # the source holds what came so far; earlier rows are not taken again
+        state.refresh(came)  # the source holds what came so far; earlier rows are not taken again
     return state
 
 

@@ -20,8 +20,6 @@ from marketlake.plans import silver as S
 from marketlake.sources import bindings as B
 from marketlake.sources.lake import Lake
 
-BINDING_GOLD = G.GoldParams(cal_start=B.BINDING_CAL_START, cal_end=B.BINDING_CAL_END)
-
 
 def to_output(df: DataFrame) -> DataFrame:
     """Decimals -> double for comparison/export; everything else unchanged."""
@@ -35,10 +33,17 @@ def to_output(df: DataFrame) -> DataFrame:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, gold_params: G.GoldParams = BINDING_GOLD,
+    def __init__(self, spark: SparkSession, sf_dir: str, gold_params: G.GoldParams | None = None,
                  mart_params: M.MartParams = M.MartParams()):
         self.spark, self.sf_dir = spark, sf_dir
-        self.gp, self.mp = gold_params, mart_params
+        self.mp = mart_params
+        if gold_params:
+            self.gp = gold_params
+
+    @cached_property
+    def gp(self) -> G.GoldParams:
+        """Thresholds and the calendar, which spans the years of the data unless given."""
+        return G.calendar_params(self.bronze["orders"], self.bronze["order_items"])
 
     def table(self, name: str) -> DataFrame:
         return B.load(self.spark, self.sf_dir, name)

@@ -22,8 +22,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 # Calendar covering the driver's order and ship dates.
-BINDING_CAL_START = "1995-01-01"
-BINDING_CAL_END = "2001-12-31"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -128,22 +128,21 @@ def test_a_run_killed_midway_leaves_the_old_tables(spark, tmp_path, monkeypatch)
 
 
 def test_refresh_takes_new_rows_once_and_survives_a_crash(spark, tmp_path, monkeypatch):
-    days = spark.createDataFrame([(20240100 + d, dt.date(2024, 1, d)) for d in range(1, 4)], "date_sk int, full_date date")
     at = lambda h: dt.datetime(2024, 2, 1, h)
     rows = [(f"o{i}", i % 4, 20240101 + i % 3, "delivered" if i % 5 else "canceled", float(i), float(i % 5), i % 2, at(i % 3)) for i in range(60)]
     schema = "order_id string, customer_sk long, purchase_date_sk int, order_status string, total_payment_amount double, avg_review_score double, is_delayed int, dwh_create_date timestamp"
     orders = spark.createDataFrame(rows, schema).withColumn("total_payment_amount", F.col("total_payment_amount").cast("decimal(18,2)"))
     slices, whole = KpiState(spark, str(tmp_path / "slices")), KpiState(spark, str(tmp_path / "whole"))
-    assert whole.refresh(orders, days) == 60 and whole.refresh(orders, days) == 0
-    assert slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(0))), days) == 20
+    assert whole.refresh(orders) == 60 and whole.refresh(orders) == 0
+    assert slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(0)))) == 20
     with monkeypatch.context() as m:  # dies after the partials, before the control table
         write = KpiState._write
         m.setattr(KpiState, "_write", lambda self, df, name, *p: write(self, df, name, *p) if name == "daily" else (_ for _ in ()).throw(RuntimeError("killed")))
         with pytest.raises(RuntimeError):
-            slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(1))), days)
+            slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(1))))
     assert slices.executive_kpi().agg(F.sum("total_orders")).first()[0] == sum(r[3] == "delivered" for r in rows if r[7] == at(0))
-    assert slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(1))), days) == 20
-    assert slices.refresh(orders, days) == 20
+    assert slices.refresh(orders.where(F.col("dwh_create_date") <= F.lit(at(1)))) == 20
+    assert slices.refresh(orders) == 20
     assert rows_of(slices.executive_kpi()) == rows_of(whole.executive_kpi())
     assert rows_of(slices.monthly_business_summary()) == rows_of(whole.monthly_business_summary())
     want = {d: sum(r[3] == "delivered" for r in rows if r[2] == d) for d in (20240101, 20240102, 20240103)}
