@@ -7,7 +7,7 @@ from marketlake.functions.dates import (add_days, add_minutes, date_from_key, da
 from marketlake.functions.nulls import (eq_flag, ne_flag, null_if_negative,
                                         null_if_nonpositive, null_if_sentinel)
 from marketlake.functions.numeric import (MONEY, half_up_ratio, money, money_mean,
-                                          money_out, rate_pct, unscaled)
+                                          unscaled)
 from marketlake.functions.text import (ACCENTED, PLAIN, default_unknown, fold_accents,
                                        text_len, trim_lower, trim_upper, untrimmed)
 

@@ -59,13 +59,3 @@ def half_up_ratio(num, den, scale: int = 2, mult: int = 1, num_scale: int = 0) -
 def money_mean(sum_money, count) -> Column:
     """Mean of a money column from its exact decimal sum and row count, 2 places."""
     return half_up_ratio(unscaled(sum_money), count, scale=2, num_scale=2)
-
-
-def rate_pct(numer, count, scale: int = 2) -> Column:
-    """Percentage ``100 * numer / count`` rounded to ``scale`` places (numer integral)."""
-    return half_up_ratio(numer, count, scale=scale, mult=100)
-
-
-def money_out(c) -> Column:
-    """Decimal money as double for output (exact decimal -> nearest double)."""
-    return _c(c).cast("double")

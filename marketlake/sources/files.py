@@ -2,9 +2,8 @@
 
 CSV/TSV are read with an explicit schema (no inference: zip prefixes keep
 their leading zeros), tolerant quoting for free-text review comments, and
-empty fields as NULL. Tables are written as Parquet with full-refresh
-(overwrite) semantics; the audit column is added only at write time so it
-never enters a comparison.
+empty fields as NULL. Tables are loaded by ``sources.lake``; the audit column
+is added only at write time so it never enters a comparison.
 """
 
 from __future__ import annotations
@@ -70,26 +69,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
     return read_csv(spark, path, schema, sep="\t", multiline=multiline)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``INSERT INTO t(cols) SELECT`` by *name* with casts to the target types (SRC-8)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def with_audit(df: DataFrame, name: str = "dwh_create_date") -> DataFrame:
     """Load-time audit column (SRC-9); non-deterministic, add only when writing."""
     return df.withColumn(name, F.current_timestamp())
 
 
-def overwrite_table(df: DataFrame, path: str, audit: bool = True,
-                    partition_by: list[str] | None = None) -> None:
-    """Full-refresh load: replace the table's files atomically per job (SRC-5/6)."""
-    out = with_audit(df) if audit else df
-    w = out.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def write_tsv(df: DataFrame, path: str) -> None:
     """Mart export as TSV with header (SRC-10). Written by the executors in
     parallel (one file per partition), never funnelled through the driver."""
