@@ -177,7 +177,8 @@ def predicted(docs: DataFrame, model: LanguageModel, text_col: str = "text") ->
             yield pa.array([shared.value.predict(t.as_py())[0] for t in texts], pa.string())
         tidy()
 
-    return language(F.col(text_col))
+    # Spark may evaluate a deterministic function once for a filter and once more for the column
+    return language.asNondeterministic()(F.col(text_col))
 
 
 def with_language(docs: DataFrame, model: LanguageModel, wanted: Sequence[str] | None = None, text_col: str = "text",

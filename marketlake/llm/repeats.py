@@ -25,7 +25,7 @@ hash once with its smallest document, packed in arrays, so a passage that a thir
 documents holds counts once for a block, and gets the answers in the order it sent. Documents are
 dealt to blocks by a hash of the id, about ``block_bytes`` of text each, and hashes to ranges of
 about ``part_bytes`` of text each; a step sends a row for each block and range, so their number
-grows with the square of the input (about 4000 at 0.5 GB).
+grows with the square of the input (about 9000 at 0.5 GB).
 
 Null texts are empty and nothing is removed; texts shorter than ``length`` stay whole; rows
 that repeat an id don't remove each other's text; rows without id stay whole and remove
@@ -343,6 +343,8 @@ def _answer(table: pa.Table) -> pa.Table:
     ends = np.cumsum([len(g[0]) for g in got])
     for (b, p, k, _), end, g in zip(rows, ends, got):
         out.append((b, p, k, _pack(*(_bits(x[end - len(g[0]):end]) for x in replies))))
+    del rows, got, replies
+    tidy()
     return _messages(out)
 
 
@@ -351,7 +353,7 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a.astype(np.uint64) * np.uint64(_B) + b.astype(np.uint64))
 
 
-def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_bytes: int = 4 << 20, part_bytes: int = 16 << 20, id_col: str = "doc_id",
+def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_bytes: int = 4 << 20, part_bytes: int = 8 << 20, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per document: id, n_bytes, n_removed, spans (start and end byte of each maximal removed
     run, in turn) and kept_sha256 (of what remains). A task holds about ``block_bytes`` of texts, or
@@ -380,6 +382,7 @@ def find_repeats(docs: DataFrame, length: int = 50, trigger: int = 16, block_byt
 
     def result(d: pa.Table, a: pa.Table) -> pa.Table:
         rows = Block(d, a, length, trigger, parts, "none").removed(length)
+        tidy()
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], names=names)
 
     schema = f"{id_col} long, n_bytes long, n_removed long, spans array<int>, kept_sha256 string"

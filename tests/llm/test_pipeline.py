@@ -63,7 +63,10 @@ def test_documents_in_other_languages_go(docs):
     model = language.fit(docs(rows))
     mixed = docs([(1, sample["en"], "fr"), (2, sample["de"], None), (3, sample["fr"], "fr"), (4, "12 34", "en"), (5, None, "en")])
     assert sorted((r.doc_id, r.lang) for r in language.with_language(mixed, model).collect()) == [(1, "en"), (2, "de"), (3, "fr")]
-    assert [r.doc_id for r in language.with_language(mixed, model, wanted=["en"]).collect()] == [1]
+    only = language.with_language(mixed, model, wanted=["en"])
+    assert [r.doc_id for r in only.collect()] == [1]
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # each text is read once
 
 
 def test_queries_are_registered():
