@@ -150,19 +150,12 @@ def _mean_money(sum_col: str, n_col: str) -> Column:
     return half_up_ratio(unscaled(F.col(sum_col)), F.col(n_col), 2, num_scale=2)
 
 
-# ---------------------------------------------------------------- MRT-3
-def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
-                       dim_customer: DataFrame, p: MartParams = MartParams(),
-                       base: DataFrame | None = None) -> DataFrame:
-    """Seller metrics at item grain (means are weighted by items, as in the warehouse;
-    ``avg_order_value`` is the mean *item* value). ``base``: a prebuilt
-    :func:`item_order_base`."""
-    if base is None:
-        base = (_item_base(fact_order_items, fact_orders,
-                           ["order_id", "customer_sk", "avg_review_score", "delivery_days",
-                            "is_delayed"])
-                .join(dim_customer.select("customer_sk", "is_repeat_customer"), "customer_sk"))
-    m = base.groupBy("seller_sk").agg(
+# ---------------------------------------------------------------- MRT-3 / MRT-5
+def seller_totals(base: DataFrame) -> DataFrame:
+    """The sums per seller that the seller and the delivery mart are made of: one pass over
+    :func:`item_order_base` for both."""
+    gap = F.col("delivery_days") - F.col("estimated_delivery_days")
+    return base.groupBy("seller_sk").agg(
         F.countDistinct("order_sk").alias("total_orders"),
         F.count("order_item_sk").alias("total_items_sold"),
         F.sum("total_item_value").alias("_rev"),
@@ -175,8 +168,17 @@ def seller_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
         F.sum("is_delayed").alias("_delayed"),
         F.count("is_delayed").alias("_n_delayed"),
         F.sum("is_repeat_customer").alias("_repeat"),
-        F.count("is_repeat_customer").alias("_n_repeat"))
-    out = m.select(
+        F.count("is_repeat_customer").alias("_n_repeat"),
+        F.sum(F.when(F.col("order_status") == "delivered", 1).otherwise(0)).alias("delivered_orders"),
+        F.sum(F.when(F.col("is_delayed") == 1, 1).otherwise(0)).alias("delayed_orders"),
+        F.sum(gap).alias("_gap"), F.count(gap).alias("_n_gap"),
+        F.sum("freight_value").alias("_freight"), F.count("freight_value").alias("_n_freight"))
+
+
+def seller_performance(totals: DataFrame, p: MartParams = MartParams()) -> DataFrame:
+    """Seller metrics at item grain from :func:`seller_totals` (means are weighted by items, as in
+    the warehouse; ``avg_order_value`` is the mean *item* value)."""
+    out = totals.select(
         "seller_sk", F.col("total_orders").cast("long").alias("total_orders"),
         F.col("total_items_sold").cast("long").alias("total_items_sold"),
         F.col("_rev").cast("decimal(18,2)").cast("double").alias("total_revenue"),
@@ -247,28 +249,12 @@ def product_sales(fact_order_items: DataFrame, fact_orders: DataFrame,
 
 
 # ---------------------------------------------------------------- MRT-5
-def delivery_performance(fact_order_items: DataFrame, fact_orders: DataFrame,
-                         p: MartParams = MartParams(),
-                         base: DataFrame | None = None) -> DataFrame:
-    """Seller delivery metrics. ``delivered_orders`` / ``delayed_orders`` count
-    item rows (the warehouse's semantics); the gap is delivery minus estimated days."""
-    if base is None:
-        base = _item_base(fact_order_items, fact_orders,
-                          ["order_id", "order_status", "delivery_days", "is_delayed",
-                           "avg_review_score", "estimated_delivery_days"])
-    gap = F.col("delivery_days") - F.col("estimated_delivery_days")
-    m = base.groupBy("seller_sk").agg(
-        F.countDistinct("order_sk").alias("total_orders"),
-        F.sum(F.when(F.col("order_status") == "delivered", 1).otherwise(0)).alias("delivered_orders"),
-        F.sum(F.when(F.col("is_delayed") == 1, 1).otherwise(0)).alias("delayed_orders"),
-        F.sum("delivery_days").alias("_dd"), F.count("delivery_days").alias("_n_dd"),
-        F.sum(gap).alias("_gap"), F.count(gap).alias("_n_gap"),
-        F.sum("is_delayed").alias("_delayed"), F.count("is_delayed").alias("_n_delayed"),
-        F.sum("freight_value").alias("_freight"), F.count("freight_value").alias("_n_freight"),
-        F.avg("avg_review_score").alias("_review"))
+def delivery_performance(totals: DataFrame, p: MartParams = MartParams()) -> DataFrame:
+    """Seller delivery metrics from :func:`seller_totals`. ``delivered_orders`` / ``delayed_orders``
+    count item rows (the warehouse's semantics); the gap is delivery minus estimated days."""
     pct_le = lambda t: F.col("_delayed") * 100 <= F.col("_n_delayed") * t
     pct_ge = lambda t: F.col("_delayed") * 100 >= F.col("_n_delayed") * t
-    return m.select(
+    return totals.select(
         "seller_sk", F.col("total_orders").cast("long").alias("total_orders"),
         F.col("delivered_orders").cast("long").alias("delivered_orders"),
         F.col("delayed_orders").cast("long").alias("delayed_orders"),

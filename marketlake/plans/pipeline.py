@@ -113,13 +113,14 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     fo, foi = t["gold/fact_orders"], lines_of(t, "gold/fact_order_items")
     t |= wave(split("gold/item_order_base", M.item_order_base(foi, fo, dc, dp)))
     base = lines_of(t, "gold/item_order_base").all()
+    sellers = put("gold/seller_totals", M.seller_totals(base))
 
     t |= wave({
         "marts/customer_rfm": lambda: M.customer_rfm(fo, dd, p=mp),
         "marts/cohort_retention": lambda: M.cohort_retention(fo, dd),
-        "marts/seller_performance_mart": lambda: M.seller_performance(foi, fo, dc, mp, base=base),
+        "marts/seller_performance_mart": lambda: M.seller_performance(sellers, mp),
         "marts/product_sales_mart": lambda: M.product_sales(foi, fo, dp, mp, base=base),
-        "marts/delivery_performance_mart": lambda: M.delivery_performance(foi, fo, mp, base=base),
+        "marts/delivery_performance_mart": lambda: M.delivery_performance(sellers, mp),
         "marts/executive_kpi_mart": lambda: M.executive_kpi(fo, dd, dc),
         "marts/monthly_business_summary": lambda: M.monthly_business_summary(fo, dd, dc)})
     t |= wave({

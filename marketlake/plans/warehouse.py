@@ -95,6 +95,10 @@ class Warehouse:
         return M.item_order_base(self.fact_order_items, self.fact_orders, self.dim_customer,
                                  self.dim_product)
 
+    @cached_property
+    def seller_totals(self) -> DataFrame:
+        return M.seller_totals(self.item_base)
+
     # marts ----------------------------------------------------------------
     @cached_property
     def customer_rfm(self) -> DataFrame:
@@ -106,8 +110,7 @@ class Warehouse:
 
     @cached_property
     def seller_performance(self) -> DataFrame:
-        return M.seller_performance(self.fact_order_items, self.fact_orders, self.dim_customer,
-                                    self.mp, base=self.item_base)
+        return M.seller_performance(self.seller_totals, self.mp)
 
     @cached_property
     def product_sales(self) -> DataFrame:
@@ -116,8 +119,7 @@ class Warehouse:
 
     @cached_property
     def delivery_performance(self) -> DataFrame:
-        return M.delivery_performance(self.fact_order_items, self.fact_orders, self.mp,
-                                      base=self.item_base)
+        return M.delivery_performance(self.seller_totals, self.mp)
 
     @cached_property
     def executive_kpi(self) -> DataFrame:
