@@ -44,13 +44,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` of a function from batch to batch (or None for nothing)."""
+    """``mapInArrow`` of a function from batch to batch (or None for nothing); a task gives the
+    memory it freed back when it ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = work(batch)
             if out is not None and out.num_rows:
                 yield out
+        tidy()
 
     return df.mapInArrow(run, schema)
 
