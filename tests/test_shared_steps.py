@@ -8,6 +8,7 @@ from test_skew import _bronze
 
 from marketlake.operators.rank import line_numbers
 from marketlake.plans import gold as G
+from marketlake.plans.queries_ops import dq_orphans
 from marketlake.plans.warehouse import Warehouse
 
 
@@ -57,3 +58,12 @@ def test_lines_are_numbered_once(spark):
     lines = spark.createDataFrame([(g, i, str(i % 3)) for g in (1, 2) for i in range(50)], "g long, line int, p string")
     plan = line_numbers(lines.repartition(4), "g", "line", ["p"], "sk")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_orphans_move_once(hand):
+    w, _ = hand
+    out = dq_orphans(w)
+    assert sorted(map(tuple, out.select("order_id", "order_item_id").collect())) == [("gone", 1), ("gone", 2)]
+    # copies are removed from what the anti-join leaves, not before it
+    lines = [line for line in _plan(out).splitlines() if "Join LeftAnti" in line or "Aggregate" in line]
+    assert "Aggregate" in lines[0] and any("LeftAnti" in line for line in lines[1:])
