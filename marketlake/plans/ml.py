@@ -191,9 +191,19 @@ def _classify(df: DataFrame, features: list[str], label: str, key: str, trees: i
     return model, scored(model.transform(test), key), features
 
 
+#: Training rows of a partition: a forest keeps a sample count and a node id of every tree with a row.
+TRAIN_ROWS = 100_000
+
+
+def dealt_out(train: DataFrame) -> DataFrame:
+    """The training rows in partitions of about ``TRAIN_ROWS``, where there are more."""
+    rows = train.count()
+    return train.repartition(math.ceil(rows / TRAIN_ROWS)) if rows > TRAIN_ROWS else train
+
+
 def _fitted(stages: list, train: DataFrame):
     """The fitted pipeline; its training rows are cached while it is fitted only."""
-    train = train.persist()
+    train = dealt_out(train).persist()
     try:
         return Pipeline(stages=stages).fit(train)
     finally:

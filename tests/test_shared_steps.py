@@ -8,6 +8,7 @@ from test_skew import _bronze
 
 from marketlake.operators.rank import line_numbers
 from marketlake.plans import gold as G
+from marketlake.plans import ml as ML
 from marketlake.plans.queries_ops import dq_orphans
 from marketlake.plans.warehouse import Warehouse
 
@@ -67,3 +68,12 @@ def test_orphans_move_once(hand):
     # copies are removed from what the anti-join leaves, not before it
     lines = [line for line in _plan(out).splitlines() if "Join LeftAnti" in line or "Aggregate" in line]
     assert "Aggregate" in lines[0] and any("LeftAnti" in line for line in lines[1:])
+
+
+def test_training_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(ML, "TRAIN_ROWS", 100)
+    rows = spark.range(1000).coalesce(1)
+    sizes = [r["count"] for r in ML.dealt_out(rows).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 150
+    few = spark.range(90).coalesce(1)
+    assert ML.dealt_out(few) is few
