@@ -22,12 +22,13 @@ import math
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators.forest import forest
 from marketlake.operators.numbering import numbered, running_totals, staged
 from marketlake.operators.quantiles import select_ranks
 from marketlake.operators.series import add_lags, chronological_split, series_features
@@ -176,14 +177,16 @@ DAILY_FEATURES = ["sales_lag1", "sales_lag7", "sales_lag14", "sales_roll7", "sal
                   "weekday", "month"]
 
 
-def _classify(df: DataFrame, features: list[str], label: str, key: str, trees: int,
-              depth: int, scale: bool = True):
+def _split_frame(df: DataFrame, features: list[str], label: str, key: str) -> DataFrame:
+    """Key, label, scaled features, is_test and class weight."""
     data = df.select(key, F.col(label).cast("double").alias("label"),
                      *[F.col(c).cast("double").alias(c) for c in features])
-    data = data.na.fill(0.0, subset=features)
-    if scale:
-        data = standardize(data, features)
-    data = class_weights(stratified_split(data, "label", key), "label")
+    data = standardize(data.na.fill(0.0, subset=features), features)
+    return class_weights(stratified_split(data, "label", key), "label")
+
+
+def _classify(df: DataFrame, features: list[str], label: str, key: str, trees: int, depth: int):
+    data = _split_frame(df, features, label, key)
     train, test = data.filter("is_test = 0"), data.filter("is_test = 1")
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, weightCol="weight",
                                 featuresCol="features", labelCol="label", cacheNodeIds=True)
@@ -224,38 +227,33 @@ def churn_model(w) -> dict:
     return {"model": model, "pred": pred, "names": names}
 
 
-# The notebook grows these forests without a depth limit; 30 is the most Spark's trees allow.
+# The notebook grows these forests without a depth limit; 30 is the most Spark's trees allow. Nodes
+# then grow with the rows, so the classifiers are grown by operators.forest, not held by the driver.
 UNLIMITED_DEPTH = 30
 
 
 def delay_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
     """ML-5: order delay classifier — RF 100 trees, the deepest trees Spark grows."""
-    model, pred, names = _classify(w.fact_orders, DELAY_FEATURES, "is_delayed", "order_sk", 100,
-                                   max_depth)
-    return {"model": model, "pred": pred, "names": names}
+    data = _split_frame(w.fact_orders, DELAY_FEATURES, "is_delayed", "order_sk")
+    model = forest(data, "order_sk", DELAY_FEATURES, {}, "weight", 100, max_depth, SEED)
+    return {"model": model, "pred": staged(model.pred, "scored"), "names": DELAY_FEATURES}
 
 
 def delay_geo_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
     """ML-6/7: item delay classifier with geography flags and one-hot states, RF 200."""
     from marketlake.plans.queries_adhoc import geo_frame
     df = geo_frame(w).withColumn("is_delayed", F.coalesce("is_delayed", F.lit(0)))
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
-           for c in ("seller_state", "customer_state")]
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in ("seller_state", "customer_state")],
-                        outputCols=["seller_state_vec", "customer_state_vec"], dropLast=False)
+    states = ["seller_state", "customer_state"]
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in states]
     data = df.select("order_item_sk", F.col("is_delayed").cast("double").alias("label"),
-                     *[F.col(c).cast("double").alias(c) for c in GEO_FEATURES],
-                     "seller_state", "customer_state").na.fill(0.0, subset=GEO_FEATURES)
+                     *[F.col(c).cast("double").alias(c) for c in GEO_FEATURES], *states).na.fill(0.0, subset=GEO_FEATURES)
     data = class_weights(stratified_split(data, "label", "order_item_sk"), "label")
-    train, test = data.filter("is_test = 0"), data.filter("is_test = 1")
-    rf = RandomForestClassifier(numTrees=200, maxDepth=max_depth, seed=SEED, weightCol="weight",
-                                cacheNodeIds=True)
-    asm = VectorAssembler(inputCols=GEO_FEATURES + ["seller_state_vec", "customer_state_vec"],
-                          outputCol="features")
-    model = _fitted([*idx, ohe, asm, rf], train)
-    # one name per slot of the vector: each state as the fitted indexers number it, last the unseen
-    states = [f"{m.getInputCol()}_{s}" for m in model.stages[:2] for s in [*m.labels, "unseen"]]
-    return {"model": model, "pred": scored(model.transform(test), "order_item_sk"), "names": GEO_FEATURES + states}
+    indexers = Pipeline(stages=idx).fit(data.filter("is_test = 0"))
+    # one feature per slot: each state as the fitted indexers number it, last the unseen
+    slots = {f"{c}_idx": len(m.labels) + 1 for c, m in zip(states, indexers.stages)}
+    model = forest(indexers.transform(data), "order_item_sk", GEO_FEATURES, slots, "weight", 200, max_depth, SEED)
+    names = [f"{c}_{s}" for c, m in zip(states, indexers.stages) for s in [*m.labels, "unseen"]]
+    return {"model": model, "pred": staged(model.pred, "scored"), "names": GEO_FEATURES + names}
 
 
 def _monthly_frame(w) -> DataFrame:

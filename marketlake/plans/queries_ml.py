@@ -174,7 +174,7 @@ def ml_delay_report(w):
 def ml_delay_importance(w):
     """ML-14: feature importances of the order delay classifier."""
     r = _fit(w, "delay", ML.delay_model)
-    return ML.importances(w.spark, r["model"].stages[-1], r["names"])
+    return ML.importances(w.spark, r["model"], r["names"])
 
 
 @register("ml_delay_geo_report")
@@ -187,7 +187,7 @@ def ml_delay_geo_report(w):
 def ml_delay_geo_importance(w):
     """ML-14: importances of the item delay classifier, one row per feature and per state."""
     r = _fit(w, "delay_geo", ML.delay_geo_model)
-    return ML.importances(w.spark, r["model"].stages[-1], r["names"])
+    return ML.importances(w.spark, r["model"], r["names"])
 
 
 # ---------------------------------------------------------------- ML-8 / 9 (+ 13, 14, 15)
