@@ -41,6 +41,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -273,11 +274,12 @@ class Block:
         answer[np.concatenate(split)] = np.arange(len(keys))
         open_ = (doc[~known], start[~known], answer[at[~known]])
         small = [x.astype(np.uint32) for x in (*spans, *open_, np.array([len(x) for x in split]))]
-        return [(self.block, 0, CARRIED + SPANS, _pack(*small))] + self._send(SUFFIXES, keys, lambda at: _pack(keys[at], low[at]))
+        # the blocks' spans are as much as the input: each part passes on those of a few blocks
+        return [(self.block, self.block % self.parts, CARRIED + SPANS, _pack(*small))] + self._send(SUFFIXES, keys, lambda at: _pack(keys[at], low[at]))
 
     # result: what is covered
     def removed(self, length: int) -> list[tuple]:
-        a, begin, end, doc, start, answer, sizes = (x.astype(np.int64) for x in _unpack(self.answers[SPANS, 0], *[np.uint32] * 7))
+        a, begin, end, doc, start, answer, sizes = (x.astype(np.int64) for x in _unpack(self.answers[SPANS, self.block % self.parts], *[np.uint32] * 7))
         earlier = [np.unpackbits(*_unpack(self.answers[SUFFIXES, part], np.uint8), count=int(n)) for part, n in enumerate(sizes) if n]
         hit = np.concatenate(earlier)[answer].astype(bool) if len(answer) else np.empty(0, bool)
         a, begin, end = np.concatenate([a, doc[hit]]), np.concatenate([begin, start[hit]]), np.concatenate([end, start[hit] + length])
@@ -311,11 +313,13 @@ def _joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
 
 def _answer(table: pa.Table) -> pa.Table:
     """Answers of one part to the blocks that asked it."""
-    rows, out = _rows(table), []
-    out += [(b, p, k - CARRIED, payload) for b, p, k, payload in rows if k >= CARRIED]
-    rows = [r for r in rows if r[2] < CARRIED]
+    passed = pc.greater_equal(table.column("kind"), CARRIED)
+    carried = table.select(["block", "part", "kind", "payload"]).filter(passed)
+    carried = carried.set_column(2, "kind", pc.subtract(carried.column("kind"), pa.scalar(CARRIED, pa.int32())))
+    rows, out = _rows(table.filter(pc.invert(passed))), []
+    del table, passed
     if not rows:
-        return _messages(out)
+        return carried
     kind = rows[0][2]
     if kind == FILTER:
         got = [_unpack(r[3], np.uint32, np.uint16, np.uint8) for r in rows]
@@ -344,8 +348,9 @@ def _answer(table: pa.Table) -> pa.Table:
     for (b, p, k, _), end, g in zip(rows, ends, got):
         out.append((b, p, k, _pack(*(_bits(x[end - len(g[0]):end]) for x in replies))))
     del rows, got, replies
+    out = pa.concat_tables([carried, _messages(out)])
     tidy()
-    return _messages(out)
+    return out
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:

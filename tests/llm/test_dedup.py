@@ -246,3 +246,26 @@ def test_quotes_and_short_items_are_found():
     assert set(decontaminate.matches("问题：什么是光合作用？答案", index)) == {1}
     assert set(decontaminate.matches("Now,  who wrote\nEMMA? A party.", index)) == {2}
     assert set(decontaminate.matches("Modern art.", index)) == {3}
+
+
+def test_repeats_spread_what_blocks_know_over_the_parts():
+    """Found spans are as much as the input: no part passes on those of all blocks."""
+    import numpy as np
+    import pyarrow as pa
+
+    from marketlake.llm import repeats
+    r, parts, blocks = np.random.default_rng(3), 3, 6
+    word = lambda n: "".join(map(chr, r.integers(97, 123, n)))
+    shared = word(200)
+    texts = {i: word(150) + shared + word(150) for i in range(2 * blocks)}
+    docs = {b: pa.table({"doc_id": [i for i in texts if i % blocks == b], "text": [texts[i] for i in texts if i % blocks == b],
+                         "block": pa.array([b, b], pa.int32())}) for b in range(blocks)}
+    answers, sent = {b: None for b in docs}, []
+    for step, parse in (("ask_triggers", "triggers"), ("ask_dictionary", "all"), ("ask_suffixes", "all")):
+        sent = [row for b in docs for row in getattr(repeats.Block(docs[b], answers[b], 50, 16, parts, parse), step)()]
+        back = [row for p in range(parts) for row in repeats._rows(repeats._answer(repeats._messages([x for x in sent if x[1] == p])))]
+        answers = {b: repeats._messages([x for x in back if x[0] == b]) for b in docs}
+    spans = [p for _, p, kind, _ in sent if kind == repeats.CARRIED + repeats.SPANS]
+    assert sorted(spans) == [0, 0, 1, 1, 2, 2]
+    got = {row[0]: row[1:4] for b in docs for row in repeats.Block(docs[b], answers[b], 50, 16, parts, "none").removed(50)}
+    assert got[0] == (500, 0, []) and all(got[i] == (500, 200, [150, 350]) for i in range(1, 2 * blocks))
