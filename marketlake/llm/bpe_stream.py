@@ -25,7 +25,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marketlake.llm.common import map_batches, texts_of
+from marketlake.llm.common import cache, map_batches, texts_of
 from marketlake.llm.wordbpe import END, Memo, WordBpe, open_word_bpe
 
 
@@ -143,8 +143,8 @@ class StreamCoder:
     def __init__(self, path: str):
         self.bpe = open_word_bpe(path)
         self.lookahead = sufficient_lookahead(self.bpe)
-        self.coded = Memo(self._code, most=300_000)
-        self.coded_word = Memo(self._code_word, most=150_000)
+        self.coded = Memo(self._code, most=120_000)
+        self.coded_word = Memo(self._code_word, most=60_000)
 
     def stream(self, chunks: Iterable[str]) -> Iterator[int]:
         """Token ids of a stream of chunks, each emitted once it is stable."""
@@ -188,7 +188,7 @@ class StreamCoder:
         return "".join(map(decoder.feed, ids)) + decoder.finish()
 
 
-_CODERS: dict[str, StreamCoder] = {}
+_CODERS: dict[str, StreamCoder] = cache("coders")
 
 
 def coder(path: str) -> StreamCoder:
@@ -215,4 +215,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             names += ["ids", "decoded"]
         return pa.RecordBatch.from_arrays(cols, names=names)
 
-    return map_batches(docs.select(id_col, text_col), work, schema)
+    return map_batches(docs.select(id_col, text_col), work, schema, keep="coders")

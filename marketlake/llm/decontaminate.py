@@ -251,7 +251,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, budget: Budget | None = None, t
         shared = spark.sparkContext.broadcast(index)
 
         def work(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            return batch.filter(pa.array([not matches(t, shared.value) for t in batch.column(text_col).to_pylist()], pa.bool_()))
+            # text by text: a list of all would be another copy of the batch
+            return batch.filter(pa.array((not matches(t.as_py(), shared.value) for t in batch.column(text_col)), pa.bool_()))
 
-        out = out.mapInArrow(lambda it, work=work: (x for x in map(work, it) if x.num_rows), docs.schema)
+        out = map_batches(out, work, docs.schema)
     return out

@@ -248,16 +248,17 @@ def test_quotes_and_short_items_are_found():
     assert set(decontaminate.matches("Modern art.", index)) == {3}
 
 
-def test_repeats_spread_what_blocks_know_over_the_parts():
+def test_repeats_spread_what_blocks_know_over_the_parts(monkeypatch):
     """Found spans are as much as the input: no part passes on those of all blocks."""
     import numpy as np
     import pyarrow as pa
 
     from marketlake.llm import repeats
+    monkeypatch.setattr(repeats, "_POWER", {})  # other tests change the size of pieces
     r, parts, blocks = np.random.default_rng(3), 3, 6
     word = lambda n: "".join(map(chr, r.integers(97, 123, n)))
     shared = word(200)
-    texts = {i: word(150) + shared + word(150) for i in range(2 * blocks)}
+    texts = {i: word(149) + chr(65 + i) + shared + chr(65 + i) + word(149) for i in range(2 * blocks)}
     docs = {b: pa.table({"doc_id": [i for i in texts if i % blocks == b], "text": [texts[i] for i in texts if i % blocks == b],
                          "block": pa.array([b, b], pa.int32())}) for b in range(blocks)}
     answers, sent = {b: None for b in docs}, []

@@ -195,3 +195,13 @@ def test_bands_reject_noise_and_keep_clean_prose(spark):
         noise += [t.encode().decode(charset, "ignore") for t in (german, french)]
     noise += [" ".join(w + rng.choice(["###", "$$$", "%%%", "***"]) for w in t.split()) for t in clean]
     assert not any(map(kept, noise))
+
+
+def test_workers_drop_the_coder_when_another_operator_ends():
+    """Its memos hold more than 100 MB in each Python worker; tasks of its own keep it."""
+    from marketlake.llm import bpe_stream, common
+    common.cache("coders")["file"] = object()
+    common.tidy("coders")
+    assert "file" in bpe_stream._CODERS
+    common.tidy()
+    assert not bpe_stream._CODERS
