@@ -25,7 +25,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marketlake.llm.common import cache, map_batches, texts_of
+from marketlake.llm.common import cache, map_batches
 from marketlake.llm.wordbpe import END, Memo, WordBpe, open_word_bpe
 
 
@@ -133,18 +133,33 @@ class PieceDecoder:
         body = piece[:-len(END)] if ends else piece
         return self.machine.decode(bytes(self.bpe.to_byte[c] for c in body), ends) + (" " if ends else "")
 
+    def feed_all(self, token_ids: Iterable[int]) -> str:
+        """What feeding the ids one by one yields."""
+        if self.as_text:
+            return "".join(map(self.feed, token_ids))
+        out = " ".join(map(self.bpe.pieces.__getitem__, token_ids))
+        if not out:
+            return ""
+        first, self.first = self.first, False
+        return out if first else " " + out
+
     def finish(self) -> str:
         return self.machine.decode(b"", True) if self.as_text else ""
 
 
 class StreamCoder:
-    """Encoder and decoder of one file; remembers a bounded number of chunks."""
+    """Encoder and decoder of one file; remembers the ids of a bounded number of chunks.
+
+    A remembered chunk is one string of decimal ids (that of a single token is shared), since every
+    Python worker of an executor holds them; texts are decoded from their ids.
+    """
 
     def __init__(self, path: str):
         self.bpe = open_word_bpe(path)
         self.lookahead = sufficient_lookahead(self.bpe)
-        self.coded = Memo(self._code, most=300_000)
-        self.coded_word = Memo(self._code_word, most=150_000)
+        self.decimal = {i: str(i) for i in self.bpe.pieces}
+        self.coded = Memo(self._code, most=300_000, room=9_000_000)
+        self.coded_word = Memo(self._code_word, most=100_000, room=3_000_000)
 
     def stream(self, chunks: Iterable[str]) -> Iterator[int]:
         """Token ids of a stream of chunks, each emitted once it is stable."""
@@ -159,33 +174,37 @@ class StreamCoder:
                     for t in machine.finish():
                         yield ids[t]
 
-    def _code_word(self, word: str) -> tuple[int, str, str]:
-        machine, decoder, ids = Transducer(self.bpe, self.lookahead), PieceDecoder(self.bpe), self.bpe.ids
-        out = [ids[t] for t in machine.feed(word)]
-        out += [ids[t] for t in machine.finish()]
-        return len(out), " ".join(map(str, out)), "".join(map(decoder.feed, out)) + decoder.finish()
+    def _code_word(self, word: str) -> str:
+        machine, ids, decimal = Transducer(self.bpe, self.lookahead), self.bpe.ids, self.decimal
+        out = [decimal[ids[t]] for t in machine.feed(word)]
+        out += [decimal[ids[t]] for t in machine.finish()]
+        return " ".join(out)
 
-    def _code(self, chunk: str) -> tuple[int, str, str]:
-        """Token count, ids in decimal and decoded text of one chunk, each joined by a space."""
-        parts = [(1, str(w), self.bpe.pieces[w]) if isinstance(w, int) else self.coded_word[w]
-                 for w in self.bpe.pretokens(chunk)]
-        if len(parts) == 1:
-            return parts[0]
-        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+    def _code(self, chunk: str) -> str:
+        """The ids of one chunk in decimal, joined by a space."""
+        words = self.bpe.pretokens(chunk)
+        if len(words) == 1 and words[0] == chunk:
+            return self._code_word(chunk)  # remembered as a chunk
+        return " ".join([self.decimal[w] if isinstance(w, int) else self._word(w) for w in words])
+
+    def _word(self, word: str) -> str:
+        # lower-case letters are a chunk that stands for itself
+        return self.coded[word] if word.isascii() and word.isalpha() and word.islower() else self.coded_word[word]
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        coded = self.coded
-        parts = [p for p in [coded[c] for c in self.bpe.chunks(text)] if p[0]]
-        return (sum([p[0] for p in parts]),
-                hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest(),
-                hashlib.sha256(" ".join([p[2] for p in parts]).encode()).hexdigest())
+        """Token count, digests of the ids in decimal, joined by a space, and of the decoded text."""
+        ids = " ".join(filter(None, map(self.coded.__getitem__, self.bpe.chunks(text))))
+        tokens = list(map(int, ids.split()))
+        decoder = PieceDecoder(self.bpe)
+        decoded = decoder.feed_all(tokens) + decoder.finish()
+        return len(tokens), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     def encode(self, text: str) -> list[int]:
         return list(self.stream(self.bpe.chunks(text)))
 
     def decode(self, ids: Iterable[int], text: bool = False) -> str:
         decoder = PieceDecoder(self.bpe, text)
-        return "".join(map(decoder.feed, ids)) + decoder.finish()
+        return decoder.feed_all(ids) + decoder.finish()
 
 
 _CODERS: dict[str, StreamCoder] = cache("coders")
@@ -205,12 +224,16 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c, texts = coder(path), texts_of(batch, text_col)
-        n, a, b = zip(*map(c.digests, texts)) if texts else ((), (), ())
+        c = coder(path)
+
+        def texts() -> Iterator[str]:  # text by text: a list of all would be another copy of the batch
+            return (t.as_py() or "" for t in batch.column(text_col))
+
+        n, a, b = zip(*map(c.digests, texts())) if batch.num_rows else ((), (), ())
         cols = [batch.column(id_col), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
         names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
         if keep:
-            ids = [c.encode(t) for t in texts]
+            ids = [c.encode(t) for t in texts()]
             cols += [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(x) for x in ids], pa.string())]
             names += ["ids", "decoded"]
         return pa.RecordBatch.from_arrays(cols, names=names)

@@ -86,11 +86,13 @@ def open_word_bpe(path: str) -> WordBpe:
 class Memo(dict):
     """A dict of bounded size. When full, its entries become the old generation and replace the
     one before; an old entry that is asked for again moves back. So frequent keys stay, and
-    memory does not grow with the corpus."""
+    memory does not grow with the corpus. ``room`` bounds the characters of keys and (text) values
+    too: chunks of scripts without blanks are long."""
 
-    def __init__(self, make, most: int = 250_000, longest: int = 256):
-        self.make, self.most, self.longest = make, most, longest
+    def __init__(self, make, most: int = 250_000, longest: int = 256, room: int | None = None):
+        self.make, self.most, self.longest, self.room = make, most, longest, room
         self.old: dict = {}
+        self.held = 0
 
     def __missing__(self, key):
         value = self.old[key] if key in self.old else self.make(key)
@@ -99,7 +101,9 @@ class Memo(dict):
 
     def put(self, key, value) -> None:
         if len(key) <= self.longest:
-            if len(self) >= self.most:
-                self.old = dict(self)
+            size = 0 if self.room is None else len(key) + len(value)
+            if len(self) >= self.most or (self.room is not None and self.held + size > self.room):
+                self.old, self.held = dict(self), 0
                 self.clear()
             self[key] = value
+            self.held += size

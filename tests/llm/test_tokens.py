@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF001
 from llm.conftest import EDGES
-from marketlake.llm.bpe_stream import StreamCoder, Transducer, encode_decode, sufficient_lookahead
+from marketlake.llm.bpe_stream import PieceDecoder, StreamCoder, Transducer, encode_decode, sufficient_lookahead
 from marketlake.llm.fertility import FertilityRules, fertility, measure, quality_rules, script_of
 from marketlake.llm.token_counts import PrefixCounter, count_tokens
 from marketlake.llm.wordbpe import Memo, open_word_bpe
@@ -90,6 +91,40 @@ def test_memo_is_bounded():
     assert len(memo) <= 10 and len(memo.old) <= 10
 
 
+def test_memo_is_bounded_by_characters():
+    memo = Memo(lambda k: k * 2, most=1000, room=3000)
+    for k in range(100):
+        assert memo[f"{k:0100}"] == f"{k:0100}" * 2
+        assert memo[f"{0:0100}"] == "0" * 200  # asked for again and again
+    assert sum(3 * len(k) for k in memo) <= 3000 and sum(3 * len(k) for k in memo.old) <= 3000
+
+
+def test_coder_remembers_a_chunk_in_little_memory():
+    """Every Python worker of an executor holds hundreds of thousands of them."""
+    rng, coder = random.Random(3), StreamCoder(PATH)
+    chunks = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(4000)]
+    chunks += [c.capitalize() + "," for c in chunks]
+    text = " ".join(chunks)
+    tracemalloc.start()
+    try:
+        n, ids, decoded = coder.digests(text)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    want = ids_of(text)
+    assert (n, ids, decoded) == (len(want), sha(" ".join(map(str, want))), sha(LIBRARY.decode(want, skip_special_tokens=False)))
+    assert held / len(chunks) < 230
+
+
+def test_decoder_takes_ids_in_parts():
+    ids = CODER.encode("Höhle and café <|endoftext|> 漢字!")
+    for text in (False, True):
+        for at in range(len(ids) + 1):
+            whole, parts = PieceDecoder(CODER.bpe, text), PieceDecoder(CODER.bpe, text)
+            assert parts.feed_all(ids[:at]) + parts.feed_all([]) + parts.feed_all(ids[at:]) + parts.finish() == \
+                "".join(map(whole.feed, ids)) + whole.finish()
+
+
 def test_count_tokens_on_edges(docs):
     rows = count_tokens(docs(EDGES), PATH).collect()
     assert len(rows) == len(EDGES)
