@@ -7,8 +7,9 @@ roots of counts, scaled to length 1. Whole texts are read.
 
 Learned only from ``text`` and ``lang`` of the learning rows (crc32(id) mod 5 is not 0). The
 machines are fitted on the driver from a sample of at most about ``fit_rows`` documents of each
-language (chosen by a hash of the id; the bound is this parameter), features of which the
-executors compute; prediction runs over all documents on the executors.
+language (chosen by a hash of the id; the bound is this parameter), trigrams of which the
+executors count and pack. The driver unpacks them into one matrix of 4 * ``dims`` bytes a
+document, on which all machines work in place; prediction runs over all documents on the executors.
 
 Null texts and texts without a letter are ``und`` with score 0. Documents with null ids belong
 to no fold (held_out null) and are never learned from. Without any learning row, every text
@@ -18,12 +19,14 @@ tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,30 +51,53 @@ _LETTER = regex.compile(r"\p{L}")
 _FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
 
 
-def features(text: str, dims: int) -> np.ndarray:
+def trigrams(text: str, dims: int) -> np.ndarray:
+    """How many trigrams fall into each slot."""
     b = _FOLD[np.frombuffer((" " + text.lower() + " ").encode(), np.uint8)]
     b = b[np.concatenate([[True], (b[1:] != 32) | (b[:-1] != 32)])].astype(np.uint32)
     if len(b) < 3:
-        return np.zeros(dims, np.float32)
+        return np.zeros(dims, np.int64)
     code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     slot = (code * np.uint32(2654435761)) >> np.uint32(32 - (dims.bit_length() - 1))
-    x = np.sqrt(np.bincount(slot, minlength=dims)).astype(np.float32)
+    return np.bincount(slot, minlength=dims)
+
+
+def scaled(counts: np.ndarray) -> np.ndarray:
+    x = np.sqrt(counts).astype(np.float32)
     return x / max(np.linalg.norm(x), 1e-9)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 12) -> np.ndarray:
-    """Weights (bias last) of an L2-regularised squared-hinge machine, by dual coordinate descent.
+def features(text: str, dims: int) -> np.ndarray:
+    return scaled(trigrams(text, dims))
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """Most slots are 0: about a fifth of the bytes of the features."""
+    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+
+
+def unpacked(packed: Iterable[bytes], rows: int, dims: int) -> np.ndarray:
+    """A row of features for each document, with a last 1 for the bias."""
+    x = np.ones((rows, dims + 1), np.float32)
+    for row, counts in zip(x, packed):
+        row[:dims] = scaled(np.frombuffer(zlib.decompress(counts), "<u4"))
+    return x
+
+
+def linear_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 12) -> np.ndarray:
+    """Weights (bias last) of an L2-regularised squared-hinge machine, by dual coordinate descent,
+    from the named ``rows`` of ``x``, which is not copied.
     ``y`` is +1 or -1; each class carries the same total weight."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     cost = np.where(y > 0, 0.5 * len(y) / max(1, (y > 0).sum()), 0.5 * len(y) / max(1, (y < 0).sum())) * c
-    w, alpha, q = np.zeros(x.shape[1], np.float32), np.zeros(len(y)), (x * x).sum(1) + 0.5 / cost
+    w, alpha, q = np.zeros(x.shape[1], np.float32), np.zeros(len(y)), np.array([(x[r] * x[r]).sum() for r in rows]) + 0.5 / cost
     order = np.random.default_rng(7)
     for _ in range(rounds):
         for i in order.permutation(len(y)):
-            step = (y[i] * float(x[i] @ w) - 1 + 0.5 * alpha[i] / cost[i]) / q[i]
+            at = x[rows[i]]
+            step = (y[i] * float(at @ w) - 1 + 0.5 * alpha[i] / cost[i]) / q[i]
             new = max(alpha[i] - step, 0.0)
             if new != alpha[i]:
-                w += np.float32((new - alpha[i]) * y[i]) * x[i]
+                w += np.float32((new - alpha[i]) * y[i]) * at
                 alpha[i] = new
     return w
 
@@ -128,25 +154,28 @@ def fit(docs: DataFrame, fit_rows: int = 1500, dims: int = 2048, id_col: str = "
     chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = [features(t, dims).tobytes() for t in batch.column("text").to_pylist()]
+        x = [pack(trigrams(t.as_py(), dims)) for t in batch.column("text")]
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(x, pa.binary())], names=["id", "lang", "x"])
 
-    got = map_batches(chosen.select("id", "text", "lang"), work, "id long, lang string, x binary").toPandas()
-    got = got.sort_values(["id", "lang"], kind="stable")
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), dims)
-    lang = got["lang"].to_numpy()
+    got = map_batches(chosen.select("id", "text", "lang"), work, "id long, lang string, x binary").toArrow()
+    got = got.take(pc.sort_indices(got, [("id", "ascending"), ("lang", "ascending")]))  # stable
+    x = unpacked((counts.as_py() for counts in got["x"]), len(got), dims)
+    lang = np.array(got["lang"].to_pylist(), object)
+    del got
     by_family: dict[str, list[str]] = {}
     for code in sorted(set(lang)):
         by_family.setdefault(FAMILY_OF.get(code, code), []).append(code)
     families = tuple(by_family)
     of = np.array([FAMILY_OF.get(code, code) for code in lang])
-    tops = [linear_svm(x, np.where(of == f, 1.0, -1.0)) for f in families] if len(families) > 1 else []
+    tops = [linear_svm(x, np.arange(len(x)), np.where(of == f, 1.0, -1.0)) for f in families] if len(families) > 1 else []
     pairs, weights = [], []
     for k, f in enumerate(families):
         for a, b in combinations(range(len(by_family[f])), 2):
-            mine = (lang == by_family[f][a]) | (lang == by_family[f][b])
+            mine = np.flatnonzero((lang == by_family[f][a]) | (lang == by_family[f][b]))
             pairs.append((k, a, b))
-            weights.append(linear_svm(x[mine], np.where(lang[mine] == by_family[f][a], 1.0, -1.0)))
+            weights.append(linear_svm(x, mine, np.where(lang[mine] == by_family[f][a], 1.0, -1.0)))
+    del x
+    tidy()
     empty = np.zeros((0, dims + 1))
     return LanguageModel(dims, families, tuple(tuple(v) for v in by_family.values()),
                          np.array(tops) if tops else empty, tuple(pairs), np.array(weights) if weights else empty)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -49,6 +51,30 @@ def test_language_without_learning_rows(docs):
     assert [r.lang_pred for r in language.identify(docs([(1, "text")]), language.fit(docs([(1, "text")]))).collect()] == ["und"]
 
 
+def test_language_driver_holds_the_features_once(docs):
+    words = {"en": "the cat and dog are in house with friend".split(), "de": "der hund und die katze sind dem haus".split()}
+    rows = [(2 * k + j, " ".join(w[(k >> b) % len(w)] for b in range(12)), lang) for k in range(800) for j, (lang, w) in enumerate(words.items())]
+    learned = sum(zlib.crc32(str(r[0]).encode()) % 5 != 0 for r in rows)
+    table = docs(rows)
+    language.fit(table, fit_rows=10)  # imports
+    tracemalloc.start()
+    model = language.fit(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == (("de", "en"),)
+    assert peak < 1.5 * learned * 4 * model.dims  # was 3.7 times
+
+
+def test_language_features_survive_packing_and_machines_copy_no_rows():
+    texts = ["the cat and the dog", "", "a", "le chat et le chien " * 9000, "naïve İstanbul 漢字", "der hund und die katze"]
+    counts = [language.trigrams(t, 256) for t in texts]
+    assert max(c.max() for c in counts) > 65535 // 8 and len(language.pack(counts[0])) < 1024 // 3
+    x = language.unpacked(map(language.pack, counts), len(texts), 256)
+    assert (x == np.array([np.append(language.features(t, 256), np.float32(1)) for t in texts])).all()
+    rows, y = np.array([5, 0, 3, 4]), np.array([1.0, -1.0, 1.0, -1.0])
+    assert (language.linear_svm(x, rows, y) == language.linear_svm(x[rows].copy(), np.arange(4), y)).all()
+
+
 def test_quality_held_out_accuracy_and_compiled_rules(spark):
     table, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     rows = rule_ensemble.classify(table, labels).join(labels, "doc_id").collect()
