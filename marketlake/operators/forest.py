@@ -12,7 +12,10 @@ nodes is a pass over all rows for all trees, so time and driver memory grow with
   each tree and partition, and the driver gets the chosen cut of each such node;
 * a smaller node's cells meet in one group, which grows the whole subtree below it in memory, sends
   the test cells it is given through it, and keeps nothing but their class shares and the sums for
-  the importances. The driver holds no more than the tops of the trees.
+  the importances. The driver holds no more than the tops of the trees;
+* where the roots are that small already, as they are once bins have few values, every task gets the
+  cells once (a broadcast of at most ``limit`` of them), grows whole trees over its own draws and
+  adds up their votes, so nothing is moved for each tree.
 
 Draws are seeded by tree and block or node, so neither partitions nor the order of rows matter.
 """
@@ -32,11 +35,13 @@ from pyspark.sql import functions as F
 from marketlake.operators.numbering import staged
 
 BINS = 32
-#: Cells of a group that grows a subtree, and of a block.
-LIMIT, BLOCK = 200_000, 25_000
+#: Cells of a group that grows a subtree, and of a block. A cell takes about 100 bytes while a tree grows.
+LIMIT, BLOCK = 4_000_000, 25_000
 #: Test cells of a block: the group that adds up their votes holds one for each tree.
 TEST_BLOCK = 10_000
 _LEAST_GAIN = 1e-14  # what rounding leaves of none
+#: Shares of class 1 are added up as whole numbers of this size, so that no order of adding matters.
+_SHARE = float(1 << 52)
 MESSAGE = "tree int, node int, block int, payload binary"
 _BATCH = 16 << 20
 
@@ -67,6 +72,13 @@ class Features:
         got, value = codes[np.arange(len(codes)), self.column[f]].astype(np.int64), self.value[f]
         return np.where(value < 0, got, got == value)
 
+    def right(self, f: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """To the right of each cut go the codes from ``low`` to ``low + span``: the bins above it, or the one value."""
+        one = self.value[f] >= 0
+        low = np.where(one, self.value[f], cut + 1)
+        span = np.where(one, 0, np.iinfo(self.dtype).max - low)
+        return low.astype(self.dtype), span.astype(self.dtype)
+
     def draw(self, rng: np.random.Generator, nodes: int) -> np.ndarray:
         """Distinct features for each node, in the order of Spark's reservoir: of equal cuts the first counts."""
         n, m = len(self.column), self.drawn
@@ -145,12 +157,18 @@ class Nodes:
 
     def route(self, codes: np.ndarray, features: Features) -> np.ndarray:
         """The leaf of each row."""
-        at, moving = np.zeros(len(codes), np.int64), np.arange(len(codes) if self.left[0] >= 0 else 0)
+        out, moving = np.zeros(len(codes), np.int64), np.arange(len(codes) if self.left[0] >= 0 else 0)
+        if not len(moving):
+            return out
+        flat, width, column = np.ascontiguousarray(codes).reshape(-1), codes.shape[1], features.column[self.feature]
+        low, span = features.right(self.feature, self.cut)
+        at = out[moving]
         while len(moving):
-            here = at[moving]
-            at[moving] = self.left[here] + (features.bins(codes[moving], self.feature[here]) > self.cut[here])
-            moving = moving[self.left[at[moving]] >= 0]
-        return at
+            at = self.left[at] + (flat[moving * width + column[at]] - low[at] <= span[at])
+            ends = self.left[at] < 0
+            out[moving[ends]] = at[ends]
+            moving, at = moving[~ends], at[~ends]
+        return out
 
     def importance(self, features: Features, weights: np.ndarray) -> np.ndarray:
         """Gain times weight by feature, of the inner nodes that the root reaches."""
@@ -164,6 +182,16 @@ class Nodes:
         return np.bincount(self.feature[reached], value[reached], len(features.column))
 
 
+def gains(left: np.ndarray, whole: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The loss of weighted Gini impurity, if ``left`` of the rows ``whole`` (2 x cuts) go left."""
+    whole, low = whole * weights[:, None], left * weights[:, None]
+    high = whole - low
+    low_sum, high_sum, total = low[0] + low[1], high[0] + high[1], whole[0] + whole[1]
+    square = lambda x: x[0] * x[0] + x[1] * x[1]
+    with np.errstate(divide="ignore", invalid="ignore"):  # nothing on one side: no cut
+        return (square(low) / low_sum + square(high) / high_sum) / total - square(whole) / total ** 2
+
+
 def best_cuts(group: np.ndarray, bins: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each group 0, 1, ...: the largest gain (-1: no cut), its bin and the counts up to it. The
     runs, counts by class, come in order of group and bin."""
@@ -171,12 +199,7 @@ def best_cuts(group: np.ndarray, bins: np.ndarray, counts: np.ndarray, weights:
     end = np.concatenate([start[1:], [len(group)]]) - 1
     left = np.cumsum(counts, axis=1)
     left -= (left[:, start] - counts[:, start])[:, group]
-    whole = left[:, end] * weights[:, None]
-    low = left * weights[:, None]
-    high = whole[:, group] - low
-    low_sum, high_sum, total = low.sum(axis=0), high.sum(axis=0), whole.sum(axis=0)
-    high_sum[end] = 1  # nothing on the right: no cut
-    gain = ((low * low).sum(axis=0) / low_sum + (high * high).sum(axis=0) / high_sum) / total[group] - ((whole * whole).sum(axis=0) / total ** 2)[group]
+    gain = gains(left, left[:, end][:, group], weights)
     gain[end] = -1
     top = np.maximum.reduceat(gain, start)
     at = np.flatnonzero(gain == top[group])
@@ -184,48 +207,115 @@ def best_cuts(group: np.ndarray, bins: np.ndarray, counts: np.ndarray, weights:
     return top, bins[at], left[:, at]
 
 
+#: Drawn rows of class 1 count this much beside those of class 0, where both are added up in one pass.
+_ONE = float(1 << 26)
+
+
+def _counts(key: np.ndarray, bag: np.ndarray, size: int) -> np.ndarray:
+    """Drawn rows of each class by key (2 x ``size``). ``bag`` has a row for each class, or both in one
+    number (fewer than 2 ** 26 rows in all, so the sums are exact)."""
+    if bag.ndim == 2:
+        return np.stack([np.bincount(key, b, size) for b in bag])
+    both = np.bincount(key, bag, size)
+    ones = np.floor(both / _ONE)
+    return np.stack([both - ones * _ONE, ones])
+
+
 def _runs(key: np.ndarray, bag: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys in order, and the counts of each."""
-    if size <= 4 * len(key):
-        counts = np.stack([np.bincount(key, b, size) for b in bag])
-        at = np.flatnonzero(counts.any(axis=0))
-        return at, counts[:, at]
-    order = np.argsort(key)
-    key = key[order]
-    start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-    return key[start], np.add.reduceat(bag[:, order], start, axis=1)
+    if size > 4 * len(key):
+        distinct, key = np.unique(key, return_inverse=True)
+        return distinct, _counts(key, bag, len(distinct))
+    counts = _counts(key, bag, size)
+    at = np.flatnonzero(counts.any(axis=0))
+    return at, counts[:, at]
+
+
+class _Cuts:
+    """The best cut of each drawn feature of each node of a level."""
+
+    def __init__(self, features: Features, drawn: np.ndarray, whole: np.ndarray, weights: np.ndarray):
+        self.features, self.drawn, self.whole, self.weights = features, drawn, whole, weights
+        self.gain, self.at = np.full(drawn.shape, -1.0), np.zeros(drawn.shape, np.int64)
+        self.left = np.zeros((2, *drawn.shape))
+        self.of_feature = [np.nonzero(drawn == f) for f in range(len(features.column))]
+
+    def ordered(self, some: np.ndarray, columns: np.ndarray, node: np.ndarray, bag: np.ndarray) -> None:
+        """Of up to 8 ordered features: counts by bin of the nodes that drew each."""
+        drew = np.zeros(len(self.drawn) + 1, np.uint8)
+        for bit, f in enumerate(some):
+            drew[self.of_feature[f][0]] |= np.uint8(1 << bit)
+        drew = drew[node]
+        for bit, f in enumerate(some):
+            if len(self.of_feature[f][0]):
+                self._ordered(f, columns[self.features.column[f]], np.flatnonzero(drew & np.uint8(1 << bit)), node, bag)
+
+    def _ordered(self, f: int, codes: np.ndarray, mine: np.ndarray, node: np.ndarray, bag: np.ndarray) -> None:
+        nodes, slots = self.of_feature[f]
+        place = np.zeros(len(self.drawn), np.int64)
+        place[nodes] = np.arange(len(nodes))
+        key, counts = _runs(place[node[mine]] * BINS + codes[mine], bag[..., mine], len(nodes) * BINS)
+        self.gain[nodes, slots], self.at[nodes, slots], self.left[:, nodes, slots] = best_cuts(key // BINS, key % BINS, counts, self.weights)
+
+    def one_of(self, of: list[int], codes: np.ndarray, node: np.ndarray, bag: np.ndarray) -> None:
+        """Of the features that are one value each of a category: one table of nodes and values serves them all."""
+        nodes, slots = (np.concatenate(x) for x in zip(*(self.of_feature[f] for f in of)))
+        value, size = self.features.value[self.drawn[nodes, slots]], len(of)
+        key, counts = _runs(node * size + codes, bag, (len(self.drawn) + 1) * size)
+        want = nodes * size + value
+        at = np.minimum(np.searchsorted(key, want), len(key) - 1)
+        right = np.where(key[at] == want, counts[:, at], 0.0)
+        left = self.whole[:, nodes] - right
+        real = np.flatnonzero(left.any(axis=0) & right.any(axis=0))
+        nodes, slots, left = nodes[real], slots[real], left[:, real]
+        self.gain[nodes, slots], self.left[:, nodes, slots] = gains(left, self.whole[:, nodes], self.weights), left
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Gain, feature, cut and counts to the left; of equal gains the feature drawn first."""
+        slot, node = self.gain.argmax(axis=1), np.arange(len(self.drawn))
+        return self.gain[node, slot], self.drawn[node, slot], self.at[node, slot], self.left[:, node, slot]
 
 
 def grow(codes: np.ndarray, bag: np.ndarray, features: Features, weights: np.ndarray, depth: int, rng: np.random.Generator) -> Nodes:
     """A tree of at most ``depth`` levels below its root over cells with drawn counts by class (2 x cells)."""
     parts, levels = [Nodes.leaves(bag.sum(axis=1, keepdims=True))], [0]
+    if bag.sum() < _ONE:
+        bag = bag[0] + bag[1] * _ONE
+    ordered = np.flatnonzero(features.value < 0)
+    categories = [np.flatnonzero((features.column == c) & (features.value >= 0)).tolist() for c in np.unique(features.column[features.value >= 0])]
+    columns = np.ascontiguousarray(codes.T)
     node = np.zeros(len(codes), np.int64)
     for _ in range(depth):
         level, first = parts[-1], levels[-1] + len(parts[-1].left)
         mixed = np.flatnonzero((level.counts > 0).all(axis=0))
-        if not len(mixed):
+        n = len(mixed)
+        if not n:
             break
-        place = np.full(len(level.left), -1)
-        place[mixed] = np.arange(len(mixed))
+        # cells of other nodes wait at place n until a fourth of all cells waits
+        place = np.full(len(level.left) + 1, n)
+        place[mixed] = np.arange(n)
         node = place[node]
-        codes, bag, node = codes[node >= 0], bag[:, node >= 0], node[node >= 0]
-        drawn = features.draw(rng, len(mixed))
-        gain, feature, cut, left = np.full(len(mixed), -1.0), np.zeros(len(mixed), np.int64), np.zeros(len(mixed), np.int64), np.zeros((2, len(mixed)))
-        for some in drawn.T:
-            key, counts = _runs(node * BINS + features.bins(codes, some[node]), bag, len(mixed) * BINS)
-            g, c, up_to = best_cuts(key // BINS, key % BINS, counts, weights)
-            better = g > gain
-            gain[better], feature[better], cut[better], left[:, better] = g[better], some[better], c[better], up_to[:, better]
+        here = node < n
+        if 4 * np.count_nonzero(here) <= 3 * len(node):
+            columns, bag, node = columns[:, here], bag[..., here], node[here]
+        cuts = _Cuts(features, features.draw(rng, n), level.counts[:, mixed], weights)
+        for k in range(0, len(ordered), 8):
+            cuts.ordered(ordered[k:k + 8], columns, node, bag)
+        for of in categories:
+            cuts.one_of(of, columns[features.column[of[0]]], node, bag)
+        gain, feature, cut, left = cuts.best()
         at = np.flatnonzero(gain > _LEAST_GAIN)
         if not len(at):
             break
         parts.append(level.split(mixed[at], feature[at], cut[at], gain[at], left[:, at], first))
         levels.append(first)
-        child = np.full(len(mixed), -1)
+        child = np.full(n + 1, 2 * len(at))
         child[at] = 2 * np.arange(len(at))
-        go = child[node] >= 0
-        codes, bag, node = codes[go], bag[:, go], node[go]
-        node = child[node] + (features.bins(codes, feature[node]) > cut[node])
+        low, span = (np.append(x, x[:1]) for x in features.right(feature, cut))
+        start = np.append(features.column[feature] * len(node), 0)
+        mine = columns.reshape(-1)[start[node] + np.arange(len(node))]
+        right = (mine - low[node] <= span[node]) & (child < 2 * len(at))[node]
+        node = child[node] + right
     out = Nodes.joined(parts)
     out.prune(weights, levels)
     return out
@@ -454,6 +544,46 @@ class Grower:
         a, b = (s.repartition(n, "tree", "node").groupBy("tree", "node") for s in sides)
         return staged(a.cogroup(b).applyInArrow(work, MESSAGE), "forest-grown")
 
+    def whole(self, test: DataFrame) -> DataFrame:
+        """Trees whose root is open, each grown by one task: a message for each tree to block -1 as
+        :meth:`grown` sends it, and from each task to each test block the sums of its trees' shares."""
+        features, weights, depth, seed = self.features, self.weights, self.depth, self.seed
+        spark, trees = self.train.sparkSession, len(self.tops)
+        kept = [sorted((r["block"], bytes(r["payload"])) for r in df.select("block", "payload").toLocalIterator()) for df in (self.train, test)]
+        shared = spark.sparkContext.broadcast(kept)
+        del kept
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            cells, asked = ([(block, *_cells(payload, features)) for block, payload in side] for side in shared.value)
+            codes, label = (np.concatenate(c) for c in list(zip(*cells))[1:3])
+            sums = [np.zeros(len(label), np.int64) for _, _, label, _ in asked]
+            for t in (t for b in batches for t in b.column(0).to_pylist()):
+                bag = np.concatenate([_drawn(seed, t, block, n) for block, _, _, n in cells])
+                mine = bag > 0
+                by_class = np.stack([bag[mine] * (label[mine] == c) for c in (0, 1)]).astype(np.float64)
+                tree = grow(codes[mine], by_class, features, weights, depth, np.random.default_rng([seed, 3, t, 0]))
+                share = np.rint(tree.share(weights) * _SHARE).astype(np.int64)
+                for (_, some, _, _), total in zip(asked, sums):
+                    total += share[tree.route(some, features)]
+                yield t, 0, -1, _pack(np.concatenate([[tree.left[0] < 0], tree.counts[:, 0], tree.importance(features, weights)]))
+            for (block, *_), total in zip(asked, sums):
+                yield 0, 0, block, total.tobytes()
+
+        tasks = min(trees, 3 * spark.sparkContext.defaultParallelism)
+        return staged(spark.range(0, trees, 1, tasks).mapInArrow(lambda batches: _batches(rows(batches)), MESSAGE), "forest-grown")
+
+    def totals(self, grown: DataFrame, test: DataFrame) -> DataFrame:
+        """codes and p1 of every test cell, from the sums that :meth:`whole` sends."""
+        features, trees = self.features, len(self.tops)
+
+        def work(got: pa.Table, own: pa.Table) -> pa.Table:
+            codes, _, _ = _cells(_rows(own)[0][3], features)
+            total = sum(np.frombuffer(payload, np.int64) for payload in got.column("payload").to_pylist())
+            return pa.table([pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(total / _SHARE / trees)], names=["codes", "p1"])
+
+        sides = grown.where("block >= 0").groupBy("block"), test.groupBy("block")
+        return sides[0].cogroup(sides[1]).applyInArrow(work, "codes binary, p1 double")
+
     def finish(self, grown: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
         """Importances; the tops with the counts of the nodes below, pruned, and which of their nodes
         answer for test cells themselves."""
@@ -520,12 +650,17 @@ def forest(rows: DataFrame, key: str, ordered: list[str], categories: dict[str,
     cells = table.where("is_test = 0").groupBy("codes", "label").agg(F.count(F.lit(1)).alias("n"))
     asked = table.where("is_test = 1").select("codes").distinct().select("codes", F.lit(0).alias("label"), F.lit(1).cast("long").alias("n"))
     train, n_cells = blocks_of(cells, block, features.dtype, "forest-train")
-    test, _ = blocks_of(asked, test_block, features.dtype, "forest-test")
+    test, n_asked = blocks_of(asked, test_block, features.dtype, "forest-test")
     work = Grower(train, features, weights, n_cells, trees, depth, seed, limit)
-    work.split_tops()
-    grown = work.grown(test)
-    importances, single = work.finish(grown)
-    votes = work.votes(grown, test, single)
+    if max(n_cells, n_asked) <= limit:
+        grown = work.whole(test)
+        importances, _ = work.finish(grown)
+        votes = work.totals(grown, test)
+    else:
+        work.split_tops()
+        grown = work.grown(test)
+        importances, single = work.finish(grown)
+        votes = work.votes(grown, test, single)
     pred = table.where("is_test = 1").join(votes, "codes").select(
         key, F.col("label").cast("double").alias("label"), (F.col("p1") > 0.5).cast("double").alias("prediction"), "p1")
     return Forest(Vectors.dense(importances), pred)

@@ -123,3 +123,64 @@ def test_tiny_and_one_class_inputs(spark):
     assert _forest(one.where("is_test = 0"), trees=3).pred.count() == 0
     with pytest.raises(ValueError, match="labels"):
         _forest(one.withColumn("label", F.lit(2.0)))
+
+
+def _plain(codes, bag, features, weights, depth, rng):
+    """(feature, cut, left) of every split, a node at a time in the order of their levels."""
+    out, level = [], [np.arange(len(codes))]
+    for _ in range(depth):
+        level = [rows for rows in level if (bag[:, rows].sum(axis=1) > 0).all()]
+        if not level:
+            return out
+        children = []
+        for rows, drawn in zip(level, features.draw(rng, len(level))):
+            best = (-1.0, 0, 0, None)
+            for f in drawn.tolist():
+                b = features.bins(codes[rows], np.full(len(rows), f))
+                counts = np.stack([np.bincount(b, w[rows], fo.BINS) for w in bag])
+                some = np.flatnonzero(counts.any(axis=0))
+                gain, cut, _ = fo.best_cuts(np.zeros(len(some), int), some, counts[:, some], weights)
+                if gain[0] > best[0]:
+                    best = (gain[0], f, int(cut[0]), rows[b <= cut[0]], rows[b > cut[0]])
+            if best[0] > fo._LEAST_GAIN:
+                out.append((best[1], best[2], bag[:, best[3]].sum(axis=1).tolist()))
+                children += best[3:]
+        level = children
+    return out
+
+
+def _grown(codes, bag, features, weights, monkeypatch, one):
+    monkeypatch.setattr(fo, "_ONE", one)
+    monkeypatch.setattr(fo.Nodes, "prune", lambda *_: None)
+    tree = fo.grow(codes, bag, features, weights, 12, np.random.default_rng(3))
+    inner = np.flatnonzero(tree.left >= 0)
+    return [(int(tree.feature[k]), int(tree.cut[k]), tree.counts[:, tree.left[k]].tolist()) for k in inner]
+
+
+@pytest.mark.parametrize("one", [float(1 << 26), 1.0])  # both classes added up in one number, or each by itself
+@pytest.mark.parametrize("ordered", [3, 11])
+def test_levels_grow_as_node_by_node(monkeypatch, one, ordered):
+    r = np.random.default_rng(9)
+    features = fo.Features.of_columns([[k + 0.5 for k in range(5 + j)] for j in range(ordered)], [4, 7])
+    codes = np.stack([*(r.integers(0, 6 + j, 900) for j in range(ordered)), r.integers(0, 4, 900), r.integers(0, 7, 900)], axis=1).astype(np.uint8)
+    bag, weights = r.integers(0, 3, (2, 900)).astype(float), np.array([0.6, 2.5])
+    bag[0, bag.sum(axis=0) == 0] = 1
+    want = _plain(codes, bag, features, weights, 12, np.random.default_rng(3))
+    assert len(want) > 100 and _grown(codes, bag, features, weights, monkeypatch, one) == want
+
+
+def test_small_roots_are_grown_without_moving_cells_for_each_tree(spark, monkeypatch):
+    """Where all cells fit a group, trees are grown from one copy of the cells; votes are those of the moved cells."""
+    df = _rows(spark, 400)
+    whole = _forest(df, trees=6)
+    monkeypatch.setattr(fo.Grower, "whole", lambda self, test: self.grown(test))
+    monkeypatch.setattr(fo.Grower, "totals", lambda self, grown, test: self.votes(grown, test, [top.left < -1 for top in self.tops]))
+    moved = _forest(df, trees=6)
+    assert whole.featureImportances == moved.featureImportances
+    a, b = _scores(whole), _scores(moved)
+    assert a.keys() == b.keys() and max(abs(a[k][2] - b[k][2]) for k in a) < 1e-12
+    sent = []
+    monkeypatch.undo()
+    monkeypatch.setattr(fo.Grower, "sent", lambda self, *_: sent.append(1))
+    _forest(df, trees=2)
+    assert not sent
