@@ -257,7 +257,7 @@ def delay_geo_model(w, max_depth: int = UNLIMITED_DEPTH) -> dict:
 
 
 def _monthly_frame(w) -> DataFrame:
-    f = w.fact_order_items.select("product_sk", "purchase_date_sk", "total_item_value")
+    f = w.plain_fact_items.select("product_sk", "purchase_date_sk", "total_item_value")
     m = (f.join(w.dim_product.select("product_sk", "product_category_name"), "product_sk")
          .join(F.broadcast(w.dim_date.select(F.col("date_sk").alias("purchase_date_sk"), "full_date")),
                "purchase_date_sk")
@@ -281,7 +281,7 @@ def monthly_model(w) -> dict:
 
 
 def _daily_frame(w) -> DataFrame:
-    f = w.fact_order_items.select("product_sk", "purchase_date_sk", "total_item_value")
+    f = w.plain_fact_items.select("product_sk", "purchase_date_sk", "total_item_value")
     d = (f.join(w.dim_product.select("product_sk", "product_category_name"), "product_sk")
          .join(F.broadcast(w.dim_date.select(F.col("date_sk").alias("purchase_date_sk"),
                                              F.col("full_date").alias("day"))), "purchase_date_sk")

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_skew import _bronze
 
+from marketlake.operators import numbering
+from marketlake.operators.numbering import staged
 from marketlake.operators.rank import line_numbers
 from marketlake.plans import gold as G
 from marketlake.plans import ml as ML
+from marketlake.plans import silver as S
 from marketlake.plans.queries_ops import dq_orphans
 from marketlake.plans.warehouse import Warehouse
 
@@ -70,6 +73,70 @@ def test_orphans_move_once(hand):
     assert "Aggregate" in lines[0] and any("LeftAnti" in line for line in lines[1:])
 
 
+def test_items_meet_their_order_and_lose_copies_in_one_move(spark, hand):
+    w, items = hand
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        met = G.met_items(S.valid_items(w.bronze["order_items"]), G.keyed_orders(w.kept_orders, w.order_keys).localCheckpoint())
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # the items; the orders lie by order
+        plan = S.order_payments(w.bronze["order_payments"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # every silver item is there once, those without a silver order too
+    cols = ["order_id", "order_item_id", "product_id", "seller_id", "price"]
+    assert sorted(map(tuple, met.select(cols).collect())) == sorted(map(tuple, w.silver["order_items"].select(cols).collect()))
+    assert met.where("order_id = 'gone'").agg(F.count("order_purchase_timestamp"), F.count("order_keys")).first() == (0, 0)
+
+
+def test_lines_are_numbered_for_readers_of_the_number_only(hand):
+    w, items = hand
+    new = Warehouse(w.spark, "", w.gp)
+    new.bronze = w.bronze
+    lines, sales, best = new.plain_fact_items, new.product_sales, new.plain_item_base
+    assert "item_lines" not in new.__dict__ and "dim_seller" not in new.__dict__ and "order_item_sk" not in lines.columns
+    want = w.fact_order_items.drop("order_item_sk")
+    assert sorted(map(str, lines.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, best.collect())) == sorted(map(str, w.item_base.select(best.columns).collect()))
+    plain = w.item_base.groupBy("product_sk").agg(F.countDistinct("order_sk"), F.count("order_item_sk"), F.sum("total_item_value").cast("double"))
+    got = sales.select("product_sk", "total_orders", "total_quantity_sold", "total_revenue")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    new.item_lines
+    assert new.plain_lines.columns == [c for c in new.item_lines.columns if c != "order_item_sk"]
+
+
+def test_sellers_keep_their_numbers_and_sales(hand):
+    w, _ = hand
+    old = G.dim_seller(w.silver["sellers"], w.silver["order_items"], w.silver["orders"], w.gp)
+    assert sorted(map(str, w.dim_seller.select(old.columns).collect())) == sorted(map(str, old.collect()))
+    assert old.columns == w.dim_seller.columns
+
+
+def test_shuffle_files_of_a_written_table_go(spark):
+    seen = []
+    before = {k: spark.conf.get(k) for k in numbering.WRITING}
+
+    class Kept:
+        def __init__(self, df):
+            self.df = df
+
+        def parquet(self, *a, **k):
+            seen.append({c: spark.conf.get(c) for c in numbering.WRITING})
+            return self.df.parquet(*a, **k)
+
+    class Table:
+        sparkSession = spark  # noqa: N815
+        schema = spark.range(1).schema
+        write = Kept(spark.range(1).write)
+
+    staged(Table, "t")
+    assert seen == [numbering.WRITING] and before == {k: spark.conf.get(k) for k in numbering.WRITING}
+
+
 def test_training_rows_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(ML, "TRAIN_ROWS", 100)
     rows = spark.range(1000).coalesce(1)
