@@ -9,12 +9,15 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from conftest import SF001
 from llm.conftest import EDGES
 from marketlake.llm import ranked_search
+from marketlake.llm.common import staged
 from marketlake.llm.queries import QUERIES
+from marketlake.session import held_settings
 from tools.check_oracle import _digest
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -107,3 +110,24 @@ def test_search_matches_sql(spark):
     df = QUERIES["op11_ranked_search"](spark, SF001)
     res = con.execute(ranked_search.ORACLE)
     assert _digest([tuple(r) for r in df.collect()], df.columns)[0] == _digest(res.fetchall(), [d[0] for d in res.description])[0]
+
+
+def test_blocks_run_over_batches(spark, docs):
+    """Batches are small, blocks are not: rows of the grid don't multiply with the batches."""
+    df = docs([(i, f"common word{i}") for i in range(40)]).coalesce(1)
+    with held_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        found = ranked_search.grids(df).select("ids", "n_docs").collect()
+    assert [sorted(r.ids) for r in found] == [list(range(40))] and found[0].n_docs == 40
+
+
+def test_large_rows_are_read_and_written_few_at_a_time(spark, docs, items, monkeypatch):
+    wide = spark.createDataFrame([(i, random.Random(i).randbytes(3 << 20)) for i in range(8)], "id long, x binary").coalesce(1)
+    at = staged(wide, "wide", large_rows=True)
+    files = [f for f in at.inputFiles() if f.endswith(".parquet")]
+    assert sum(pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).num_row_groups for f in files) > 1
+    seen = []
+    monkeypatch.setattr(ranked_search, "staged", lambda df, name, *a, **k: (seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))), staged(df, name, *a, **k))[1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert result(docs([(1, "alpha beta"), (2, "beta")]), items([(7, "alpha")]))
+    assert seen == [("search-grids", "1000"), ("search-treaps", "1"), ("search-found", "1")]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
